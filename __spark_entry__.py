@@ -75,21 +75,62 @@ pay AS (
   FROM snap
   QUALIFY row_number() OVER (PARTITION BY EmployeeID, FiscalYear ORDER BY PayrollNumber) = 1)"""
 
-STAR = f"""{PAY},
-time_dim AS (
+# the same snapshot with the defects of raw files (testmap.with_defects),
+# deduplicated, then parsed and filled by type
+RAW_PAY = f"""{SNAP},
+raw AS (
+  SELECT * REPLACE (
+    CASE WHEN EmployeeID % 7 = 0 THEN NULL ELSE WorkLocationBorough END AS WorkLocationBorough,
+    CASE WHEN PayrollNumber % 11 = 0 THEN 'bad' WHEN PayrollNumber % 13 = 0 THEN NULL
+         ELSE AgencyStartDate END AS AgencyStartDate,
+    CASE WHEN PayrollNumber % 17 = 0 THEN NULL ELSE RegularHours END AS RegularHours,
+    CASE WHEN PayrollNumber % 19 = 0 THEN NULL ELSE TitleCode END AS TitleCode)
+  FROM snap),
+rdedup AS (
+  SELECT * FROM raw
+  QUALIFY row_number() OVER (PARTITION BY EmployeeID, FiscalYear ORDER BY PayrollNumber) = 1),
+rpay AS (
+  SELECT * REPLACE (
+      CAST(try_strptime(AgencyStartDate, '%m/%d/%Y') AS DATE) AS AgencyStartDate,
+      coalesce(WorkLocationBorough, 'Unknown') AS WorkLocationBorough,
+      CAST(coalesce(RegularHours, 0) AS DECIMAL(10,2)) AS RegularHours,
+      coalesce(TitleCode, 0) AS TitleCode),
+    AgencyStartDate AS AgencyStartDate_raw
+  FROM rdedup)"""
+
+
+def star_ctes(src: str, p: str = "") -> str:
+    """Dimensions and fact (by id) over the payroll CTE ``src``; names get prefix ``p``."""
+    return f"""
+{p}time_dim AS (
   SELECT row_number() OVER (ORDER BY FiscalYear) AS TimeID, FiscalYear
-  FROM (SELECT DISTINCT FiscalYear FROM pay)),
-agency_dim AS (SELECT DISTINCT AgencyID, AgencyName FROM pay),
-title_dim AS (SELECT DISTINCT TitleCode, TitleDescription FROM pay),
-employee_dim AS (
+  FROM (SELECT DISTINCT FiscalYear FROM {src})),
+{p}agency_dim AS (SELECT DISTINCT AgencyID, AgencyName FROM {src}),
+{p}title_dim AS (SELECT DISTINCT TitleCode, TitleDescription FROM {src}),
+{p}employee_dim AS (
   SELECT EmployeeID, LastName, FirstName, WorkLocationBorough, LeaveStatusasofJune30
-  FROM pay
+  FROM {src}
   QUALIFY row_number() OVER (PARTITION BY EmployeeID ORDER BY FiscalYear DESC, PayrollNumber DESC) = 1),
-fact AS (
-  SELECT row_number() OVER (ORDER BY p.FiscalYear, p.EmployeeID, p.PayrollNumber, p.AgencyID, p.TitleCode) AS PayrollID,
-    p.EmployeeID, p.AgencyID, p.TitleCode, t.TimeID, p.PayrollNumber, p.BaseSalary, p.PayBasis,
+{p}fact AS (
+  SELECT row_number() OVER (ORDER BY s.FiscalYear, s.EmployeeID, s.PayrollNumber, s.AgencyID, s.TitleCode) AS PayrollID,
+    s.EmployeeID, s.AgencyID, s.TitleCode, t.TimeID, s.PayrollNumber, s.BaseSalary, s.PayBasis,
+    s.AgencyStartDate, s.RegularHours, s.RegularGrossPaid, s.OTHours, s.TotalOTPaid, s.TotalOtherPay
+  FROM {src} s JOIN {p}time_dim t ON s.FiscalYear = t.FiscalYear)"""
+
+
+STAR = PAY + "," + star_ctes("pay")
+
+FACT_NATURAL = STAR + """,
+fact_nat AS (
+  SELECT row_number() OVER (ORDER BY p.FiscalYear, e.EmployeeID, p.PayrollNumber, a.AgencyID, t.TitleCode) AS PayrollID,
+    e.EmployeeID, a.AgencyID, t.TitleCode, d.TimeID, p.PayrollNumber, p.BaseSalary, p.PayBasis,
     p.AgencyStartDate, p.RegularHours, p.RegularGrossPaid, p.OTHours, p.TotalOTPaid, p.TotalOtherPay
-  FROM pay p JOIN time_dim t USING (FiscalYear))"""
+  FROM pay p
+  JOIN employee_dim e ON p.LastName = e.LastName AND p.FirstName = e.FirstName
+    AND p.LeaveStatusasofJune30 = e.LeaveStatusasofJune30 AND p.WorkLocationBorough = e.WorkLocationBorough
+  JOIN agency_dim a ON p.AgencyName = a.AgencyName
+  JOIN title_dim t ON p.TitleDescription = t.TitleDescription
+  JOIN time_dim d ON p.FiscalYear = d.FiscalYear)"""
 
 ALLOCATION = f"""{STAR},
 alloc AS (
@@ -103,9 +144,201 @@ alloc AS (
   FROM fact f JOIN time_dim t USING (TimeID) JOIN agency_dim a USING (AgencyID)
   GROUP BY f.AgencyID, a.AgencyName, t.FiscalYear)"""
 
+MASTERS = """
+emp_master AS (SELECT DISTINCT c_custkey AS EmployeeID, c_name AS LastName, c_mktsegment AS FirstName
+               FROM customer WHERE c_acctbal >= 0),
+agency_master AS (SELECT DISTINCT n_nationkey AS AgencyID, n_name AS AgencyName
+                  FROM nation WHERE n_regionkey <> 0),
+title_master AS (SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS TitleCode,
+                   o_orderpriority AS TitleDescription
+                 FROM orders WHERE o_orderpriority <> '3-MEDIUM')"""
+
+EMP_ON = "p.EmployeeID = em.EmployeeID AND p.LastName = em.LastName AND p.FirstName = em.FirstName"
+AGENCY_ON = "p.AgencyID = am.AgencyID AND p.AgencyName = am.AgencyName"
+TITLE_ON = "p.TitleCode = tm.TitleCode AND p.TitleDescription = tm.TitleDescription"
+
+CUST_NULLS = """cn AS (
+  SELECT c_custkey,
+    CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_name END AS c_name,
+    CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey,
+    CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal,
+    c_mktsegment,
+    CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE DATE '2020-01-01' END AS c_since
+  FROM customer)"""
+CUST_NULL_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "c_since"]
+CUSTOMER_TYPES = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
+                  ("c_acctbal", "double"), ("c_mktsegment", "string")]
+
+FACT_WAREHOUSE = """SELECT CAST(PayrollID AS INTEGER) AS payrollid, CAST(EmployeeID AS INTEGER) AS employeeid,
+  AgencyID AS agencyid, TitleCode AS titlecode, CAST(TimeID AS INTEGER) AS timeid,
+  CAST(PayrollNumber AS INTEGER) AS payrollnumber, BaseSalary AS basesalary, PayBasis AS paybasis,
+  AgencyStartDate AS agencystartdate, RegularHours AS regularhours, RegularGrossPaid AS regulargrosspaid,
+  OTHours AS othours, TotalOTPaid AS totalotpaid, TotalOtherPay AS totalotherpay
+FROM fact"""
+
+
+def _count(name: str, body: str) -> str:
+    return f"SELECT '{name}' AS check_name, (SELECT count(*) FROM ({body})) AS violations"
+
+
+def _quality_sql() -> str:
+    r = "r_"
+    pk = lambda t, k: f"SELECT {k} FROM {r}{t} GROUP BY {k} HAVING count(*) > 1 OR {k} IS NULL"
+    too_long = lambda t, cols: f"SELECT * FROM {r}{t} WHERE " + " OR ".join(
+        f"length({c}) > 1000" for c in cols)
+    fk = lambda col, t: f"SELECT * FROM {r}fact f WHERE NOT EXISTS (SELECT 1 FROM {r}{t} d WHERE d.{col} = f.{col})"
+    parts = [
+        _count("pk_employee", pk("employee_dim", "EmployeeID")),
+        _count("length_employee", too_long("employee_dim", ["LastName", "FirstName", "WorkLocationBorough", "LeaveStatusasofJune30"])),
+        _count("pk_agency", pk("agency_dim", "AgencyID")),
+        _count("length_agency", too_long("agency_dim", ["AgencyName"])),
+        _count("pk_jobtitle", pk("title_dim", "TitleCode")),
+        _count("length_jobtitle", too_long("title_dim", ["TitleDescription"])),
+        _count("pk_time", pk("time_dim", "TimeID")),
+        _count("pk_fact_table", pk("fact", "PayrollID")),
+        _count("length_fact_table", too_long("fact", ["PayBasis"])),
+        _count("fk_employee", fk("EmployeeID", "employee_dim")),
+        _count("fk_agency", fk("AgencyID", "agency_dim")),
+        _count("fk_jobtitle", fk("TitleCode", "title_dim")),
+        _count("fk_time", fk("TimeID", "time_dim")),
+        _count("null_start_date_text", "SELECT * FROM rpay WHERE AgencyStartDate_raw IS NULL"),
+        _count("unparsed_start_date", "SELECT * FROM rpay WHERE AgencyStartDate_raw IS NOT NULL AND AgencyStartDate IS NULL"),
+        _count("start_after_fiscal_year", "SELECT * FROM rpay WHERE year(AgencyStartDate) > FiscalYear"),
+        _count("negative_pay", "SELECT * FROM rpay WHERE RegularGrossPaid < 0 OR TotalOTPaid < 0 OR TotalOtherPay < 0 OR BaseSalary < 0"),
+        _count("emp_master_orphans", f"SELECT * FROM rpay p WHERE NOT EXISTS (SELECT 1 FROM emp_master em WHERE {EMP_ON})"),
+        _count("agency_master_orphans", f"SELECT * FROM rpay p WHERE NOT EXISTS (SELECT 1 FROM agency_master am WHERE {AGENCY_ON})"),
+        _count("title_master_orphans", f"SELECT * FROM rpay p WHERE NOT EXISTS (SELECT 1 FROM title_master tm WHERE {TITLE_ON})"),
+    ]
+    return f"WITH {RAW_PAY},{star_ctes('rpay', r)},{MASTERS}\n" + "\nUNION ALL\n".join(parts)
+
 
 def oracle_sql() -> dict[str, str]:
+    null_audit = "\nUNION ALL\n".join(
+        f"SELECT {i + 1} AS ordinal, '{c}' AS column_name, count(*) - count({c}) AS null_count FROM cn"
+        for i, c in enumerate(CUST_NULL_COLS))
+    profile = "\nUNION ALL\n".join(
+        f"SELECT {i + 1} AS ordinal, '{c}' AS column_name, '{t}' AS data_type, "
+        f"count({c}) AS non_null_count FROM customer"
+        for i, (c, t) in enumerate(CUSTOMER_TYPES))
     q = {
+        "scan_csv_infer": "SELECT * FROM nation",
+        "scan_csv_schema": "SELECT * FROM supplier",
+        "scan_csv_glob": "SELECT * FROM nation",
+        "load_snapshots": f"""WITH {SNAP} SELECT * FROM snap
+            QUALIFY row_number() OVER (PARTITION BY EmployeeID, FiscalYear ORDER BY PayrollNumber) = 1""",
+        "stage_roundtrip": f"WITH {PAY} SELECT * FROM pay",
+        "project_columns": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
+        "select_alias_qualified": f"""WITH {STAR}
+            SELECT e.EmployeeID, p.PayrollNumber, p.FiscalYear
+            FROM pay p JOIN employee_dim e ON p.LastName = e.LastName""",
+        "parse_mdy_date": """SELECT o_orderkey, start_text,
+              CAST(try_strptime(start_text, '%m/%d/%Y') AS DATE) AS start_date
+            FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'bad'
+                    ELSE strftime(o_orderdate, '%-m/%-d/%Y') END AS start_text FROM orders)""",
+        "fill_nulls_by_type": f"""WITH {CUST_NULLS}
+            SELECT c_custkey, coalesce(c_name, 'Unknown') AS c_name,
+              coalesce(c_nationkey, 0) AS c_nationkey,
+              coalesce(c_acctbal, CAST(0 AS DOUBLE)) AS c_acctbal,
+              coalesce(c_mktsegment, 'Unknown') AS c_mktsegment, c_since
+            FROM cn""",
+        "lowercase_columns": "SELECT * FROM nation",
+        "null_audit": f"WITH {CUST_NULLS}\n{null_audit}",
+        "filter_is_null": f"WITH {CUST_NULLS} SELECT * FROM cn WHERE c_name IS NULL",
+        "surrogate_key_small": """SELECT row_number() OVER (ORDER BY FiscalYear) AS TimeID, FiscalYear
+            FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS FiscalYear FROM orders)""",
+        "surrogate_key_bucketed": """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS o_year,
+              row_number() OVER (ORDER BY year(o_orderdate), o_orderkey) AS row_key
+            FROM orders""",
+        "schema_profile": profile,
+        "dedup_business_key": """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders
+            QUALIFY row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderkey) = 1""",
+        "dedup_latest": f"""WITH {PAY} SELECT * FROM pay
+            QUALIFY row_number() OVER (PARTITION BY EmployeeID ORDER BY FiscalYear DESC, PayrollNumber DESC) = 1""",
+        "distinct_pairs": f"WITH {PAY} SELECT DISTINCT AgencyID, AgencyName FROM pay",
+        "distinct_years": f"WITH {PAY} SELECT DISTINCT FiscalYear FROM pay",
+        "row_count": "SELECT count(*) AS row_count FROM lineitem",
+        "left_join_three_keys": f"""WITH {PAY},{MASTERS}
+            SELECT p.*, em.EmployeeID IS NOT NULL AS in_emp_master
+            FROM pay p LEFT JOIN emp_master em ON {EMP_ON}""",
+        "left_join_two_keys": f"""WITH {PAY},{MASTERS}
+            SELECT p.*, am.AgencyID IS NOT NULL AS in_agency_master
+            FROM pay p LEFT JOIN agency_master am ON {AGENCY_ON}""",
+        "left_join_title": f"""WITH {PAY},{MASTERS}
+            SELECT p.*, tm.TitleCode IS NOT NULL AS in_title_master
+            FROM pay p LEFT JOIN title_master tm ON {TITLE_ON}""",
+        "enrich_with_masters": f"""WITH {PAY},{MASTERS}
+            SELECT p.*, em.EmployeeID IS NOT NULL AS in_emp_master,
+              am.AgencyID IS NOT NULL AS in_agency_master, tm.TitleCode IS NOT NULL AS in_title_master
+            FROM pay p LEFT JOIN emp_master em ON {EMP_ON}
+            LEFT JOIN agency_master am ON {AGENCY_ON}
+            LEFT JOIN title_master tm ON {TITLE_ON}""",
+        "inner_join_natural_keys": f"""WITH {STAR}
+            SELECT e.EmployeeID, p.PayrollNumber, p.FiscalYear
+            FROM pay p JOIN employee_dim e ON p.LastName = e.LastName AND p.FirstName = e.FirstName
+              AND p.LeaveStatusasofJune30 = e.LeaveStatusasofJune30
+              AND p.WorkLocationBorough = e.WorkLocationBorough""",
+        "inner_join_agency": f"""WITH {STAR}
+            SELECT a.AgencyID, p.AgencyName, p.PayrollNumber
+            FROM pay p JOIN agency_dim a ON p.AgencyName = a.AgencyName""",
+        "inner_join_title": f"""WITH {STAR}
+            SELECT t.TitleCode, p.TitleDescription, p.PayrollNumber
+            FROM pay p JOIN title_dim t ON p.TitleDescription = t.TitleDescription""",
+        "inner_join_time": f"""WITH {STAR}
+            SELECT t.TimeID, p.FiscalYear, p.PayrollNumber
+            FROM pay p JOIN time_dim t ON p.FiscalYear = t.FiscalYear""",
+        "union_positional": """SELECT c_custkey, c_name FROM customer
+            UNION ALL SELECT s_suppkey, s_name FROM supplier""",
+        "union_by_name_drift": """SELECT c_custkey AS id, c_name AS name,
+              CAST(c_nationkey AS DOUBLE) AS nation_code, c_acctbal AS balance FROM customer
+            UNION ALL
+            SELECT s_suppkey, s_name, CAST(s_nationkey AS DOUBLE), s_acctbal FROM supplier""",
+        "preview_limit": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10",
+        "dim_employee": f"WITH {STAR} SELECT * FROM employee_dim",
+        "dim_agency": f"WITH {STAR} SELECT * FROM agency_dim",
+        "dim_jobtitle": f"WITH {STAR} SELECT * FROM title_dim",
+        "dim_time": f"WITH {STAR} SELECT * FROM time_dim",
+        "fact_payroll": f"WITH {STAR} SELECT * FROM fact",
+        "fact_payroll_natural": f"WITH {FACT_NATURAL} SELECT * FROM fact_nat",
+        "star_schema_end_to_end": f"""WITH {RAW_PAY}
+            SELECT AgencyID, FiscalYear, TitleCode, count(*) AS n_rows,
+              count(*) - count(AgencyStartDate) AS n_null_start,
+              CAST(sum(RegularHours) AS DECIMAL(38,2)) AS total_hours,
+              CAST(sum(RegularGrossPaid) AS DECIMAL(38,2)) AS total_gross
+            FROM rpay GROUP BY AgencyID, FiscalYear, TitleCode""",
+        "sink_parquet": "SELECT * FROM nation",
+        "sink_csv": "SELECT * FROM supplier",
+        "sink_jdbc": "SELECT * FROM nation",
+        "warehouse_tables": f"""WITH {STAR}
+            SELECT 'employee' AS table_name, count(*) AS n_rows FROM employee_dim
+            UNION ALL SELECT 'agency', count(*) FROM agency_dim
+            UNION ALL SELECT 'jobtitle', count(*) FROM title_dim
+            UNION ALL SELECT 'time', count(*) FROM time_dim
+            UNION ALL SELECT 'fact_table', count(*) FROM fact""",
+        "cast_to_warehouse_schema": f"WITH {STAR} {FACT_WAREHOUSE}",
+        "check_primary_key": """SELECT o_orderkey, count(*) AS n_rows
+            FROM (SELECT o_orderkey FROM orders
+                  UNION ALL SELECT o_orderkey FROM orders WHERE o_totalprice > 450000)
+            GROUP BY o_orderkey HAVING count(*) > 1 OR o_orderkey IS NULL""",
+        "check_foreign_key": """SELECT o_orderkey, o_custkey FROM orders o
+            WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey)""",
+        "check_max_length": """SELECT doc_id, CAST(length(text) AS INTEGER) AS text_length
+            FROM documents WHERE length(text) > 1000""",
+        "full_refresh_twice": "SELECT * FROM nation",
+        "staged_job": f"WITH {STAR} {FACT_WAREHOUSE}",
+        "quality_report": _quality_sql(),
         "allocation_by_agency_year": f"WITH {ALLOCATION} SELECT * FROM alloc",
+        "allocation_year_over_year": f"""WITH {ALLOCATION}
+            SELECT AgencyID, AgencyName, FiscalYear, total_paid,
+              lag(total_paid) OVER w AS prev_total_paid,
+              CAST(total_paid - lag(total_paid) OVER w AS DECIMAL(38,2)) AS change_paid,
+              lag(FiscalYear) OVER w AS prev_fiscal_year
+            FROM alloc WINDOW w AS (PARTITION BY AgencyID ORDER BY FiscalYear)""",
+        "public_view": f"""WITH {STAR}
+            SELECT f.PayrollID, a.AgencyName, t.TitleDescription, d.FiscalYear, f.PayBasis,
+              f.BaseSalary, f.RegularHours, f.RegularGrossPaid, f.OTHours, f.TotalOTPaid, f.TotalOtherPay
+            FROM fact f JOIN agency_dim a USING (AgencyID) JOIN title_dim t USING (TitleCode)
+              JOIN time_dim d USING (TimeID)""",
+        "partition_pruned_scan": """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year
+            FROM orders WHERE year(o_orderdate) = 1996""",
     }
     return {k: v for k, v in q.items() if k in R.QUERIES}

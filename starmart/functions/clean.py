@@ -52,10 +52,14 @@ def fill_value(dtype: T.DataType):
     return None
 
 
-def fill_nulls_by_type(df: DataFrame) -> DataFrame:
-    """One projection that fills every column by its type (see ``fill_value``)."""
+def fill_nulls_by_type(df: DataFrame, exclude: list[str] | None = None) -> DataFrame:
+    """One projection that fills every column by its type (see ``fill_value``),
+    except the columns in ``exclude``."""
     fills = {}
+    skip = set(exclude or [])
     for field in df.schema.fields:
+        if field.name in skip:
+            continue
         v = fill_value(field.dataType)
         if v is not None:
             fills[field.name] = F.coalesce(F.col(field.name), F.lit(v).cast(field.dataType))

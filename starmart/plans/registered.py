@@ -1,16 +1,31 @@
 """The queries the driver runs: each operator of the survey put on the test
 tables (see ``starmart.testmap``). Every function takes (spark, sf_dir) and
-returns a DataFrame over the whole tables.
+returns a DataFrame over the whole tables. File-sink and file-source keys
+write to a fresh folder under the session's checkpoint root and return the
+re-read frame.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from starmart import schemas as S
 from starmart import testmap as tm
-from starmart.plans import marts
-from starmart.plans.star import build_star, clean_payroll, dedup_snapshots
+from starmart.functions import clean
+from starmart.operators import dedup, joins, keys, quality
+from starmart.plans import jobs, marts
+from starmart.plans.star import (build_employee_dim, build_star, build_time_dim, clean_payroll,
+                                 dedup_snapshots)
+from starmart.session import scratch_path
+from starmart.sinks import files, jdbc, warehouse
+from starmart.sources import csv as src
+
 
+# ---------------------------------------------------------------- payroll base
 
 def payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged snapshot -> dedup on (EmployeeID, FiscalYear) -> clean."""
@@ -21,11 +36,432 @@ def star(spark: SparkSession, sf_dir: str, natural: bool = False):
     return build_star(payroll(spark, sf_dir), natural=natural)
 
 
+def write_snapshot_files(spark: SparkSession, snap: DataFrame, root: str) -> str:
+    """Snapshot rows as CSV files with a header per file; odd fiscal years use
+    the drifted header (AgencyCode for AgencyID), as the yearly files do."""
+    odd = F.col("FiscalYear") % 2 == 1
+    files.write_csv(snap.where(~odd), f"{root}/even")
+    files.write_csv(snap.where(odd).withColumnRenamed("AgencyID", "AgencyCode"), f"{root}/odd")
+    return root
+
+
+# ---------------------------------------------------------------- A: sources
+
+def scan_csv_infer(spark, sf_dir):
+    path = files.write_csv(tm.table(spark, sf_dir, "nation"), scratch_path(spark, "nation_csv"))
+    return src.read_csv(spark, path, infer=True)
+
+
+def scan_csv_schema(spark, sf_dir):
+    sup = tm.table(spark, sf_dir, "supplier")
+    path = files.write_csv(sup, scratch_path(spark, "supplier_csv"))
+    return src.read_csv(spark, path, schema=sup.schema)
+
+
+def scan_csv_glob(spark, sf_dir):
+    root = scratch_path(spark, "glob")
+    nation = tm.table(spark, sf_dir, "nation")
+    files.write_csv(nation.repartition(5, "n_regionkey"), f"{root}/nation")
+    files.write_csv(tm.table(spark, sf_dir, "region"), f"{root}/decoy", compression="gzip")
+    paths = src.discover_files(spark, root, "*.csv", recursive=True)
+    return src.read_csv(spark, paths, schema=nation.schema)
+
+
+def load_snapshots(spark, sf_dir):
+    root = write_snapshot_files(spark, tm.snapshot(spark, sf_dir), scratch_path(spark, "snapshots"))
+    paths = src.discover_files(spark, root, "*.csv", recursive=True)
+    return dedup_snapshots(src.load_snapshots(spark, paths))
+
+
+def stage_roundtrip(spark, sf_dir):
+    pay = payroll(spark, sf_dir)
+    path = src.write_stage(pay, scratch_path(spark, "stage"), partition_by=["FiscalYear"])
+    return src.read_stage(spark, path).select(*pay.columns)
+
+
+# ---------------------------------------------------------------- B: projections
+
+def project_columns(spark, sf_dir):
+    return tm.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+
+
+def select_alias_qualified(spark, sf_dir):
+    pay = payroll(spark, sf_dir)
+    emp = build_employee_dim(pay)
+    j = pay.join(emp.alias("e"), ["LastName"], "inner")
+    return j.select(F.col("e.EmployeeID").alias("EmployeeID"), "PayrollNumber", "FiscalYear")
+
+
+def parse_mdy_date(spark, sf_dir):
+    o = tm.table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderkey") % 11 == 0, F.lit("bad")) \
+        .otherwise(F.date_format("o_orderdate", "M/d/yyyy"))
+    return o.select("o_orderkey", text.alias("start_text")) \
+        .withColumn("start_date", clean.parse_mdy("start_text"))
+
+
+def customer_with_nulls(spark, sf_dir) -> DataFrame:
+    """customer with nulls by fixed rules in a string, a double and an int
+    column, plus a date column that is null on every other row."""
+    c = tm.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select(
+        "c_custkey",
+        F.when(k % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("c_name"),
+        F.when(k % 3 == 0, F.lit(None).cast("int")).otherwise(F.col("c_nationkey")).alias("c_nationkey"),
+        F.when(k % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        "c_mktsegment",
+        F.when(k % 2 == 0, F.lit(None).cast("date")).otherwise(F.to_date(F.lit("2020-01-01")))
+        .alias("c_since"),
+    )
+
+
+def fill_nulls_by_type(spark, sf_dir):
+    return clean.fill_nulls_by_type(customer_with_nulls(spark, sf_dir))
+
+
+def lowercase_columns(spark, sf_dir):
+    n = tm.table(spark, sf_dir, "nation")
+    return clean.lowercase_columns(n.toDF(*[c.upper() for c in n.columns]))
+
+
+def null_audit(spark, sf_dir):
+    return clean.null_audit(customer_with_nulls(spark, sf_dir))
+
+
+def filter_is_null(spark, sf_dir):
+    return clean.filter_is_null(customer_with_nulls(spark, sf_dir), "c_name")
+
+
+def surrogate_key_small(spark, sf_dir):
+    o = tm.table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("FiscalYear"))
+    return build_time_dim(o)
+
+
+def surrogate_key_bucketed(spark, sf_dir):
+    o = tm.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("o_year"))
+    return keys.dense_key(o, ["o_year", "o_orderkey"], "row_key")
+
+
+def schema_profile(spark, sf_dir):
+    return clean.schema_profile(tm.table(spark, sf_dir, "customer"))
+
+
+# ---------------------------------------------------------------- C: dedup, counts
+
+def dedup_business_key(spark, sf_dir):
+    o = tm.table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    return dedup.dedup_by(o, ["o_custkey", "o_year"], ["o_orderkey"], keep="first")
+
+
+def dedup_latest(spark, sf_dir):
+    pay = payroll(spark, sf_dir)
+    return dedup.dedup_by(pay, ["EmployeeID"], ["FiscalYear", "PayrollNumber"], keep="last")
+
+
+def distinct_pairs(spark, sf_dir):
+    return dedup.distinct_of(payroll(spark, sf_dir), ["AgencyID", "AgencyName"])
+
+
+def distinct_years(spark, sf_dir):
+    return dedup.distinct_of(payroll(spark, sf_dir), ["FiscalYear"])
+
+
+def row_count(spark, sf_dir):
+    return dedup.row_count(tm.table(spark, sf_dir, "lineitem"))
+
+
+# ---------------------------------------------------------------- D: joins
+
+def left_join_three_keys(spark, sf_dir):
+    return joins.left_join_master(payroll(spark, sf_dir), tm.emp_master(spark, sf_dir),
+                                  ["EmployeeID", "LastName", "FirstName"], "in_emp_master")
+
+
+def left_join_two_keys(spark, sf_dir):
+    return joins.left_join_master(payroll(spark, sf_dir), tm.agency_master(spark, sf_dir),
+                                  ["AgencyID", "AgencyName"], "in_agency_master")
+
+
+def left_join_title(spark, sf_dir):
+    return joins.left_join_master(payroll(spark, sf_dir), tm.title_master(spark, sf_dir),
+                                  ["TitleCode", "TitleDescription"], "in_title_master")
+
+
+def enrich_with_masters(spark, sf_dir):
+    return joins.enrich_with_masters(payroll(spark, sf_dir), tm.emp_master(spark, sf_dir),
+                                     tm.agency_master(spark, sf_dir), tm.title_master(spark, sf_dir))
+
+
+def inner_join_natural_keys(spark, sf_dir):
+    pay = payroll(spark, sf_dir)
+    emp = build_employee_dim(pay)
+    joins.assert_unique(emp, S.EMPLOYEE_NATURAL, "employee dimension")
+    j = pay.join(emp.alias("e"), S.EMPLOYEE_NATURAL, "inner")
+    return j.select(F.col("e.EmployeeID").alias("EmployeeID"), "PayrollNumber", "FiscalYear")
+
+
+def inner_join_agency(spark, sf_dir):
+    pay = payroll(spark, sf_dir)
+    s = star(spark, sf_dir)
+    j = joins.join_dimension(pay, s.agency, ["AgencyName"], "a")
+    return j.select(F.col("a.AgencyID").alias("AgencyID"), "AgencyName", "PayrollNumber")
+
+
+def inner_join_title(spark, sf_dir):
+    pay = payroll(spark, sf_dir)
+    s = star(spark, sf_dir)
+    j = joins.join_dimension(pay, s.jobtitle, ["TitleDescription"], "t")
+    return j.select(F.col("t.TitleCode").alias("TitleCode"), "TitleDescription", "PayrollNumber")
+
+
+def inner_join_time(spark, sf_dir):
+    pay = payroll(spark, sf_dir)
+    j = joins.join_dimension(pay, build_time_dim(pay), ["FiscalYear"], "d")
+    return j.select("TimeID", "FiscalYear", "PayrollNumber")
+
+
+# ---------------------------------------------------------------- E: set ops, limits
+
+def union_positional(spark, sf_dir):
+    c = tm.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    s = tm.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return c.union(s)
+
+
+# Fixed values of the fixture: how supplier columns are named on the customer side.
+SUPPLIER_RENAMES = {"s_suppkey": "id", "s_name": "name", "s_nationkey": "nation_code",
+                    "s_acctbal": "balance"}
+
+
+def union_by_name_drift(spark, sf_dir):
+    c = tm.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nation_code"), F.col("c_acctbal").alias("balance"))
+    s = tm.table(spark, sf_dir, "supplier").withColumnsRenamed(SUPPLIER_RENAMES) \
+        .select("balance", F.col("nation_code").cast("double"), "name", "id")
+    return c.unionByName(s)
+
+
+def preview_limit(spark, sf_dir):
+    return tm.table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(10)
+
+
+# ---------------------------------------------------------------- F: star
+
+def dim_employee(spark, sf_dir):
+    return star(spark, sf_dir).employee
+
+
+def dim_agency(spark, sf_dir):
+    return star(spark, sf_dir).agency
+
+
+def dim_jobtitle(spark, sf_dir):
+    return star(spark, sf_dir).jobtitle
+
+
+def dim_time(spark, sf_dir):
+    return star(spark, sf_dir).time
+
+
+def fact_payroll(spark, sf_dir):
+    return star(spark, sf_dir).fact
+
+
+def fact_payroll_natural(spark, sf_dir):
+    return star(spark, sf_dir, natural=True).fact
+
+
+def star_schema_end_to_end(spark, sf_dir):
+    """Raw text with defects -> CSV files with drifted headers -> discover ->
+    load -> dedup -> parse/fill -> star -> fact summed per agency, year, title."""
+    raw = tm.with_defects(tm.snapshot(spark, sf_dir))
+    root = write_snapshot_files(spark, raw, scratch_path(spark, "raw_snapshots"))
+    merged = src.load_snapshots(spark, src.discover_files(spark, root, "*.csv", recursive=True))
+    s = build_star(clean_payroll(dedup_snapshots(merged)))
+    f = s.fact.join(F.broadcast(s.time), ["TimeID"])
+    return f.groupBy("AgencyID", "FiscalYear", "TitleCode").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("AgencyStartDate").isNull()).alias("n_null_start"),
+        F.sum("RegularHours").cast(marts.TOTAL).alias("total_hours"),
+        F.sum("RegularGrossPaid").cast(marts.TOTAL).alias("total_gross"),
+    )
+
+
+# ---------------------------------------------------------------- G: sinks, checks
+
+def sink_parquet(spark, sf_dir):
+    path = files.write_parquet(tm.table(spark, sf_dir, "nation"), scratch_path(spark, "nation_pq"))
+    return files.read_parquet(spark, path)
+
+
+def sink_csv(spark, sf_dir):
+    sup = tm.table(spark, sf_dir, "supplier")
+    path = files.write_csv(sup, scratch_path(spark, "supplier_out"))
+    return files.read_csv_back(spark, path, sup.schema)
+
+
+def sink_jdbc(spark, sf_dir):
+    url, props = jdbc.derby_memory_url()
+    jdbc.write_jdbc(tm.table(spark, sf_dir, "nation"), url, "NATION", props, mode="overwrite")
+    return jdbc.read_jdbc(spark, url, "NATION", props)
+
+
+def _db() -> str:
+    return f"starmart_{uuid.uuid4().hex[:8]}"
+
+
+def warehouse_tables(spark, sf_dir):
+    s = star(spark, sf_dir)
+    db = _db()
+    warehouse.publish(spark, warehouse.to_warehouse(s.tables()), db, scratch_path(spark, "wh"))
+    return warehouse.table_counts(spark, db, S.LOAD_ORDER)
+
+
+def cast_to_warehouse_schema(spark, sf_dir):
+    return warehouse.cast_to_schema(clean.lowercase_columns(star(spark, sf_dir).fact),
+                                    S.WAREHOUSE["fact_table"])
+
+
+def check_primary_key(spark, sf_dir):
+    o = tm.table(spark, sf_dir, "orders")
+    doubled = o.unionByName(o.where(F.col("o_totalprice") > 450000))
+    return quality.check_primary_key(doubled, "o_orderkey")
+
+
+def check_foreign_key(spark, sf_dir):
+    o = tm.table(spark, sf_dir, "orders")
+    orphans = quality.check_foreign_key(o, tm.emp_master(spark, sf_dir), "o_custkey", "EmployeeID")
+    return orphans.select("o_orderkey", "o_custkey")
+
+
+def check_max_length(spark, sf_dir):
+    d = tm.table(spark, sf_dir, "documents")
+    return quality.check_max_length(d, ["text"]).select(
+        "doc_id", F.length("text").alias("text_length"))
+
+
+def full_refresh_twice(spark, sf_dir):
+    db, root = _db(), scratch_path(spark, "refresh")
+    nation = tm.table(spark, sf_dir, "nation")
+    warehouse.publish(spark, {"nation": nation}, db, root, check=False)
+    warehouse.publish(spark, {"nation": nation}, db, root, check=False)
+    return spark.table(f"`{db}`.`nation`")
+
+
+def staged_job(spark, sf_dir):
+    root = scratch_path(spark, "staged")
+    write_snapshot_files(spark, tm.snapshot(spark, sf_dir), f"{root}/in")
+    cfg = jobs.JobConfig(snapshot_dir=f"{root}/in", stage_dir=f"{root}/stage", pattern="*.csv",
+                         recursive=True, database=_db())
+    tables = jobs.run_all(spark, cfg, masters={})
+    return tables["fact_table"]
+
+
+def quality_checks(spark, sf_dir) -> dict[str, DataFrame]:
+    raw = dedup_snapshots(tm.with_defects(tm.snapshot(spark, sf_dir)))
+    pay = clean_payroll(raw, keep_raw_date=True)
+    s = build_star(pay.drop("AgencyStartDate_raw"))
+    checks = warehouse.warehouse_checks(warehouse.to_warehouse(s.tables()))
+    checks["null_start_date_text"] = pay.where(F.col("AgencyStartDate_raw").isNull())
+    checks["unparsed_start_date"] = pay.where(
+        F.col("AgencyStartDate_raw").isNotNull() & F.col("AgencyStartDate").isNull())
+    checks["start_after_fiscal_year"] = pay.where(F.year("AgencyStartDate") > F.col("FiscalYear"))
+    checks["negative_pay"] = pay.where(
+        (F.col("RegularGrossPaid") < 0) | (F.col("TotalOTPaid") < 0) | (F.col("TotalOtherPay") < 0)
+        | (F.col("BaseSalary") < 0))
+    enriched = joins.enrich_with_masters(pay, tm.emp_master(spark, sf_dir),
+                                         tm.agency_master(spark, sf_dir),
+                                         tm.title_master(spark, sf_dir))
+    checks["emp_master_orphans"] = enriched.where(~F.col("in_emp_master"))
+    checks["agency_master_orphans"] = enriched.where(~F.col("in_agency_master"))
+    checks["title_master_orphans"] = enriched.where(~F.col("in_title_master"))
+    return checks
+
+
+def quality_report(spark, sf_dir):
+    return quality.quality_report(quality_checks(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- I: marts
+
 def allocation_by_agency_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = star(spark, sf_dir)
     return marts.allocation_by_agency_year(s.fact, s.agency, s.time)
 
 
+def allocation_year_over_year(spark, sf_dir):
+    return marts.allocation_year_over_year(allocation_by_agency_year(spark, sf_dir))
+
+
+def public_view(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return marts.public_view(spark, s.fact, s.agency, s.jobtitle, s.time)
+
+
+PRUNE_YEAR = 1996
+
+
+def partition_pruned_scan(spark, sf_dir):
+    o = tm.table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
+    path = files.write_parquet(o, scratch_path(spark, "orders_by_year"), partition_by=["o_year"])
+    return marts.partition_pruned_scan(spark, path, "o_year", PRUNE_YEAR)
+
+
 QUERIES = {
+    "scan_csv_infer": scan_csv_infer,
+    "scan_csv_schema": scan_csv_schema,
+    "scan_csv_glob": scan_csv_glob,
+    "load_snapshots": load_snapshots,
+    "stage_roundtrip": stage_roundtrip,
+    "project_columns": project_columns,
+    "select_alias_qualified": select_alias_qualified,
+    "parse_mdy_date": parse_mdy_date,
+    "fill_nulls_by_type": fill_nulls_by_type,
+    "lowercase_columns": lowercase_columns,
+    "null_audit": null_audit,
+    "filter_is_null": filter_is_null,
+    "surrogate_key_small": surrogate_key_small,
+    "surrogate_key_bucketed": surrogate_key_bucketed,
+    "schema_profile": schema_profile,
+    "dedup_business_key": dedup_business_key,
+    "dedup_latest": dedup_latest,
+    "distinct_pairs": distinct_pairs,
+    "distinct_years": distinct_years,
+    "row_count": row_count,
+    "left_join_three_keys": left_join_three_keys,
+    "left_join_two_keys": left_join_two_keys,
+    "left_join_title": left_join_title,
+    "enrich_with_masters": enrich_with_masters,
+    "inner_join_natural_keys": inner_join_natural_keys,
+    "inner_join_agency": inner_join_agency,
+    "inner_join_title": inner_join_title,
+    "inner_join_time": inner_join_time,
+    "union_positional": union_positional,
+    "union_by_name_drift": union_by_name_drift,
+    "preview_limit": preview_limit,
+    "dim_employee": dim_employee,
+    "dim_agency": dim_agency,
+    "dim_jobtitle": dim_jobtitle,
+    "dim_time": dim_time,
+    "fact_payroll": fact_payroll,
+    "fact_payroll_natural": fact_payroll_natural,
+    "star_schema_end_to_end": star_schema_end_to_end,
+    "sink_parquet": sink_parquet,
+    "sink_csv": sink_csv,
+    "sink_jdbc": sink_jdbc,
+    "warehouse_tables": warehouse_tables,
+    "cast_to_warehouse_schema": cast_to_warehouse_schema,
+    "check_primary_key": check_primary_key,
+    "check_foreign_key": check_foreign_key,
+    "check_max_length": check_max_length,
+    "full_refresh_twice": full_refresh_twice,
+    "staged_job": staged_job,
+    "quality_report": quality_report,
     "allocation_by_agency_year": allocation_by_agency_year,
+    "allocation_year_over_year": allocation_year_over_year,
+    "public_view": public_view,
+    "partition_pruned_scan": partition_pruned_scan,
 }

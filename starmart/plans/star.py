@@ -37,9 +37,11 @@ def dedup_snapshots(df: DataFrame) -> DataFrame:
 def clean_payroll(df: DataFrame, keep_raw_date: bool = False) -> DataFrame:
     """Parse the start date (bad text -> null, row kept), then fill nulls by type.
 
-    The date is parsed before the fill, so a date column is never filled.
+    The date is parsed before the fill, so a date column is never filled; the
+    kept raw text (``keep_raw_date``) is not filled either.
     """
-    return fill_nulls_by_type(parse_dates(df, ["AgencyStartDate"], keep_raw=keep_raw_date))
+    parsed = parse_dates(df, ["AgencyStartDate"], keep_raw=keep_raw_date)
+    return fill_nulls_by_type(parsed, exclude=["AgencyStartDate_raw"])
 
 
 def build_employee_dim(df: DataFrame) -> DataFrame:
