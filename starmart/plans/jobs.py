@@ -72,7 +72,7 @@ def transform(spark: SparkSession, cfg: JobConfig,
 
     star = build_star(payroll.drop("AgencyStartDate_raw"), natural=cfg.natural, materialize=keep)
     fact = keep("fact_table", star.fact)
-    star = Star(star.employee, star.agency, star.jobtitle, star.time, fact)
+    star = Star(star.employee, star.agency, star.jobtitle, star.time, _fact=fact)
 
     checks = warehouse.warehouse_checks(star.tables())
     checks["unparsed_start_date"] = payroll.where(

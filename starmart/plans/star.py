@@ -15,6 +15,7 @@ Two ways to attach dimension keys to the fact:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -69,11 +70,21 @@ def build_time_dim(df: DataFrame) -> DataFrame:
 
 @dataclass
 class Star:
+    """The four dimensions and the fact. The fact is built on first use: its
+    dense key cuts lineage with a checkpoint (an action), which a caller that
+    only wants a dimension should not pay for."""
     employee: DataFrame
     agency: DataFrame
     jobtitle: DataFrame
     time: DataFrame
-    fact: DataFrame
+    make_fact: Callable[[], DataFrame] | None = None
+    _fact: DataFrame | None = None
+
+    @property
+    def fact(self) -> DataFrame:
+        if self._fact is None:
+            self._fact = self.make_fact()
+        return self._fact
 
     def tables(self) -> dict[str, DataFrame]:
         return {"employee": self.employee, "agency": self.agency, "jobtitle": self.jobtitle,
@@ -118,5 +129,6 @@ def build_star(payroll: DataFrame, natural: bool = False, guard: bool = True,
     agency = keep("agency", build_agency_dim(payroll))
     title = keep("jobtitle", build_title_dim(payroll))
     time = keep("time", build_time_dim(payroll))
-    fact = build_fact(payroll, time, emp, agency, title, natural=natural, guard=guard)
-    return Star(emp, agency, title, time, fact)
+    return Star(emp, agency, title, time,
+                make_fact=lambda: build_fact(payroll, time, emp, agency, title,
+                                             natural=natural, guard=guard))
