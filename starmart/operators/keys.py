@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.session import reliable_checkpoint
+
 _LOW33 = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -38,9 +40,7 @@ def dense_key(df: DataFrame, order: list[str], name: str,
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # fixes which rows sit in which partition, in which order, across the two
     # reads below and across task retries
-    from starmart.session import checkpoint_root
-    checkpoint_root(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = reliable_checkpoint(ranged)
     tagged = ranged.withColumns({
         "_pid": F.spark_partition_id(),
         "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)),

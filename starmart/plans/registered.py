@@ -18,22 +18,27 @@ from starmart import testmap as tm
 from starmart.functions import clean
 from starmart.operators import dedup, joins, keys, quality
 from starmart.plans import jobs, marts
-from starmart.plans.star import (build_employee_dim, build_star, build_time_dim, clean_payroll,
-                                 dedup_snapshots)
-from starmart.session import scratch_path
+from starmart.plans.star import (build_agency_dim, build_employee_dim, build_star, build_time_dim,
+                                 build_title_dim, clean_payroll, dedup_snapshots)
+from starmart.session import reliable_checkpoint, scratch_path
 from starmart.sinks import files, jdbc, warehouse
 from starmart.sources import csv as src
 
 
 # ---------------------------------------------------------------- payroll base
 
-def payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merged snapshot -> dedup on (EmployeeID, FiscalYear) -> clean."""
-    return clean_payroll(dedup_snapshots(tm.snapshot(spark, sf_dir)))
+def payroll(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """Merged snapshot -> dedup on (EmployeeID, FiscalYear) -> clean.
+
+    ``materialize`` writes it once (reliable checkpoint) for callers that read
+    it several times - the star reads it for four dimensions and the fact.
+    """
+    pay = clean_payroll(dedup_snapshots(tm.snapshot(spark, sf_dir)))
+    return reliable_checkpoint(pay) if materialize else pay
 
 
 def star(spark: SparkSession, sf_dir: str, natural: bool = False):
-    return build_star(payroll(spark, sf_dir), natural=natural)
+    return build_star(payroll(spark, sf_dir, materialize=True), natural=natural)
 
 
 def write_snapshot_files(spark: SparkSession, snap: DataFrame, root: str) -> str:
@@ -86,7 +91,7 @@ def project_columns(spark, sf_dir):
 
 
 def select_alias_qualified(spark, sf_dir):
-    pay = payroll(spark, sf_dir)
+    pay = payroll(spark, sf_dir, materialize=True)
     emp = build_employee_dim(pay)
     j = pay.join(emp.alias("e"), ["LastName"], "inner")
     return j.select(F.col("e.EmployeeID").alias("EmployeeID"), "PayrollNumber", "FiscalYear")
@@ -195,7 +200,7 @@ def enrich_with_masters(spark, sf_dir):
 
 
 def inner_join_natural_keys(spark, sf_dir):
-    pay = payroll(spark, sf_dir)
+    pay = payroll(spark, sf_dir, materialize=True)
     emp = build_employee_dim(pay)
     joins.assert_unique(emp, S.EMPLOYEE_NATURAL, "employee dimension")
     j = pay.join(emp.alias("e"), S.EMPLOYEE_NATURAL, "inner")
@@ -203,21 +208,19 @@ def inner_join_natural_keys(spark, sf_dir):
 
 
 def inner_join_agency(spark, sf_dir):
-    pay = payroll(spark, sf_dir)
-    s = star(spark, sf_dir)
-    j = joins.join_dimension(pay, s.agency, ["AgencyName"], "a")
+    pay = payroll(spark, sf_dir, materialize=True)
+    j = joins.join_dimension(pay, build_agency_dim(pay), ["AgencyName"], "a")
     return j.select(F.col("a.AgencyID").alias("AgencyID"), "AgencyName", "PayrollNumber")
 
 
 def inner_join_title(spark, sf_dir):
-    pay = payroll(spark, sf_dir)
-    s = star(spark, sf_dir)
-    j = joins.join_dimension(pay, s.jobtitle, ["TitleDescription"], "t")
+    pay = payroll(spark, sf_dir, materialize=True)
+    j = joins.join_dimension(pay, build_title_dim(pay), ["TitleDescription"], "t")
     return j.select(F.col("t.TitleCode").alias("TitleCode"), "TitleDescription", "PayrollNumber")
 
 
 def inner_join_time(spark, sf_dir):
-    pay = payroll(spark, sf_dir)
+    pay = payroll(spark, sf_dir, materialize=True)
     j = joins.join_dimension(pay, build_time_dim(pay), ["FiscalYear"], "d")
     return j.select("TimeID", "FiscalYear", "PayrollNumber")
 
@@ -280,8 +283,8 @@ def star_schema_end_to_end(spark, sf_dir):
     raw = tm.with_defects(tm.snapshot(spark, sf_dir))
     root = write_snapshot_files(spark, raw, scratch_path(spark, "raw_snapshots"))
     merged = src.load_snapshots(spark, src.discover_files(spark, root, "*.csv", recursive=True))
-    s = build_star(clean_payroll(dedup_snapshots(merged)))
-    f = s.fact.join(F.broadcast(s.time), ["TimeID"])
+    s = build_star(reliable_checkpoint(clean_payroll(dedup_snapshots(merged))))
+    f = s.fact_rows()
     return f.groupBy("AgencyID", "FiscalYear", "TitleCode").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("AgencyStartDate").isNull()).alias("n_null_start"),
@@ -389,7 +392,7 @@ def quality_report(spark, sf_dir):
 
 def allocation_by_agency_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = star(spark, sf_dir)
-    return marts.allocation_by_agency_year(s.fact, s.agency, s.time)
+    return marts.allocation_by_agency_year(s.fact_rows(), s.agency, s.time)
 
 
 def allocation_year_over_year(spark, sf_dir):

@@ -79,6 +79,7 @@ class Star:
     time: DataFrame
     make_fact: Callable[[], DataFrame] | None = None
     _fact: DataFrame | None = None
+    make_fact_rows: Callable[[], DataFrame] | None = None
 
     @property
     def fact(self) -> DataFrame:
@@ -86,15 +87,23 @@ class Star:
             self._fact = self.make_fact()
         return self._fact
 
+    def fact_rows(self) -> DataFrame:
+        """The fact's rows and dimension keys without PayrollID: for marts that
+        aggregate and never read the surrogate key, so they skip the dense-key
+        pass (its range shuffle and checkpoint)."""
+        if self.make_fact_rows is None:
+            return self.fact.drop("PayrollID")
+        return self.make_fact_rows()
+
     def tables(self) -> dict[str, DataFrame]:
         return {"employee": self.employee, "agency": self.agency, "jobtitle": self.jobtitle,
                 "time": self.time, "fact_table": self.fact}
 
 
-def build_fact(df: DataFrame, time_dim: DataFrame, employee_dim: DataFrame | None = None,
-               agency_dim: DataFrame | None = None, title_dim: DataFrame | None = None,
-               natural: bool = False, guard: bool = True) -> DataFrame:
-    """Fact rows with a dense PayrollID in (FiscalYear, EmployeeID, PayrollNumber) order."""
+def build_fact_rows(df: DataFrame, time_dim: DataFrame, employee_dim: DataFrame | None = None,
+                    agency_dim: DataFrame | None = None, title_dim: DataFrame | None = None,
+                    natural: bool = False, guard: bool = True) -> DataFrame:
+    """Fact columns except PayrollID, plus FiscalYear (the key's leading order)."""
     if not natural:
         keyed = df.join(checked_broadcast(time_dim), ["FiscalYear"], "inner")
         base = keyed.select(*[c for c in S.FACT_COLS if c != "PayrollID"], "FiscalYear")
@@ -111,9 +120,18 @@ def build_fact(df: DataFrame, time_dim: DataFrame, employee_dim: DataFrame | Non
             F.col("e.EmployeeID").alias("EmployeeID"), F.col("a.AgencyID").alias("AgencyID"),
             F.col("t.TitleCode").alias("TitleCode"), "TimeID", "PayrollNumber", "BaseSalary",
             "PayBasis", "AgencyStartDate", *S.MEASURES, "FiscalYear")
-    keyed = dense_key(base, ["FiscalYear", "EmployeeID", "PayrollNumber", "AgencyID", "TitleCode"],
-                      "PayrollID")
-    return keyed.select(*S.FACT_COLS)
+    return base
+
+
+FACT_ORDER = ["FiscalYear", "EmployeeID", "PayrollNumber", "AgencyID", "TitleCode"]
+
+
+def build_fact(df: DataFrame, time_dim: DataFrame, employee_dim: DataFrame | None = None,
+               agency_dim: DataFrame | None = None, title_dim: DataFrame | None = None,
+               natural: bool = False, guard: bool = True) -> DataFrame:
+    """Fact rows with a dense PayrollID in ``FACT_ORDER``."""
+    base = build_fact_rows(df, time_dim, employee_dim, agency_dim, title_dim, natural, guard)
+    return dense_key(base, FACT_ORDER, "PayrollID").select(*S.FACT_COLS)
 
 
 def build_star(payroll: DataFrame, natural: bool = False, guard: bool = True,
@@ -131,4 +149,6 @@ def build_star(payroll: DataFrame, natural: bool = False, guard: bool = True,
     time = keep("time", build_time_dim(payroll))
     return Star(emp, agency, title, time,
                 make_fact=lambda: build_fact(payroll, time, emp, agency, title,
-                                             natural=natural, guard=guard))
+                                             natural=natural, guard=guard),
+                make_fact_rows=lambda: build_fact_rows(payroll, time, emp, agency, title,
+                                                       natural=natural, guard=guard))

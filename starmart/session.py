@@ -48,3 +48,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root for a written table."""
     return f"{checkpoint_root(spark)}/starmart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """Materialize ``df`` under the checkpoint root and cut its lineage.
+
+    Reliable (written to the shared folder), never ``localCheckpoint``: a lost
+    executor does not lose the data, and later reads do not re-run the plan.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
