@@ -33,10 +33,12 @@ class NoSnapshotFiles(ValueError):
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-             infer: bool = False, header: bool = True) -> DataFrame:
+             infer: bool = False, header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
     """CSV scan. An explicit ``schema`` is the default; ``infer=True`` keeps the
-    reference's behaviour (an extra pass over the data to guess types)."""
-    reader = spark.read.option("header", header)
+    reference's behaviour (an extra pass over the data to guess types).
+    ``mode='FAILFAST'`` aborts on a field that does not fit its type instead
+    of reading it as null."""
+    reader = spark.read.option("header", header).option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
@@ -71,9 +73,13 @@ def canonical_names(header: tuple[str, ...], renames: dict[str, str]) -> list[st
 def load_snapshots(spark: SparkSession, paths: list[str],
                    schema: T.StructType = schemas.PAYROLL_SCHEMA,
                    renames: dict[str, str] | None = None,
-                   infer: bool = False) -> DataFrame:
+                   infer: bool = False, mode: str = "FAILFAST") -> DataFrame:
     """All snapshot files as one frame with ``schema``'s column names and order.
 
+    Pay that does not fit DECIMAL(10,2), or a non-number in a numeric field,
+    fails the load (``mode='FAILFAST'``) rather than turning into a null that
+    the fill step would make 0. Empty fields are nulls, not errors.
+
     ``infer=True`` reads each group with type inference and lets
     ``unionByName`` widen (int with double gives double), as the reference
     does; the default reads with the fixed ``schema``.
@@ -97,11 +103,11 @@ def load_snapshots(spark: SparkSession, paths: list[str],
             raise ValueError(f"header {header} does not fit the schema: "
                              f"unknown {unknown}, missing {missing}")
         if infer:
-            df = read_csv(spark, files, infer=True)
+            df = read_csv(spark, files, infer=True, mode=mode)
             df = df.toDF(*names)
         else:
             file_schema = T.StructType([by_name[n] for n in names])
-            df = read_csv(spark, files, schema=file_schema)
+            df = read_csv(spark, files, schema=file_schema, mode=mode)
         frames.append(df.select(*schema.fieldNames()))
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -1,0 +1,144 @@
+"""Made-up payroll files carrying each trap of the reference data model."""
+
+import csv
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart import schemas as S
+from starmart.operators.joins import NaturalKeyNotUnique
+from starmart.plans.star import build_star, clean_payroll, dedup_snapshots
+from starmart.sources.csv import NoSnapshotFiles, discover_files, load_snapshots
+
+BASE = dict(FiscalYear="2020", PayrollNumber="10", AgencyID="2001", AgencyName="AGENCY A",
+            EmployeeID="1", LastName="DOE", FirstName="JANE", AgencyStartDate="9/12/2016",
+            WorkLocationBorough="BRONX", TitleCode="100", TitleDescription="CLERK",
+            LeaveStatusasofJune30="ACTIVE", BaseSalary="50000", PayBasis="per Annum",
+            RegularHours="1820.5", RegularGrossPaid="49000.10", OTHours="0", TotalOTPaid="0",
+            TotalOtherPay="0")
+
+
+def row(**kw):
+    r = dict(BASE)
+    r.update({k: str(v) for k, v in kw.items()})
+    return r
+
+
+def write(path, rows, agency_col="AgencyID"):
+    header = [agency_col if c == "AgencyID" else c for c in S.PAYROLL_COLUMNS]
+    with open(path, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(header)
+        for r in rows:
+            w.writerow([r[c] for c in S.PAYROLL_COLUMNS])
+    return str(path)
+
+
+ROWS_2020 = [
+    row(),                                                       # employee 1, 2020
+    row(EmployeeID=2, LastName="ROE", WorkLocationBorough="BRONX", PayrollNumber=11),
+    row(EmployeeID=3, LastName="TWIN", PayrollNumber=12),
+    row(EmployeeID=4, LastName="TWIN", PayrollNumber=13),        # same name/status/borough as 3
+    row(EmployeeID=5, LastName="", TitleCode="", OTHours="", PayrollNumber=14,
+        AgencyStartDate="bad"),
+    row(EmployeeID=6, AgencyID=9999, AgencyName="UNKNOWN AGENCY", PayrollNumber=15,
+        AgencyStartDate=""),
+    row(EmployeeID=7, TotalOtherPay="-100.25", PayrollNumber=16, AgencyStartDate="13/40/2020"),
+    row(EmployeeID=8, FiscalYear=2021, PayrollNumber=30),        # dup of (8, 2021) below
+]
+ROWS_2021 = [
+    row(FiscalYear=2021, PayrollNumber=20, RegularHours="1820"),
+    row(FiscalYear=2021, EmployeeID=2, LastName="ROE", WorkLocationBorough="QUEENS", PayrollNumber=21),
+    row(FiscalYear=2021, EmployeeID=8, PayrollNumber=31, RegularGrossPaid="1.00"),
+]
+
+
+@pytest.fixture
+def snapshot_dir(tmp_path):
+    write(tmp_path / "nycpayroll_2020.csv", ROWS_2020)
+    write(tmp_path / "nycpayroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
+    (tmp_path / "notes.txt").write_text("not a snapshot")
+    return tmp_path
+
+
+def merged(spark, d, reverse=False):
+    paths = discover_files(spark, str(d), "nycpayroll_*.csv")
+    return load_snapshots(spark, list(reversed(paths)) if reverse else paths)
+
+
+def test_discovery_ignores_other_files(spark, snapshot_dir):
+    paths = discover_files(spark, str(snapshot_dir), "nycpayroll_*.csv")
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["nycpayroll_2020.csv", "nycpayroll_2021.csv"]
+
+
+def test_no_files_is_a_clear_error(spark, tmp_path):
+    with pytest.raises(NoSnapshotFiles):
+        discover_files(spark, str(tmp_path), "nycpayroll_*.csv")
+    with pytest.raises(NoSnapshotFiles):
+        discover_files(spark, str(tmp_path / "missing"), "nycpayroll_*.csv")
+
+
+def test_renamed_column_lands_under_agency_id_in_either_order(spark, snapshot_dir):
+    a = merged(spark, snapshot_dir)
+    b = merged(spark, snapshot_dir, reverse=True)
+    assert a.columns == S.PAYROLL_COLUMNS == b.columns
+    assert sorted(a.collect()) == sorted(b.collect())
+    ids = {r.AgencyID for r in a.where("FiscalYear = 2021").collect()}
+    assert ids == {2001}
+
+
+def test_int_and_double_measures_become_decimal(spark, snapshot_dir):
+    df = merged(spark, snapshot_dir)
+    assert dict(df.dtypes)["RegularHours"] == "decimal(10,2)"
+    hours = {r.PayrollNumber: r.RegularHours for r in df.collect()}
+    assert hours[10] == Decimal("1820.50") and hours[20] == Decimal("1820.00")
+
+
+def test_duplicate_business_key_keeps_lowest_payroll_number_for_any_file_order(spark, snapshot_dir):
+    for rev in (False, True):
+        d = dedup_snapshots(merged(spark, snapshot_dir, reverse=rev))
+        picks = d.where("EmployeeID = 8").collect()
+        assert [(r.FiscalYear, r.PayrollNumber) for r in picks] == [(2021, 30)]
+        assert d.count() == len(ROWS_2020) + len(ROWS_2021) - 1
+
+
+def test_bad_dates_and_nulls(spark, snapshot_dir):
+    pay = clean_payroll(dedup_snapshots(merged(spark, snapshot_dir)), keep_raw_date=True)
+    by = {r.EmployeeID: r for r in pay.where("FiscalYear = 2020").collect()}
+    assert by[1].AgencyStartDate == dt.date(2016, 9, 12)
+    assert by[5].AgencyStartDate is None and by[5].AgencyStartDate_raw == "bad"
+    assert by[6].AgencyStartDate is None and by[6].AgencyStartDate_raw is None
+    assert by[7].AgencyStartDate is None                      # 13/40/2020
+    assert by[5].LastName == "Unknown" and by[5].TitleCode == 0
+    assert by[5].OTHours == Decimal("0.00")
+    assert by[7].TotalOtherPay == Decimal("-100.25")          # negative pay is kept
+
+
+def test_changed_borough_and_shared_names(spark, snapshot_dir):
+    pay = clean_payroll(dedup_snapshots(merged(spark, snapshot_dir)))
+    star = build_star(pay)
+    emp = {r.EmployeeID: r for r in star.employee.collect()}
+    assert emp[2].WorkLocationBorough == "QUEENS"             # latest year wins
+    fact = star.fact
+    assert fact.count() == pay.count()                        # by id: nothing lost
+    assert [r.PayrollID for r in fact.orderBy("PayrollID").collect()] == list(range(1, pay.count() + 1))
+    assert fact.where("EmployeeID = 2").count() == 2
+    with pytest.raises(NaturalKeyNotUnique):                  # TWIN 3 and 4 share all attributes
+        build_star(pay, natural=True).fact
+    unguarded = build_star(pay, natural=True, guard=False).fact
+    # employee 2's 2020 row (BRONX) no longer matches the dimension; the twins
+    # fan out 2 x 2, and again x 2 because the filled title code 0 also says CLERK
+    assert unguarded.where("PayrollNumber = 11").count() == 0
+    twins = unguarded.where("PayrollNumber IN (12, 13)")
+    assert twins.count() == 8
+    assert {r.EmployeeID for r in twins.collect()} == {3, 4}
+    assert {r.TitleCode for r in twins.collect()} == {0, 100}
+
+
+def test_pay_beyond_decimal_10_2_fails_loudly(spark, tmp_path):
+    write(tmp_path / "nycpayroll_2020.csv", [row(RegularGrossPaid="123456789.00")])
+    df = merged(spark, tmp_path)
+    with pytest.raises(Exception):
+        df.collect()
