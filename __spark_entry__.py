@@ -226,6 +226,8 @@ def oracle_sql() -> dict[str, str]:
         "scan_csv_glob": "SELECT * FROM nation",
         "load_snapshots": f"""WITH {SNAP} SELECT * FROM snap
             QUALIFY row_number() OVER (PARTITION BY EmployeeID, FiscalYear ORDER BY PayrollNumber) = 1""",
+        "incremental_ingest": f"""WITH {SNAP} SELECT * FROM snap
+            QUALIFY row_number() OVER (PARTITION BY EmployeeID, FiscalYear ORDER BY PayrollNumber) = 1""",
         "stage_roundtrip": f"WITH {PAY} SELECT * FROM pay",
         "project_columns": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
         "select_alias_qualified": f"""WITH {STAR}

@@ -78,6 +78,20 @@ def load_snapshots(spark, sf_dir):
     return dedup_snapshots(src.load_snapshots(spark, paths))
 
 
+def incremental_ingest(spark, sf_dir):
+    """Snapshot files arrive in two drops; each availableNow run of the file
+    stream ingests only the new ones; the bronze table is deduplicated."""
+    from starmart.streaming.snapshots import ingest, read_bronze
+    root = scratch_path(spark, "stream")
+    snap = tm.snapshot(spark, sf_dir)
+    files.write_csv(snap.where(F.col("FiscalYear") % 2 == 0), f"{root}/in/even")
+    ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", "*.csv", recursive=True)
+    files.write_csv(snap.where(F.col("FiscalYear") % 2 == 1)
+                    .withColumnRenamed("AgencyID", "AgencyCode"), f"{root}/in/odd")
+    ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", "*.csv", recursive=True)
+    return read_bronze(spark, f"{root}/bronze")
+
+
 def stage_roundtrip(spark, sf_dir):
     pay = payroll(spark, sf_dir)
     path = src.write_stage(pay, scratch_path(spark, "stage"), partition_by=["FiscalYear"])
@@ -418,6 +432,7 @@ QUERIES = {
     "scan_csv_schema": scan_csv_schema,
     "scan_csv_glob": scan_csv_glob,
     "load_snapshots": load_snapshots,
+    "incremental_ingest": incremental_ingest,
     "stage_roundtrip": stage_roundtrip,
     "project_columns": project_columns,
     "select_alias_qualified": select_alias_qualified,
