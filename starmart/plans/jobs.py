@@ -66,12 +66,13 @@ def transform(spark: SparkSession, cfg: JobConfig,
     payroll = clean_payroll(merged, keep_raw_date=True)
     masters = masters if masters is not None else _masters(spark, cfg)
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        write_stage(df, cfg.stage(name))
-        return read_stage(spark, cfg.stage(name))
+    def keep(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        write_stage(df, cfg.stage(name), partition_by=partition_by)
+        return read_stage(spark, cfg.stage(name)).select(*df.columns)
 
     star = build_star(payroll.drop("AgencyStartDate_raw"), natural=cfg.natural, materialize=keep)
-    fact = keep("fact_table", star.fact)
+    # one folder per fiscal year (TimeID is 1:1 with it): reads of a year prune
+    fact = keep("fact_table", star.fact, partition_by=["TimeID"])
     star = Star(star.employee, star.agency, star.jobtitle, star.time, _fact=fact)
 
     checks = warehouse.warehouse_checks(star.tables())
