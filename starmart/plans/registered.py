@@ -45,6 +45,7 @@ def write_snapshot_files(spark: SparkSession, snap: DataFrame, root: str) -> str
     """Snapshot rows as CSV files with a header per file; odd fiscal years use
     the drifted header (AgencyCode for AgencyID), as the yearly files do."""
     odd = F.col("FiscalYear") % 2 == 1
+    snap = reliable_checkpoint(snap)  # two writes read it
     files.write_csv(snap.where(~odd), f"{root}/even")
     files.write_csv(snap.where(odd).withColumnRenamed("AgencyID", "AgencyCode"), f"{root}/odd")
     return root
@@ -83,7 +84,7 @@ def incremental_ingest(spark, sf_dir):
     stream ingests only the new ones; the bronze table is deduplicated."""
     from starmart.streaming.snapshots import ingest, read_bronze
     root = scratch_path(spark, "stream")
-    snap = tm.snapshot(spark, sf_dir)
+    snap = reliable_checkpoint(tm.snapshot(spark, sf_dir))
     files.write_csv(snap.where(F.col("FiscalYear") % 2 == 0), f"{root}/in/even")
     ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", "*.csv", recursive=True)
     files.write_csv(snap.where(F.col("FiscalYear") % 2 == 1)
@@ -379,7 +380,7 @@ def staged_job(spark, sf_dir):
 
 def quality_checks(spark, sf_dir) -> dict[str, DataFrame]:
     raw = dedup_snapshots(tm.with_defects(tm.snapshot(spark, sf_dir)))
-    pay = clean_payroll(raw, keep_raw_date=True)
+    pay = reliable_checkpoint(clean_payroll(raw, keep_raw_date=True))  # ~20 checks read it
     s = build_star(pay.drop("AgencyStartDate_raw"))
     checks = warehouse.warehouse_checks(warehouse.to_warehouse(s.tables()))
     checks["null_start_date_text"] = pay.where(F.col("AgencyStartDate_raw").isNull())

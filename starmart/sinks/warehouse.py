@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from starmart import schemas as S
 from starmart.functions.clean import lowercase_columns
-from starmart.operators.quality import check_foreign_key, check_max_length, check_primary_key
+from starmart.operators.quality import (check_foreign_key, check_max_length, check_primary_key,
+                                        quality_report)
 
 
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -61,6 +62,18 @@ class ConstraintViolation(RuntimeError):
     pass
 
 
+GATING_PREFIXES = ("pk_", "fk_", "length_")
+
+
+def assert_report_clean(report: DataFrame) -> None:
+    """Raise when a quality report has violations of a warehouse constraint
+    (primary key, foreign key, text length). Other rows are informational."""
+    failed = [r.check_name for r in report.collect()
+              if r.check_name.startswith(GATING_PREFIXES) and r.violations]
+    if failed:
+        raise ConstraintViolation(f"not published, checks failed: {failed}")
+
+
 def create_database(spark: SparkSession, db: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
 
@@ -80,10 +93,11 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], db: str, root: st
     if check:
         staged = {n: spark.read.parquet(p) for n, p in written.items()}
         checks = warehouse_checks({n: d for n, d in staged.items() if n in S.WAREHOUSE})
-        bad = {n: c.limit(1).count() for n, c in checks.items()}
-        failed = [n for n, v in bad.items() if v]
-        if failed:
-            raise ConstraintViolation(f"not published, checks failed: {failed}")
+        if checks:
+            # all checks as one job; the report is one small row per check
+            failed = [r.check_name for r in quality_report(checks).collect() if r.violations]
+            if failed:
+                raise ConstraintViolation(f"not published, checks failed: {failed}")
     for name in order:
         spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
         spark.sql(f"CREATE TABLE `{db}`.`{name}` USING parquet LOCATION '{written[name]}'")

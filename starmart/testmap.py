@@ -18,15 +18,17 @@ The test tables hold no payroll, so a payroll row is an order of a customer:
   OTHours, TotalOTPaid  quantity, extended price of the order's returned lines
   TotalOtherPay         extended price of the order's open lines
 
-Everything is cast to decimal(10,2) before it is summed, so both engines add
-exact numbers. Lines are aggregated per order before the join (partial
-aggregate map-side), then joined to orders on the order key.
+Amounts are cast to decimals before they are summed (line amounts to
+decimal(8,2), the rest to decimal(10,2)), so both engines add exact numbers.
+Lines are aggregated per order before the join (partial aggregate map-side),
+then joined to orders on the order key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart import schemas as S
 
@@ -41,15 +43,22 @@ def money(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast(S.MONEY)
 
 
+# A line's quantity and extended price fit decimal(8,2) (quantity <= 50, price
+# below 10^6); at that precision Spark sums the unscaled 64-bit values instead
+# of BigDecimals. A value that does not fit fails the cast (ANSI mode).
+LINE = T.DecimalType(8, 2)
+
+
 def line_totals(lineitem: DataFrame) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
     open_ = F.col("l_linestatus") == "O"
     zero = F.lit(0).cast(S.MONEY)
+    qty, price = F.col("l_quantity").cast(LINE), F.col("l_extendedprice").cast(LINE)
     return lineitem.groupBy("l_orderkey").agg(
-        F.sum(money("l_quantity")).alias("hours"),
-        F.sum(F.when(returned, money("l_quantity"))).alias("ot_hours"),
-        F.sum(F.when(returned, money("l_extendedprice"))).alias("ot_paid"),
-        F.sum(F.when(open_, money("l_extendedprice"))).alias("other_pay"),
+        F.sum(qty).alias("hours"),
+        F.sum(F.when(returned, qty)).alias("ot_hours"),
+        F.sum(F.when(returned, price)).alias("ot_paid"),
+        F.sum(F.when(open_, price)).alias("other_pay"),
     ).select("l_orderkey", *[F.coalesce(F.col(c), zero).cast(S.MONEY).alias(c)
                              for c in ["hours", "ot_hours", "ot_paid", "other_pay"]])
 
