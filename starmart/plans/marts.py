@@ -15,18 +15,29 @@ def allocation_by_agency_year(fact: DataFrame, agency: DataFrame, time: DataFram
     """Pay per agency and fiscal year.
 
     Pay bases differ by row (annum, day, hour), so base salaries are not
-    summed; the paid amounts are. The aggregate runs on the fact's ids first
-    (partial + final, a hot agency is pre-summed per task), and the small
-    dimensions are joined to the aggregated rows only.
+    summed; the paid amounts are. Two aggregation levels instead of
+    ``countDistinct`` next to sums (which makes Spark copy every row through
+    an Expand before the first shuffle): first per (agency, year, employee),
+    then per (agency, year), where counting the first level's rows counts
+    distinct employees. Both levels combine map-side, so neither a hot agency
+    nor a hot employee lands whole in one task. The small dimensions are
+    joined to the aggregated rows only.
     """
     paid = F.col("RegularGrossPaid") + F.col("TotalOTPaid") + F.col("TotalOtherPay")
-    agg = fact.groupBy("AgencyID", "TimeID").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct("EmployeeID").alias("n_employees"),
-        F.sum("RegularGrossPaid").cast(TOTAL).alias("total_gross"),
-        F.sum("TotalOTPaid").cast(TOTAL).alias("total_ot"),
-        F.sum("TotalOtherPay").cast(TOTAL).alias("total_other"),
-        F.sum(paid).cast(TOTAL).alias("total_paid"),
+    per_employee = fact.groupBy("AgencyID", "TimeID", "EmployeeID").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("RegularGrossPaid").alias("gross"),
+        F.sum("TotalOTPaid").alias("ot"),
+        F.sum("TotalOtherPay").alias("other"),
+        F.sum(paid).alias("paid"),
+    )
+    agg = per_employee.groupBy("AgencyID", "TimeID").agg(
+        F.sum("n").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_employees"),
+        F.sum("gross").cast(TOTAL).alias("total_gross"),
+        F.sum("ot").cast(TOTAL).alias("total_ot"),
+        F.sum("other").cast(TOTAL).alias("total_other"),
+        F.sum("paid").cast(TOTAL).alias("total_paid"),
     )
     out = agg.join(checked_broadcast(time), ["TimeID"]).join(checked_broadcast(agency), ["AgencyID"])
     return out.select("AgencyID", "AgencyName", "FiscalYear", "n_rows", "n_employees",
