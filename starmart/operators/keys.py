@@ -8,12 +8,14 @@ puts the partition number in the high bits, so it neither is dense nor fits a
   everything, so it is only for frames whose size is bounded by a domain, not
   by the data (distinct fiscal years, a code list).
 * ``dense_key``: the scalable form. Range-partition on the order key, sort
-  within partitions, cut lineage with a reliable ``checkpoint()`` so partition
-  contents are fixed, count rows per partition (one row per partition), turn
-  the counts into running offsets, and add each row's position inside its
-  partition. Every step is parallel; the only broadcast holds one row per
-  partition. A hot value of the leading order column does not land in one
-  task because the order key is unique and range bounds split it.
+  within partitions and write the result once as parquet under the
+  checkpoint root: part file ``k`` holds the ``k``-th range, in order. Then
+  each row's key is (rows in earlier files) + (its ``_metadata.row_index``
+  in its file) + 1. Counting rows per file reads no column data, the offsets
+  table has one row per file (the only broadcast), and nothing depends on
+  how the read is split into tasks. A hot value of the leading order column
+  does not land in one task: the order key is unique, so range bounds split
+  it across files.
 """
 
 from __future__ import annotations
@@ -21,9 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.session import reliable_checkpoint
-
-_LOW33 = (1 << 33) - 1  # monotonically_increasing_id keeps the row number in the low 33 bits
+from starmart.session import materialize
 
 
 def dense_key_small(df: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -37,19 +37,14 @@ def dense_key(df: DataFrame, order: list[str], name: str,
     """Key = 1-based position of the row in ``order`` (which must be unique)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    # fixes which rows sit in which partition, in which order, across the two
-    # reads below and across task retries
-    ranged = reliable_checkpoint(ranged)
-    tagged = ranged.withColumns({
-        "_pid": F.spark_partition_id(),
-        "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)),
-    })
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order), "dense_key")
+    tagged = ranged.withColumns({"_file": F.col("_metadata.file_name"),
+                                 "_row": F.col("_metadata.row_index")})
+    counts = tagged.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
         "_off",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
+        F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)))
-    keyed = tagged.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-    return keyed.withColumn(name, (F.col("_off") + F.col("_pos") + 1).cast("bigint")) \
-        .drop("_pid", "_pos", "_off")
+    keyed = tagged.join(F.broadcast(offsets.select("_file", "_off")), "_file")
+    return keyed.withColumn(name, (F.col("_off") + F.col("_row") + 1).cast("bigint")) \
+        .drop("_file", "_row", "_off")

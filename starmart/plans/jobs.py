@@ -107,9 +107,12 @@ def load(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     root = cfg.warehouse_dir or cfg.stage("warehouse")
     warehouse.publish(spark, typed, cfg.database, root, check=False)
     if cfg.jdbc_url:
+        # overwrite = drop and re-create with the warehouse column types, then
+        # insert; dimensions before the fact
         for name in S.LOAD_ORDER:
             write_jdbc(spark.table(f"`{cfg.database}`.`{name}`"), cfg.jdbc_url,
-                       f"{cfg.database}.{name}", cfg.jdbc_properties, mode="append")
+                       f"{cfg.database}.{name}", cfg.jdbc_properties, mode="overwrite",
+                       column_types=warehouse.ddl_columns(S.WAREHOUSE[name]).replace(" NOT NULL", ""))
     return {name: spark.table(f"`{cfg.database}`.`{name}`") for name in S.LOAD_ORDER}
 
 

@@ -20,7 +20,8 @@ from starmart.operators import dedup, joins, keys, quality
 from starmart.plans import jobs, marts
 from starmart.plans.star import (build_agency_dim, build_employee_dim, build_star, build_time_dim,
                                  build_title_dim, clean_payroll, dedup_snapshots)
-from starmart.session import reliable_checkpoint, scratch_path
+from starmart.session import materialize as materialize_table
+from starmart.session import scratch_path
 from starmart.sinks import files, jdbc, warehouse
 from starmart.sources import csv as src
 
@@ -30,11 +31,12 @@ from starmart.sources import csv as src
 def payroll(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
     """Merged snapshot -> dedup on (EmployeeID, FiscalYear) -> clean.
 
-    ``materialize`` writes it once (reliable checkpoint) for callers that read
-    it several times - the star reads it for four dimensions and the fact.
+    ``materialize`` writes it once (parquet under the checkpoint root) for
+    callers that read it several times - the star reads it for four
+    dimensions and the fact, each only the columns it needs.
     """
     pay = clean_payroll(dedup_snapshots(tm.snapshot(spark, sf_dir)))
-    return reliable_checkpoint(pay) if materialize else pay
+    return materialize_table(pay, "payroll") if materialize else pay
 
 
 def star(spark: SparkSession, sf_dir: str, natural: bool = False):
@@ -45,7 +47,7 @@ def write_snapshot_files(spark: SparkSession, snap: DataFrame, root: str) -> str
     """Snapshot rows as CSV files with a header per file; odd fiscal years use
     the drifted header (AgencyCode for AgencyID), as the yearly files do."""
     odd = F.col("FiscalYear") % 2 == 1
-    snap = reliable_checkpoint(snap)  # two writes read it
+    snap = materialize_table(snap, "snapshot")  # two writes read it
     files.write_csv(snap.where(~odd), f"{root}/even")
     files.write_csv(snap.where(odd).withColumnRenamed("AgencyID", "AgencyCode"), f"{root}/odd")
     return root
@@ -84,7 +86,7 @@ def incremental_ingest(spark, sf_dir):
     stream ingests only the new ones; the bronze table is deduplicated."""
     from starmart.streaming.snapshots import ingest, read_bronze
     root = scratch_path(spark, "stream")
-    snap = reliable_checkpoint(tm.snapshot(spark, sf_dir))
+    snap = materialize_table(tm.snapshot(spark, sf_dir), "snapshot")
     files.write_csv(snap.where(F.col("FiscalYear") % 2 == 0), f"{root}/in/even")
     ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", "*.csv", recursive=True)
     files.write_csv(snap.where(F.col("FiscalYear") % 2 == 1)
@@ -298,7 +300,7 @@ def star_schema_end_to_end(spark, sf_dir):
     raw = tm.with_defects(tm.snapshot(spark, sf_dir))
     root = write_snapshot_files(spark, raw, scratch_path(spark, "raw_snapshots"))
     merged = src.load_snapshots(spark, src.discover_files(spark, root, "*.csv", recursive=True))
-    s = build_star(reliable_checkpoint(clean_payroll(dedup_snapshots(merged))))
+    s = build_star(materialize_table(clean_payroll(dedup_snapshots(merged)), "payroll"))
     f = s.fact_rows()
     return f.groupBy("AgencyID", "FiscalYear", "TitleCode").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -380,7 +382,7 @@ def staged_job(spark, sf_dir):
 
 def quality_checks(spark, sf_dir) -> dict[str, DataFrame]:
     raw = dedup_snapshots(tm.with_defects(tm.snapshot(spark, sf_dir)))
-    pay = reliable_checkpoint(clean_payroll(raw, keep_raw_date=True))  # ~20 checks read it
+    pay = materialize_table(clean_payroll(raw, keep_raw_date=True), "payroll")  # ~20 checks read it
     s = build_star(pay.drop("AgencyStartDate_raw"))
     checks = warehouse.warehouse_checks(warehouse.to_warehouse(s.tables()))
     checks["null_start_date_text"] = pay.where(F.col("AgencyStartDate_raw").isNull())

@@ -58,3 +58,13 @@ def reliable_checkpoint(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the checkpoint root and return the
+    re-read table: lineage is cut, later reads are columnar (only the columns
+    a consumer needs are read) and survive lost executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -78,6 +78,25 @@ def create_database(spark: SparkSession, db: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
 
 
+def ddl_columns(schema: T.StructType, varchar: int = S.VARCHAR_LIMIT) -> str:
+    """Column list in the warehouse's types: strings as VARCHAR(limit), which
+    Spark enforces on insert (a longer text fails the write)."""
+    def sql_type(dt: T.DataType) -> str:
+        return f"VARCHAR({varchar})" if isinstance(dt, T.StringType) else dt.simpleString().upper()
+    return ", ".join(f"{f.name} {sql_type(f.dataType)}" + ("" if f.nullable else " NOT NULL")
+                     for f in schema.fields)
+
+
+def create_warehouse(spark: SparkSession, db: str, root: str) -> None:
+    """The warehouse DDL as catalog tables: database, then each of the five
+    tables dropped and created empty with its typed columns (dims first)."""
+    create_database(spark, db)
+    for name in S.LOAD_ORDER:
+        spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
+        spark.sql(f"CREATE TABLE `{db}`.`{name}` ({ddl_columns(S.WAREHOUSE[name])}) "
+                  f"USING parquet LOCATION '{root.rstrip('/')}/{name}/empty'")
+
+
 def publish(spark: SparkSession, tables: dict[str, DataFrame], db: str, root: str,
             check: bool = True) -> dict[str, str]:
     """Full refresh of ``db`` from ``tables`` (dims before fact), returns the
@@ -99,8 +118,9 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], db: str, root: st
             if failed:
                 raise ConstraintViolation(f"not published, checks failed: {failed}")
     for name in order:
+        cols = f"({ddl_columns(S.WAREHOUSE[name])}) " if name in S.WAREHOUSE else ""
         spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
-        spark.sql(f"CREATE TABLE `{db}`.`{name}` USING parquet LOCATION '{written[name]}'")
+        spark.sql(f"CREATE TABLE `{db}`.`{name}` {cols}USING parquet LOCATION '{written[name]}'")
     return written
 
 

@@ -59,3 +59,31 @@ def test_warehouse_checks_find_orphans(spark):
     checks = warehouse.warehouse_checks({"employee": emp, "fact_table": fact})
     assert checks["fk_employee"].count() == 1
     assert checks["pk_fact_table"].count() == 0
+
+
+def test_create_warehouse_enforces_varchar_limit(spark, scratch):
+    db = "starmart_ddl_test"
+    warehouse.create_warehouse(spark, db, scratch)
+    ddl = spark.sql(f"SHOW CREATE TABLE {db}.agency").first()[0]
+    assert "agencyid INT" in ddl and "agencyname VARCHAR(1000)" in ddl
+    spark.sql(f"INSERT INTO {db}.agency VALUES (1, 'ok')")
+    with pytest.raises(Exception):
+        spark.sql(f"INSERT INTO {db}.agency VALUES (2, repeat('x', 1001))")
+    assert spark.table(f"{db}.agency").count() == 1
+
+
+def test_staged_job_loads_jdbc_with_warehouse_types(spark, scratch):
+    from starmart.plans import jobs
+    from starmart.plans import registered as R
+    root = f"{scratch}/job"
+    R.write_snapshot_files(spark, tm.snapshot(spark, SF_SMALL), f"{root}/in")
+    url, props = jdbc.derby_memory_url()
+    cfg = jobs.JobConfig(snapshot_dir=f"{root}/in", stage_dir=f"{root}/stage", pattern="*.csv",
+                         recursive=True, database="starmart_jdbc_job", jdbc_url=url,
+                         jdbc_properties=props)
+    tables = jobs.run_all(spark, cfg, masters={})
+    for name in S.LOAD_ORDER:
+        back = jdbc.read_jdbc(spark, url, f"starmart_jdbc_job.{name}", props)
+        assert back.count() == tables[name].count()
+    emp = jdbc.read_jdbc(spark, url, "starmart_jdbc_job.employee", props)
+    assert dict(emp.dtypes)["lastname"] == "string" and dict(emp.dtypes)["employeeid"] == "int"
