@@ -94,3 +94,26 @@ def test_staged_job_on_shipped_data(spark, scratch):
     assert report["agency_master_orphans"] == 101
     assert report["start_after_fiscal_year"] == 2            # the 1998 and 1999 rows
     assert all(v == 0 for k, v in report.items() if k.startswith(("pk_", "fk_", "length_")))
+
+
+def test_inference_path_widens_like_the_reference(spark):
+    """infer=True: RegularHours is int in 2021 and double in 2020; the union
+    by name widens to double, and the drifted column still lands by name."""
+    paths = discover_files(spark, PAYROLL_DIR, "nycpayroll_*.csv")
+    for order in (paths, list(reversed(paths))):
+        df = load_snapshots(spark, order, infer=True)
+        types = dict(df.dtypes)
+        assert types["RegularHours"] == "double" and types["AgencyID"] == "int"
+        assert df.count() == 201
+        assert df.where("AgencyID IS NULL").count() == 0
+
+
+def test_csv_stage_handoff_loses_empty_strings(spark, scratch):
+    """The reference's CSV hand-off: an empty string comes back as null."""
+    from starmart.sources.csv import read_stage, write_stage
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "x")], "k int, s string")
+    path = write_stage(df, f"{scratch}/csv_stage", fmt="csv")
+    back = {r.k: r.s for r in read_stage(spark, path, schema=df.schema, fmt="csv").collect()}
+    assert back == {1: None, 2: None, 3: "x"}
+    pq = write_stage(df, f"{scratch}/pq_stage")
+    assert {r.k: r.s for r in read_stage(spark, pq).collect()}[1] == ""
