@@ -11,7 +11,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starmart import schemas as S
 from starmart import testmap as tm
