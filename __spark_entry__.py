@@ -231,8 +231,8 @@ def oracle_sql() -> dict[str, str]:
         "stage_roundtrip": f"WITH {PAY} SELECT * FROM pay",
         "project_columns": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
         "select_alias_qualified": f"""WITH {STAR}
-            SELECT e.EmployeeID, p.PayrollNumber, p.FiscalYear
-            FROM pay p JOIN employee_dim e ON p.LastName = e.LastName""",
+            SELECT a.AgencyID, p.PayrollNumber, p.FiscalYear
+            FROM pay p JOIN agency_dim a ON p.AgencyName = a.AgencyName""",
         "parse_mdy_date": """SELECT o_orderkey, start_text,
               CAST(try_strptime(start_text, '%m/%d/%Y') AS DATE) AS start_date
             FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'bad'

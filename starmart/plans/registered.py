@@ -107,10 +107,13 @@ def project_columns(spark, sf_dir):
 
 
 def select_alias_qualified(spark, sf_dir):
+    """Both sides carry AgencyID; the dimension's copy is picked by alias. The
+    lookup key is checked unique first, so a row matches at most one row."""
     pay = payroll(spark, sf_dir, materialize=True)
-    emp = build_employee_dim(pay)
-    j = pay.join(emp.alias("e"), ["LastName"], "inner")
-    return j.select(F.col("e.EmployeeID").alias("EmployeeID"), "PayrollNumber", "FiscalYear")
+    agency = build_agency_dim(pay)
+    joins.assert_unique(agency, ["AgencyName"], "agency dimension")
+    j = pay.join(joins.checked_broadcast(agency).alias("a"), ["AgencyName"], "inner")
+    return j.select(F.col("a.AgencyID").alias("AgencyID"), "PayrollNumber", "FiscalYear")
 
 
 def parse_mdy_date(spark, sf_dir):
@@ -225,13 +228,17 @@ def inner_join_natural_keys(spark, sf_dir):
 
 def inner_join_agency(spark, sf_dir):
     pay = payroll(spark, sf_dir, materialize=True)
-    j = joins.join_dimension(pay, build_agency_dim(pay), ["AgencyName"], "a")
+    agency = build_agency_dim(pay)
+    joins.assert_unique(agency, ["AgencyName"], "agency dimension")
+    j = joins.join_dimension(pay, agency, ["AgencyName"], "a")
     return j.select(F.col("a.AgencyID").alias("AgencyID"), "AgencyName", "PayrollNumber")
 
 
 def inner_join_title(spark, sf_dir):
     pay = payroll(spark, sf_dir, materialize=True)
-    j = joins.join_dimension(pay, build_title_dim(pay), ["TitleDescription"], "t")
+    title = build_title_dim(pay)
+    joins.assert_unique(title, ["TitleDescription"], "job title dimension")
+    j = joins.join_dimension(pay, title, ["TitleDescription"], "t")
     return j.select(F.col("t.TitleCode").alias("TitleCode"), "TitleDescription", "PayrollNumber")
 
 
