@@ -1,27 +1,61 @@
 """Joins of the payroll star: master enrichment and dimension lookups.
 
-Broadcast is used only behind a size check: ``small_enough`` counts at most
-``limit + 1`` rows of the candidate side. Above the limit the join is left to
-the planner (sort-merge, or AQE's runtime switch on measured sizes), and AQE's
-skew-join handling splits a hot key on the big side.
+Broadcast is used only behind a size check: ``small_enough`` reads at most
+``limit + 1`` rows of the candidate side and, in the same pass, adds up their
+bytes (actual text lengths plus fixed-width columns). Above either bound the
+join is left to the planner (sort-merge, or AQE's runtime switch on measured
+sizes), and AQE's skew-join handling splits a hot key on the big side.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 1_000_000  # rows; dimensions of a payroll star are far below this
-
-
-def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1)."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if its row count is proven under ``limit``, else ``df``."""
-    return F.broadcast(df) if small_enough(df, limit) else df
+from pyspark.sql import types as T
+
+BROADCAST_ROWS = 1_000_000       # dimensions of a payroll star are far below this
+BROADCAST_BYTES = 64 * 1024 ** 2  # what every executor would hold per broadcast
+
+
+def _fixed_width(dt: T.DataType) -> int:
+    if isinstance(dt, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
+        return 8
+    return 16  # decimals and anything else: an upper bound for the star's types
+
+
+def _row_bytes(df: DataFrame) -> F.Column:
+    """Bytes of a row: UTF-8 length of text/binary columns, fixed size of the rest."""
+    fixed, variable = 0, []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            variable.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        else:
+            fixed += _fixed_width(f.dataType)
+    total = F.lit(fixed + 8)  # + per-row overhead
+    for v in variable:
+        total = total + v
+    return total
+
+
+def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS,
+                 max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``limit`` rows that together take at most
+    ``max_bytes`` (one pass over at most limit+1 rows)."""
+    r = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"),
+                                F.sum(_row_bytes(df)).alias("b")).first()
+    return r.n <= limit and (r.b or 0) <= max_bytes
+
+
+def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS,
+                      max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its size is proven under both bounds, else ``df``."""
+    return F.broadcast(df) if small_enough(df, limit, max_bytes) else df
 
 
 def left_join_master(df: DataFrame, master: DataFrame, keys: list[str],

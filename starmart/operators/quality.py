@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.schemas import VARCHAR_LIMIT
@@ -46,8 +46,22 @@ def violations(name: str, rows: DataFrame) -> DataFrame:
         .select(F.lit(name).alias("check_name"), "violations")
 
 
-def quality_report(checks: dict[str, DataFrame]) -> DataFrame:
-    """One row per check. Each check is one small aggregate; the union runs
-    them as one job."""
+def condition_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """(check_name, violations) for many row conditions over ONE frame in one
+    scan: a ``count_if`` per condition, then the one-row result is turned into
+    rows. A condition that is null for a row does not count it (as ``where``)."""
+    names = list(conditions)
+    wide = df.agg(*[F.count_if(conditions[n]).alias(f"_{i}") for i, n in enumerate(names)])
+    pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"_{i}").alias("violations"))
+                      for i, n in enumerate(names)])
+    return wide.select(F.explode(pairs).alias("c")).select("c.check_name", "c.violations")
+
+
+def quality_report(checks: dict[str, DataFrame],
+                   row_conditions: list[tuple[DataFrame, dict[str, Column]]] | None = None) -> DataFrame:
+    """One row per check: ``checks`` are frames of violating rows (counted
+    each), ``row_conditions`` are (frame, {name: condition}) counted in one
+    scan per frame. The union runs as one job."""
     parts = [violations(name, rows) for name, rows in checks.items()]
+    parts += [condition_counts(df, conds) for df, conds in (row_conditions or []) if conds]
     return reduce(DataFrame.unionByName, parts)

@@ -76,17 +76,18 @@ def transform(spark: SparkSession, cfg: JobConfig,
     star = Star(star.employee, star.agency, star.jobtitle, star.time, _fact=fact)
 
     checks = warehouse.warehouse_checks(star.tables())
-    checks["unparsed_start_date"] = payroll.where(
-        F.col("AgencyStartDate_raw").isNotNull() & F.col("AgencyStartDate").isNull())
-    checks["start_after_fiscal_year"] = payroll.where(
-        F.year("AgencyStartDate") > F.col("FiscalYear"))
+    conditions = {
+        "unparsed_start_date": F.col("AgencyStartDate_raw").isNotNull() & F.col("AgencyStartDate").isNull(),
+        "start_after_fiscal_year": F.year("AgencyStartDate") > F.col("FiscalYear"),
+    }
     enriched = enrich_with_masters(payroll, masters.get("emp"), masters.get("agency"),
                                    masters.get("title"))
     for flag, name in [("in_emp_master", "emp"), ("in_agency_master", "agency"),
                        ("in_title_master", "title")]:
         if masters.get(name) is not None:
-            checks[f"{name}_master_orphans"] = enriched.where(~F.col(flag))
-    write_stage(quality_report(checks), cfg.stage("quality_report"))
+            conditions[f"{name}_master_orphans"] = ~F.col(flag)
+    # row conditions: one scan of the merged stage for all of them
+    write_stage(quality_report(checks, [(enriched, conditions)]), cfg.stage("quality_report"))
     return star
 
 

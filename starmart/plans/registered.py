@@ -386,29 +386,33 @@ def staged_job(spark, sf_dir):
     return tables["fact_table"]
 
 
-def quality_checks(spark, sf_dir) -> dict[str, DataFrame]:
+def quality_inputs(spark, sf_dir):
+    """The checks over the defect-carrying snapshot: warehouse constraints on
+    the star (frames of violating rows) and row conditions over the payroll
+    and its master matches (counted in one scan per frame)."""
     raw = dedup_snapshots(tm.with_defects(tm.snapshot(spark, sf_dir)))
-    pay = materialize_table(clean_payroll(raw, keep_raw_date=True), "payroll")  # ~20 checks read it
+    pay = materialize_table(clean_payroll(raw, keep_raw_date=True), "payroll")  # read by all checks
     s = build_star(pay.drop("AgencyStartDate_raw"))
     checks = warehouse.warehouse_checks(warehouse.to_warehouse(s.tables()))
-    checks["null_start_date_text"] = pay.where(F.col("AgencyStartDate_raw").isNull())
-    checks["unparsed_start_date"] = pay.where(
-        F.col("AgencyStartDate_raw").isNotNull() & F.col("AgencyStartDate").isNull())
-    checks["start_after_fiscal_year"] = pay.where(F.year("AgencyStartDate") > F.col("FiscalYear"))
-    checks["negative_pay"] = pay.where(
-        (F.col("RegularGrossPaid") < 0) | (F.col("TotalOTPaid") < 0) | (F.col("TotalOtherPay") < 0)
-        | (F.col("BaseSalary") < 0))
+    row_conditions = {
+        "null_start_date_text": F.col("AgencyStartDate_raw").isNull(),
+        "unparsed_start_date": F.col("AgencyStartDate_raw").isNotNull() & F.col("AgencyStartDate").isNull(),
+        "start_after_fiscal_year": F.year("AgencyStartDate") > F.col("FiscalYear"),
+        "negative_pay": (F.col("RegularGrossPaid") < 0) | (F.col("TotalOTPaid") < 0)
+                        | (F.col("TotalOtherPay") < 0) | (F.col("BaseSalary") < 0),
+        "emp_master_orphans": ~F.col("in_emp_master"),
+        "agency_master_orphans": ~F.col("in_agency_master"),
+        "title_master_orphans": ~F.col("in_title_master"),
+    }
     enriched = joins.enrich_with_masters(pay, tm.emp_master(spark, sf_dir),
                                          tm.agency_master(spark, sf_dir),
                                          tm.title_master(spark, sf_dir))
-    checks["emp_master_orphans"] = enriched.where(~F.col("in_emp_master"))
-    checks["agency_master_orphans"] = enriched.where(~F.col("in_agency_master"))
-    checks["title_master_orphans"] = enriched.where(~F.col("in_title_master"))
-    return checks
+    return checks, [(enriched, row_conditions)]
 
 
 def quality_report(spark, sf_dir):
-    return quality.quality_report(quality_checks(spark, sf_dir))
+    checks, row_conditions = quality_inputs(spark, sf_dir)
+    return quality.quality_report(checks, row_conditions)
 
 
 # ---------------------------------------------------------------- I: marts

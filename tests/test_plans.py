@@ -39,6 +39,7 @@ def test_checked_broadcast(spark):
     nation = tm.table(spark, SF_SMALL, "nation")
     assert small_enough(nation, 100)
     assert not small_enough(nation, 10)
+    assert not small_enough(nation, 100, max_bytes=100)   # 25 rows are more than 100 bytes
     orders = tm.table(spark, SF_SMALL, "orders")
     cust = tm.table(spark, SF_SMALL, "customer")
     j = cust.join(checked_broadcast(nation, 100), cust.c_nationkey == nation.n_nationkey)
