@@ -103,3 +103,9 @@ def schema_profile(df: DataFrame) -> DataFrame:
     ])
     return wide.select(F.explode(F.array(*[f"_{i}" for i in range(len(fields))])).alias("a")) \
         .select("a.ordinal", "a.column_name", "a.data_type", "a.non_null_count")
+
+
+def preview(df: DataFrame, n: int = 20, order: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows in a stated order (repeatable, unlike ``show``'s
+    first rows). Planned as a per-task top-n plus one merge, not a full sort."""
+    return df.orderBy(*(order or df.columns[:1])).limit(n)

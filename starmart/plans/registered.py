@@ -271,7 +271,7 @@ def union_by_name_drift(spark, sf_dir):
 
 
 def preview_limit(spark, sf_dir):
-    return tm.table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(10)
+    return clean.preview(tm.table(spark, sf_dir, "orders"), 10, ["o_orderkey"])
 
 
 # ---------------------------------------------------------------- F: star

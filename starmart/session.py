@@ -28,19 +28,28 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_FALLBACK_ROOT: str | None = None  # only when the session names no checkpoint folder
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session; only when nothing is set (tests, the local bench)
     a private temporary folder is created and registered.
     """
-    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context object
+        sc = None
+    if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="starmart-ckpt-")
-    if sc.getCheckpointDir() is None:
+        global _FALLBACK_ROOT
+        if _FALLBACK_ROOT is None:
+            _FALLBACK_ROOT = tempfile.mkdtemp(prefix="starmart-ckpt-")
+        root = _FALLBACK_ROOT
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
