@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.plans import registered as R
+from starmart.schemas import PAYROLL_COLUMNS
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -209,6 +210,7 @@ def _quality_sql() -> str:
         _count("agency_master_orphans", f"SELECT * FROM rpay p WHERE NOT EXISTS (SELECT 1 FROM agency_master am WHERE {AGENCY_ON})"),
         _count("title_master_orphans", f"SELECT * FROM rpay p WHERE NOT EXISTS (SELECT 1 FROM title_master tm WHERE {TITLE_ON})"),
     ]
+    parts += [_count(f"null_{c}", f"SELECT * FROM rdedup WHERE {c} IS NULL") for c in PAYROLL_COLUMNS]
     return f"WITH {RAW_PAY},{star_ctes('rpay', r)},{MASTERS}\n" + "\nUNION ALL\n".join(parts)
 
 

@@ -86,8 +86,11 @@ def transform(spark: SparkSession, cfg: JobConfig,
                        ("in_title_master", "title")]:
         if masters.get(name) is not None:
             conditions[f"{name}_master_orphans"] = ~F.col(flag)
-    # row conditions: one scan of the merged stage for all of them
-    write_stage(quality_report(checks, [(enriched, conditions)]), cfg.stage("quality_report"))
+    # the null audit of the merged stage before the fill, and the row
+    # conditions: one scan each for all of their checks
+    nulls = {f"null_{c}": F.col(c).isNull() for c in S.PAYROLL_COLUMNS}
+    report = quality_report(checks, [(merged, nulls), (enriched, conditions)])
+    write_stage(report, cfg.stage("quality_report"))
     return star
 
 

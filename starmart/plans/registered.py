@@ -390,8 +390,9 @@ def quality_inputs(spark, sf_dir):
     """The checks over the defect-carrying snapshot: warehouse constraints on
     the star (frames of violating rows) and row conditions over the payroll
     and its master matches (counted in one scan per frame)."""
-    raw = dedup_snapshots(tm.with_defects(tm.snapshot(spark, sf_dir)))
-    pay = materialize_table(clean_payroll(raw, keep_raw_date=True), "payroll")  # read by all checks
+    # written once: the null audit reads it, the cleaned payroll is a projection of it
+    raw = materialize_table(dedup_snapshots(tm.with_defects(tm.snapshot(spark, sf_dir))), "merged")
+    pay = clean_payroll(raw, keep_raw_date=True)
     s = build_star(pay.drop("AgencyStartDate_raw"))
     checks = warehouse.warehouse_checks(warehouse.to_warehouse(s.tables()))
     row_conditions = {
@@ -407,7 +408,8 @@ def quality_inputs(spark, sf_dir):
     enriched = joins.enrich_with_masters(pay, tm.emp_master(spark, sf_dir),
                                          tm.agency_master(spark, sf_dir),
                                          tm.title_master(spark, sf_dir))
-    return checks, [(enriched, row_conditions)]
+    nulls = {f"null_{c}": F.col(c).isNull() for c in S.PAYROLL_COLUMNS}
+    return checks, [(raw, nulls), (enriched, row_conditions)]
 
 
 def quality_report(spark, sf_dir):

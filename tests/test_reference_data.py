@@ -94,6 +94,7 @@ def test_staged_job_on_shipped_data(spark, scratch):
     assert report["agency_master_orphans"] == 101
     assert report["start_after_fiscal_year"] == 2            # the 1998 and 1999 rows
     assert all(v == 0 for k, v in report.items() if k.startswith(("pk_", "fk_", "length_")))
+    assert all(report[f"null_{c}"] == 0 for c in S.PAYROLL_COLUMNS)   # FIXTURES: no empty field
 
 
 def test_inference_path_widens_like_the_reference(spark):
