@@ -24,14 +24,17 @@ def allocation_by_agency_year(fact: DataFrame, agency: DataFrame, time: DataFram
     joined to the aggregated rows only.
     """
     paid = F.col("RegularGrossPaid") + F.col("TotalOTPaid") + F.col("TotalOtherPay")
-    per_employee = fact.groupBy("AgencyID", "TimeID", "EmployeeID").agg(
+    # fact rows that still carry FiscalYear (Star.fact_rows) group by it
+    # directly; the published fact has only TimeID and looks the year up
+    year = "FiscalYear" if "FiscalYear" in fact.columns else "TimeID"
+    per_employee = fact.groupBy("AgencyID", year, "EmployeeID").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("RegularGrossPaid").alias("gross"),
         F.sum("TotalOTPaid").alias("ot"),
         F.sum("TotalOtherPay").alias("other"),
         F.sum(paid).alias("paid"),
     )
-    agg = per_employee.groupBy("AgencyID", "TimeID").agg(
+    agg = per_employee.groupBy("AgencyID", year).agg(
         F.sum("n").alias("n_rows"),
         F.count(F.lit(1)).alias("n_employees"),
         F.sum("gross").cast(TOTAL).alias("total_gross"),
@@ -39,7 +42,9 @@ def allocation_by_agency_year(fact: DataFrame, agency: DataFrame, time: DataFram
         F.sum("other").cast(TOTAL).alias("total_other"),
         F.sum("paid").cast(TOTAL).alias("total_paid"),
     )
-    out = agg.join(checked_broadcast(time), ["TimeID"]).join(checked_broadcast(agency), ["AgencyID"])
+    if year == "TimeID":
+        agg = agg.join(checked_broadcast(time), ["TimeID"])
+    out = agg.join(checked_broadcast(agency), ["AgencyID"])
     return out.select("AgencyID", "AgencyName", "FiscalYear", "n_rows", "n_employees",
                       "total_gross", "total_ot", "total_other", "total_paid")
 

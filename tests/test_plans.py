@@ -61,3 +61,12 @@ def test_fact_by_id_has_no_join_over_the_payroll_besides_time(spark):
     s = R.star(spark, SF_SMALL)
     text = plan(s.fact_rows())
     assert text.count("SortMergeJoin") == 0
+
+
+def test_allocation_same_over_published_fact_and_fact_rows(spark):
+    from starmart.plans import marts
+    s = R.star(spark, SF_SMALL)
+    a = marts.allocation_by_agency_year(s.fact, s.agency, s.time)
+    b = marts.allocation_by_agency_year(s.fact_rows(), s.agency, s.time)
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert "Expand" not in plan(b)
