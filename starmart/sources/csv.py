@@ -8,10 +8,15 @@ the job runs. Here:
 * files are listed by the file source itself (``binaryFile`` with only the
   ``path`` column selected: nothing is read), so the listing works on any
   Hadoop file system and an empty match is a clear error;
-* only each file's header line is probed; files with the same header form a
-  group, and each group is read by ONE scan with a fixed schema in that
-  header's column order. Groups are few (one per schema version), so the plan
-  stays small however many files there are;
+* header lines are probed (every file, or for large sets one file per
+  folder); files with the same header form a group, and each group is read
+  by ONE scan with a fixed schema in that header's column order. Groups are
+  few (one per schema version), so the plan stays small however many files
+  there are;
+* every group scan runs with ``enforceSchema=false``: Spark checks each
+  file's header against the group's column names while reading, so a file
+  whose header differs from what was probed fails the load instead of
+  landing its columns under the wrong names;
 * the groups are combined by name after the rename map, never by position.
 """
 
@@ -33,12 +38,16 @@ class NoSnapshotFiles(ValueError):
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-             infer: bool = False, header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+             infer: bool = False, header: bool = True, mode: str = "PERMISSIVE",
+             check_header: bool = False) -> DataFrame:
     """CSV scan. An explicit ``schema`` is the default; ``infer=True`` keeps the
     reference's behaviour (an extra pass over the data to guess types).
     ``mode='FAILFAST'`` aborts on a field that does not fit its type instead
-    of reading it as null."""
+    of reading it as null. ``check_header`` makes Spark compare every file's
+    header with the schema's names (by position) and fail on a difference."""
     reader = spark.read.option("header", header).option("mode", mode)
+    if check_header:
+        reader = reader.option("enforceSchema", False)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
@@ -70,10 +79,42 @@ def canonical_names(header: tuple[str, ...], renames: dict[str, str]) -> list[st
     return [renames.get(c, c) for c in header]
 
 
+PROBE_ALL_UP_TO = 256  # files; above this one file per folder is probed
+
+
+def _folder(path: str) -> str:
+    return path.rsplit("/", 1)[0]
+
+
+def probe_headers(spark: SparkSession, paths: list[str], probe: str = "auto") -> dict[str, tuple[str, ...]]:
+    """Header of each path. ``probe='all'`` reads every file's first line;
+    ``'per_folder'`` reads one file per folder and assumes the rest of the
+    folder shares it (the group scan then verifies that, file by file);
+    ``'auto'`` is 'all' up to ``PROBE_ALL_UP_TO`` files."""
+    if probe == "auto":
+        probe = "all" if len(paths) <= PROBE_ALL_UP_TO else "per_folder"
+    if probe == "all":
+        targets = list(paths)
+    elif probe == "per_folder":
+        first: dict[str, str] = {}
+        for p in paths:
+            first.setdefault(_folder(p), p)
+        targets = list(first.values())
+    else:
+        raise ValueError(f"probe must be 'auto', 'all' or 'per_folder', not {probe!r}")
+    with ThreadPoolExecutor(max_workers=min(16, len(targets))) as pool:
+        found = dict(zip(targets, pool.map(lambda p: read_header(spark, p), targets)))
+    if probe == "all":
+        return found
+    by_folder = {_folder(p): h for p, h in found.items()}
+    return {p: by_folder[_folder(p)] for p in paths}
+
+
 def load_snapshots(spark: SparkSession, paths: list[str],
                    schema: T.StructType = schemas.PAYROLL_SCHEMA,
                    renames: dict[str, str] | None = None,
-                   infer: bool = False, mode: str = "FAILFAST") -> DataFrame:
+                   infer: bool = False, mode: str = "FAILFAST",
+                   probe: str = "auto") -> DataFrame:
     """All snapshot files as one frame with ``schema``'s column names and order.
 
     Pay that does not fit DECIMAL(10,2), or a non-number in a numeric field,
@@ -87,11 +128,10 @@ def load_snapshots(spark: SparkSession, paths: list[str],
     renames = schemas.RENAMES if renames is None else renames
     if not paths:
         raise NoSnapshotFiles("no snapshot files given")
-    with ThreadPoolExecutor(max_workers=min(16, len(paths))) as pool:
-        headers = list(pool.map(lambda p: read_header(spark, p), paths))
+    headers = probe_headers(spark, paths, probe)
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for p, h in zip(paths, headers):
-        groups[h].append(p)
+    for p in paths:
+        groups[headers[p]].append(p)
 
     by_name = {f.name: f for f in schema.fields}
     frames = []
@@ -103,12 +143,13 @@ def load_snapshots(spark: SparkSession, paths: list[str],
             raise ValueError(f"header {header} does not fit the schema: "
                              f"unknown {unknown}, missing {missing}")
         if infer:
-            df = read_csv(spark, files, infer=True, mode=mode)
-            df = df.toDF(*names)
+            df = read_csv(spark, files, infer=True, mode=mode, check_header=True)
         else:
-            file_schema = T.StructType([by_name[n] for n in names])
-            df = read_csv(spark, files, schema=file_schema, mode=mode)
-        frames.append(df.select(*schema.fieldNames()))
+            # the files' own names (so Spark can check each header), canonical types
+            file_schema = T.StructType([T.StructField(h, by_name[n].dataType)
+                                        for h, n in zip(header, names)])
+            df = read_csv(spark, files, schema=file_schema, mode=mode, check_header=True)
+        frames.append(df.toDF(*names).select(*schema.fieldNames()))
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 

@@ -142,3 +142,27 @@ def test_pay_beyond_decimal_10_2_fails_loudly(spark, tmp_path):
     df = merged(spark, tmp_path)
     with pytest.raises(Exception):
         df.collect()
+
+
+def test_per_folder_probe_is_verified_file_by_file(spark, snapshot_dir):
+    paths = discover_files(spark, str(snapshot_dir), "nycpayroll_*.csv")
+    ok = load_snapshots(spark, paths, probe="all")
+    assert ok.count() == len(ROWS_2020) + len(ROWS_2021)
+    # one folder, two headers: probing one file per folder guesses wrong for
+    # the other, and the scan's header check refuses instead of misreading
+    wrong = load_snapshots(spark, paths, probe="per_folder")
+    with pytest.raises(Exception):
+        wrong.collect()
+
+
+def test_per_folder_probe_on_folders_with_one_header_each(spark, tmp_path):
+    (tmp_path / "y2020").mkdir()
+    (tmp_path / "y2021").mkdir()
+    write(tmp_path / "y2020" / "nycpayroll_2020.csv", ROWS_2020)
+    write(tmp_path / "y2020" / "nycpayroll_2020b.csv", ROWS_2020[:2])
+    write(tmp_path / "y2021" / "nycpayroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
+    paths = discover_files(spark, str(tmp_path), "nycpayroll_*.csv", recursive=True)
+    a = load_snapshots(spark, paths, probe="per_folder")
+    b = load_snapshots(spark, paths, probe="all")
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert a.count() == len(ROWS_2020) + 2 + len(ROWS_2021)
