@@ -34,10 +34,14 @@ def dense_key_small(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
 def dense_key(df: DataFrame, order: list[str], name: str,
               partitions: int | None = None) -> DataFrame:
-    """Key = 1-based position of the row in ``order`` (which must be unique)."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order), "dense_key")
+    """Key = 1-based position of the row in ``order`` (which must be unique).
+
+    Without ``partitions`` the range count follows the session's shuffle
+    partitions and AQE may merge small neighbouring ranges; merged ranges are
+    contiguous, so file order is still key order."""
+    ranged = (df.repartitionByRange(*order) if partitions is None
+              else df.repartitionByRange(partitions, *order))
+    ranged = materialize(ranged.sortWithinPartitions(*order), "dense_key")
     tagged = ranged.withColumns({"_file": F.col("_metadata.file_name"),
                                  "_row": F.col("_metadata.row_index")})
     counts = tagged.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
