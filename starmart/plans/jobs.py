@@ -28,13 +28,13 @@ from starmart.sources.csv import discover_files, load_snapshots, read_csv, read_
 class JobConfig:
     snapshot_dir: str
     stage_dir: str
-    pattern: str = "nycpayroll_*.csv"
+    pattern: str = "*payroll_*.csv"
     recursive: bool = False
     emp_master: str | None = None       # CSV paths of the masters (optional)
     agency_master: str | None = None
     title_master: str | None = None
     natural: bool = False               # reference-parity fact joins
-    database: str = "nyc_payroll"
+    database: str = "payroll"
     warehouse_dir: str | None = None    # where published tables live
     jdbc_url: str | None = None
     jdbc_properties: dict[str, str] = field(default_factory=dict)

@@ -41,7 +41,7 @@ def new_files_stream(spark: SparkSession, directory: str, pattern: str,
 
 
 def ingest(spark: SparkSession, directory: str, bronze: str, checkpoint: str,
-           pattern: str = "nycpayroll_*.csv", recursive: bool = False,
+           pattern: str = "*payroll_*.csv", recursive: bool = False,
            max_files_per_trigger: int | None = 1000) -> StreamingQuery:
     """Append the rows of files not seen before to the bronze table; returns
     the (finished) query. The list of new paths per batch is bounded by

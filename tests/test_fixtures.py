@@ -57,27 +57,27 @@ ROWS_2021 = [
 
 @pytest.fixture
 def snapshot_dir(tmp_path):
-    write(tmp_path / "nycpayroll_2020.csv", ROWS_2020)
-    write(tmp_path / "nycpayroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
+    write(tmp_path / "payroll_2020.csv", ROWS_2020)
+    write(tmp_path / "payroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
     (tmp_path / "notes.txt").write_text("not a snapshot")
     return tmp_path
 
 
 def merged(spark, d, reverse=False):
-    paths = discover_files(spark, str(d), "nycpayroll_*.csv")
+    paths = discover_files(spark, str(d), "payroll_*.csv")
     return load_snapshots(spark, list(reversed(paths)) if reverse else paths)
 
 
 def test_discovery_ignores_other_files(spark, snapshot_dir):
-    paths = discover_files(spark, str(snapshot_dir), "nycpayroll_*.csv")
-    assert [p.rsplit("/", 1)[1] for p in paths] == ["nycpayroll_2020.csv", "nycpayroll_2021.csv"]
+    paths = discover_files(spark, str(snapshot_dir), "payroll_*.csv")
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["payroll_2020.csv", "payroll_2021.csv"]
 
 
 def test_no_files_is_a_clear_error(spark, tmp_path):
     with pytest.raises(NoSnapshotFiles):
-        discover_files(spark, str(tmp_path), "nycpayroll_*.csv")
+        discover_files(spark, str(tmp_path), "payroll_*.csv")
     with pytest.raises(NoSnapshotFiles):
-        discover_files(spark, str(tmp_path / "missing"), "nycpayroll_*.csv")
+        discover_files(spark, str(tmp_path / "missing"), "payroll_*.csv")
 
 
 def test_renamed_column_lands_under_agency_id_in_either_order(spark, snapshot_dir):
@@ -138,14 +138,14 @@ def test_changed_borough_and_shared_names(spark, snapshot_dir):
 
 
 def test_pay_beyond_decimal_10_2_fails_loudly(spark, tmp_path):
-    write(tmp_path / "nycpayroll_2020.csv", [row(RegularGrossPaid="123456789.00")])
+    write(tmp_path / "payroll_2020.csv", [row(RegularGrossPaid="123456789.00")])
     df = merged(spark, tmp_path)
     with pytest.raises(Exception):
         df.collect()
 
 
 def test_per_folder_probe_is_verified_file_by_file(spark, snapshot_dir):
-    paths = discover_files(spark, str(snapshot_dir), "nycpayroll_*.csv")
+    paths = discover_files(spark, str(snapshot_dir), "payroll_*.csv")
     ok = load_snapshots(spark, paths, probe="all")
     assert ok.count() == len(ROWS_2020) + len(ROWS_2021)
     # one folder, two headers: probing one file per folder guesses wrong for
@@ -158,10 +158,10 @@ def test_per_folder_probe_is_verified_file_by_file(spark, snapshot_dir):
 def test_per_folder_probe_on_folders_with_one_header_each(spark, tmp_path):
     (tmp_path / "y2020").mkdir()
     (tmp_path / "y2021").mkdir()
-    write(tmp_path / "y2020" / "nycpayroll_2020.csv", ROWS_2020)
-    write(tmp_path / "y2020" / "nycpayroll_2020b.csv", ROWS_2020[:2])
-    write(tmp_path / "y2021" / "nycpayroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
-    paths = discover_files(spark, str(tmp_path), "nycpayroll_*.csv", recursive=True)
+    write(tmp_path / "y2020" / "payroll_2020.csv", ROWS_2020)
+    write(tmp_path / "y2020" / "payroll_2020b.csv", ROWS_2020[:2])
+    write(tmp_path / "y2021" / "payroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
+    paths = discover_files(spark, str(tmp_path), "payroll_*.csv", recursive=True)
     a = load_snapshots(spark, paths, probe="per_folder")
     b = load_snapshots(spark, paths, probe="all")
     assert sorted(a.collect()) == sorted(b.collect())

@@ -9,14 +9,14 @@ def test_only_new_files_are_ingested(spark, tmp_path, scratch):
     src = tmp_path / "in"
     src.mkdir()
     bronze, ckpt = f"{scratch}/bronze", f"{scratch}/ckpt"
-    write(src / "nycpayroll_2020.csv", ROWS_2020)
+    write(src / "payroll_2020.csv", ROWS_2020)
     ingest(spark, str(src), bronze, ckpt)
     assert read_bronze(spark, bronze, dedup=False).count() == len(ROWS_2020)
 
     ingest(spark, str(src), bronze, ckpt)            # nothing new: nothing added
     assert read_bronze(spark, bronze, dedup=False).count() == len(ROWS_2020)
 
-    write(src / "nycpayroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
+    write(src / "payroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
     ingest(spark, str(src), bronze, ckpt)
     raw = read_bronze(spark, bronze, dedup=False)
     assert raw.count() == len(ROWS_2020) + len(ROWS_2021)
