@@ -166,3 +166,20 @@ def test_per_folder_probe_on_folders_with_one_header_each(spark, tmp_path):
     b = load_snapshots(spark, paths, probe="all")
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.count() == len(ROWS_2020) + 2 + len(ROWS_2021)
+
+
+def test_reordered_columns_load_by_name(spark, tmp_path):
+    """A file whose columns come in another order (and with the drifted
+    name) still lands column by column under the right names."""
+    cols = list(reversed(S.PAYROLL_COLUMNS))
+    header = ["AgencyCode" if c == "AgencyID" else c for c in cols]
+    with open(tmp_path / "payroll_2022.csv", "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(header)
+        for r in ROWS_2021:
+            w.writerow([r[c] for c in cols])
+    write(tmp_path / "payroll_2020.csv", ROWS_2020)
+    df = merged(spark, tmp_path)
+    got = {r.PayrollNumber: r for r in df.collect()}
+    assert got[21].WorkLocationBorough == "QUEENS" and got[21].AgencyID == 2001
+    assert got[20].RegularHours == Decimal("1820.00") and got[20].FiscalYear == 2021

@@ -65,3 +65,21 @@ def test_fk_check_empty_iff_inner_join_keeps_all_rows(spark, child, parent):
     kept = c.join(p, "k").count()
     assert (orphans == 0) == (kept == len(child))
     assert orphans == sum(1 for x in child if x not in parent)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(order=st.permutations([0, 1, 2]))
+def test_snapshot_load_does_not_depend_on_file_order(spark, tmp_path_factory, order):
+    from test_fixtures import ROWS_2020, ROWS_2021, write
+
+    from starmart.plans.star import dedup_snapshots
+    from starmart.sources.csv import discover_files, load_snapshots
+    d = tmp_path_factory.mktemp("snap")
+    write(d / "payroll_a.csv", ROWS_2020)
+    write(d / "payroll_b.csv", ROWS_2021, agency_col="AgencyCode")
+    write(d / "payroll_c.csv", ROWS_2020[:3])
+    paths = discover_files(spark, str(d), "payroll_*.csv")
+    shuffled = [paths[i] for i in order]
+    a = sorted(dedup_snapshots(load_snapshots(spark, paths)).collect())
+    b = sorted(dedup_snapshots(load_snapshots(spark, shuffled)).collect())
+    assert a == b
