@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from starmart import schemas as S
 from starmart.operators.joins import enrich_with_masters
 from starmart.operators.quality import quality_report
+from starmart.plans import marts
 from starmart.plans.star import Star, build_star, clean_payroll, dedup_snapshots
 from starmart.sinks import warehouse
 from starmart.sinks.jdbc import write_jdbc
@@ -117,9 +118,32 @@ def load(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
             write_jdbc(spark.table(f"`{cfg.database}`.`{name}`"), cfg.jdbc_url,
                        f"{cfg.database}.{name}", cfg.jdbc_properties, mode="overwrite",
                        column_types=warehouse.ddl_columns(S.WAREHOUSE[name]).replace(" NOT NULL", ""))
+    publish_marts(spark, cfg.database, root)
     return {name: spark.table(f"`{cfg.database}`.`{name}`") for name in S.LOAD_ORDER}
 
 
+PUBLIC_VIEW = "public_payroll"
+ALLOCATION_TABLE = "allocation_by_agency_year"
+
+
+def publish_marts(spark: SparkSession, db: str, root: str) -> None:
+    """On top of the published star: the allocation mart as a table (re-made
+    on every load) and a permanent view for public users, which exposes pay
+    by agency, title and year but no employee id or names."""
+    t = {name: spark.table(f"`{db}`.`{name}`") for name in S.LOAD_ORDER}
+    alloc = marts.allocation_by_agency_year(t["fact_table"], t["agency"], t["time"])
+    warehouse.publish(spark, {ALLOCATION_TABLE: alloc}, db, root, check=False)
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW `{db}`.`{PUBLIC_VIEW}` AS
+        SELECT f.payrollid, a.agencyname, j.titledescription, t.fiscalyear, f.paybasis,
+               f.basesalary, f.regularhours, f.regulargrosspaid, f.othours, f.totalotpaid,
+               f.totalotherpay
+        FROM `{db}`.`fact_table` f
+        JOIN `{db}`.`agency` a ON f.agencyid = a.agencyid
+        JOIN `{db}`.`jobtitle` j ON f.titlecode = j.titlecode
+        JOIN `{db}`.`time` t ON f.timeid = t.timeid""")
+
+
 def run_all(spark: SparkSession, cfg: JobConfig,
             masters: dict[str, DataFrame | None] | None = None) -> dict[str, DataFrame]:
     extract(spark, cfg)

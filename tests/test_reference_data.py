@@ -96,6 +96,12 @@ def test_staged_job_on_shipped_data(spark, scratch):
     assert report["start_after_fiscal_year"] == 2            # the 1998 and 1999 rows
     assert all(v == 0 for k, v in report.items() if k.startswith(("pk_", "fk_", "length_")))
     assert all(report[f"null_{c}"] == 0 for c in S.PAYROLL_COLUMNS)   # FIXTURES: no empty field
+    alloc = spark.table(f"{cfg.database}.{jobs.ALLOCATION_TABLE}")
+    assert alloc.agg(F.sum("total_gross")).first()[0] == Decimal("22884717.30")
+    assert alloc.agg(F.sum("n_rows")).first()[0] == 201
+    public = spark.table(f"{cfg.database}.{jobs.PUBLIC_VIEW}")
+    assert public.count() == 201
+    assert not {"employeeid", "lastname", "firstname"} & {c.lower() for c in public.columns}
 
 
 def test_inference_path_widens_like_the_reference(spark):
