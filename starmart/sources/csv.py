@@ -81,6 +81,13 @@ def canonical_names(header: tuple[str, ...], renames: dict[str, str]) -> list[st
 
 PROBE_ALL_UP_TO = 256  # files; above this one file per folder is probed
 
+# Compressions whose files Spark cannot split (one task per file).
+UNSPLITTABLE = (".gz", ".deflate", ".zst", ".lz4", ".snappy", ".zip")
+
+
+def unsplittable(path: str) -> bool:
+    return path.lower().endswith(UNSPLITTABLE)
+
 
 def _folder(path: str) -> str:
     return path.rsplit("/", 1)[0]
@@ -149,7 +156,12 @@ def load_snapshots(spark: SparkSession, paths: list[str],
             file_schema = T.StructType([T.StructField(h, by_name[n].dataType)
                                         for h, n in zip(header, names)])
             df = read_csv(spark, files, schema=file_schema, mode=mode, check_header=True)
-        frames.append(df.toDF(*names).select(*schema.fieldNames()))
+        df = df.toDF(*names).select(*schema.fieldNames())
+        if any(unsplittable(f) for f in files):
+            # such a file is decompressed by one task; spread its rows before
+            # any further work so that one big file does not make one long task
+            df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        frames.append(df)
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 

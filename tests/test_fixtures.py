@@ -183,3 +183,19 @@ def test_reordered_columns_load_by_name(spark, tmp_path):
     got = {r.PayrollNumber: r for r in df.collect()}
     assert got[21].WorkLocationBorough == "QUEENS" and got[21].AgencyID == 2001
     assert got[20].RegularHours == Decimal("1820.00") and got[20].FiscalYear == 2021
+
+
+def test_unsplittable_files_are_spread_after_the_scan(spark, tmp_path):
+    import gzip
+    import io as _io
+    plain = write(tmp_path / "payroll_2020.csv", ROWS_2020)
+    with open(plain, "rb") as f, gzip.open(tmp_path / "payroll_2021.csv.gz", "wb") as g:
+        g.write(f.read())
+    paths = discover_files(spark, str(tmp_path), "payroll_*.csv*")
+    df = load_snapshots(spark, paths)
+    buf = _io.StringIO()
+    import contextlib
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    assert buf.getvalue().count("RoundRobinPartitioning") == 1   # only the gzip group
+    assert df.count() == 2 * len(ROWS_2020)
