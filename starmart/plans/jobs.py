@@ -39,6 +39,10 @@ class JobConfig:
     warehouse_dir: str | None = None    # where published tables live
     jdbc_url: str | None = None
     jdbc_properties: dict[str, str] = field(default_factory=dict)
+    # connections the database sees per table load: a fact of many thousand
+    # partitions is coalesced to this many writers instead of opening one
+    # connection per partition
+    jdbc_connections: int = 16
 
     def stage(self, name: str) -> str:
         return f"{self.stage_dir.rstrip('/')}/{name}"
@@ -117,6 +121,7 @@ def load(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
         for name in S.LOAD_ORDER:
             write_jdbc(spark.table(f"`{cfg.database}`.`{name}`"), cfg.jdbc_url,
                        f"{cfg.database}.{name}", cfg.jdbc_properties, mode="overwrite",
+                       num_partitions=cfg.jdbc_connections,
                        column_types=warehouse.ddl_columns(S.WAREHOUSE[name]).replace(" NOT NULL", ""))
     publish_marts(spark, cfg.database, root)
     return {name: spark.table(f"`{cfg.database}`.`{name}`") for name in S.LOAD_ORDER}

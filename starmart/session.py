@@ -45,6 +45,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            # executors on other machines cannot read a folder on the driver's disk
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: written "
+                               "tables must outlive executors and be readable by all")
         global _FALLBACK_ROOT
         if _FALLBACK_ROOT is None:
             _FALLBACK_ROOT = tempfile.mkdtemp(prefix="starmart-ckpt-")

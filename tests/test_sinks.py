@@ -87,3 +87,38 @@ def test_staged_job_loads_jdbc_with_warehouse_types(spark, scratch):
         assert back.count() == tables[name].count()
     emp = jdbc.read_jdbc(spark, url, "starmart_jdbc_job.employee", props)
     assert dict(emp.dtypes)["lastname"] == "string" and dict(emp.dtypes)["employeeid"] == "int"
+
+
+def test_jdbc_writers_are_capped(spark):
+    """A frame of many partitions is written by at most ``num_partitions``
+    connections; every row arrives."""
+    url, props = jdbc.derby_memory_url()
+    orders = tm.table(spark, SF_SMALL, "orders").select("o_orderkey", "o_custkey").repartition(40)
+    jdbc.write_jdbc(orders, url, "ORDERS_CAPPED", props, mode="overwrite", num_partitions=4)
+    back = jdbc.read_jdbc(spark, url, "ORDERS_CAPPED", props)
+    assert sorted(back.collect()) == sorted(orders.collect())
+
+
+def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
+    """Without spark.checkpoint.dir, only a local-mode session may fall back to
+    a private temporary folder; a cluster session must name a shared one."""
+    from starmart.session import checkpoint_root
+
+    class Conf:
+        def __init__(self, master):
+            self.values = {"spark.master": master}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+        @property
+        def sparkContext(self):  # as a Spark Connect session: no context object
+            raise RuntimeError("no context")
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session("spark://cluster:7077"))
+    assert checkpoint_root(Session("local[2]"))
