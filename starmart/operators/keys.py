@@ -32,6 +32,21 @@ def dense_key_small(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return df.withColumn(name, F.row_number().over(w).cast("bigint"))
 
 
+def file_offsets(counts: DataFrame) -> DataFrame:
+    """(_file, _off): rows in the files before each file, from (_file, _n).
+
+    Files are ordered by the task number in their name (``part-<n>-...``), not
+    by the name as text: the number has five digits only below 100000, so as
+    text ``part-100000`` would sort before ``part-99999``. The whole name
+    breaks ties between files one task split (``-c000``, ``-c001``). One row
+    per file: this is the only broadcast of the dense-key pass."""
+    part = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("long")
+    w = Window.orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    return (counts.withColumn("_part", part)
+            .withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+            .select("_file", "_off"))
+
+
 def dense_key(df: DataFrame, order: list[str], name: str,
               partitions: int | None = None) -> DataFrame:
     """Key = 1-based position of the row in ``order`` (which must be unique).
@@ -45,10 +60,6 @@ def dense_key(df: DataFrame, order: list[str], name: str,
     tagged = ranged.withColumns({"_file": F.col("_metadata.file_name"),
                                  "_row": F.col("_metadata.row_index")})
     counts = tagged.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_off",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)))
-    keyed = tagged.join(F.broadcast(offsets.select("_file", "_off")), "_file")
+    keyed = tagged.join(F.broadcast(file_offsets(counts)), "_file")
     return keyed.withColumn(name, (F.col("_off") + F.col("_row") + 1).cast("bigint")) \
         .drop("_file", "_row", "_off")

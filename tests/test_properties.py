@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starmart.operators.dedup import dedup_by
-from starmart.operators.keys import dense_key
+from starmart.operators.keys import dense_key, file_offsets
 from starmart.operators.quality import check_foreign_key
 
 SETTINGS = settings(max_examples=12, deadline=None,
@@ -55,6 +55,19 @@ def test_dense_key_is_one_to_n_in_order(spark, keys, parts):
     assert sorted(r.id for r in got.collect()) == list(range(1, len(keys) + 1))
 
 
+
+def test_file_offsets_follow_the_task_number_past_five_digits(spark):
+    """Part files from task 99999 come before task 100000 (as text they would
+    not), and the files one task split keep their own order."""
+    names = [("part-100000-u-c000.snappy.parquet", 4), ("part-99999-u-c000.snappy.parquet", 3),
+             ("part-00002-u-c001.snappy.parquet", 2), ("part-00002-u-c000.snappy.parquet", 5),
+             ("part-00000-u-c000.snappy.parquet", 1)]
+    counts = spark.createDataFrame(names, "_file string, _n long")
+    got = {r._file: r._off for r in file_offsets(counts).collect()}
+    assert got == {"part-00000-u-c000.snappy.parquet": 0, "part-00002-u-c000.snappy.parquet": 1,
+                   "part-00002-u-c001.snappy.parquet": 6, "part-99999-u-c000.snappy.parquet": 8,
+                   "part-100000-u-c000.snappy.parquet": 11}
+
 @SETTINGS
 @given(child=st.lists(st.integers(0, 20), max_size=30),
        parent=st.sets(st.integers(0, 20), max_size=20))
@@ -83,3 +96,17 @@ def test_snapshot_load_does_not_depend_on_file_order(spark, tmp_path_factory, or
     a = sorted(dedup_snapshots(load_snapshots(spark, paths)).collect())
     b = sorted(dedup_snapshots(load_snapshots(spark, shuffled)).collect())
     assert a == b
+
+
+def test_dense_key_in_order_when_tasks_split_their_files(spark):
+    """With maxRecordsPerFile a task writes several files (-c000, -c001, ...);
+    the key still follows the stated order."""
+    df = spark.range(0, 500).select((F.col("id") * 7919 % 500).alias("k"), (F.col("id") % 4).alias("g"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        got = dense_key(df, ["g", "k"], "id", partitions=3).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    want = sorted((r.g, r.k) for r in df.collect())
+    assert [(r.g, r.k) for r in sorted(got, key=lambda r: r.id)] == want
+    assert sorted(r.id for r in got) == list(range(1, 501))
