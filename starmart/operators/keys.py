@@ -40,7 +40,9 @@ def file_offsets(counts: DataFrame) -> DataFrame:
     text ``part-100000`` would sort before ``part-99999``. The whole name
     breaks ties between files one task split (``-c000``, ``-c001``). One row
     per file: this is the only broadcast of the dense-key pass."""
-    part = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("long")
+    number = F.nullif(F.regexp_extract("_file", r"^part-(\d+)", 1), F.lit(""))
+    part = F.coalesce(number.cast("long"), F.raise_error(F.concat(
+        F.lit("dense key: file name without a task number: "), F.col("_file"))))
     w = Window.orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)
     return (counts.withColumn("_part", part)
             .withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -67,6 +68,9 @@ def test_file_offsets_follow_the_task_number_past_five_digits(spark):
     assert got == {"part-00000-u-c000.snappy.parquet": 0, "part-00002-u-c000.snappy.parquet": 1,
                    "part-00002-u-c001.snappy.parquet": 6, "part-99999-u-c000.snappy.parquet": 8,
                    "part-100000-u-c000.snappy.parquet": 11}
+    odd = spark.createDataFrame([("data-0.parquet", 1)], "_file string, _n long")
+    with pytest.raises(Exception, match="without a task number"):
+        file_offsets(odd).collect()
 
 @SETTINGS
 @given(child=st.lists(st.integers(0, 20), max_size=30),
