@@ -70,3 +70,27 @@ def test_allocation_same_over_published_fact_and_fact_rows(spark):
     b = marts.allocation_by_agency_year(s.fact_rows(), s.agency, s.time)
     assert sorted(a.collect()) == sorted(b.collect())
     assert "Expand" not in plan(b)
+
+
+def test_merged_stage_writes_few_files_per_year(spark, scratch):
+    """The extract stage rebalances on the fiscal year before its partitioned
+    write: a write task holds one year, so each year folder gets its own few
+    files instead of one file from every task (tasks x years)."""
+    import glob
+
+    from starmart.plans import jobs
+    root = scratch.replace("file:", "")
+    R.write_snapshot_files(spark, tm.snapshot(spark, SF_SMALL), f"{root}/in")
+    cfg = jobs.JobConfig(snapshot_dir=f"{root}/in", stage_dir=f"{root}/stage", pattern="*.csv",
+                         recursive=True, database="starmart_files")
+    # without merging of small shuffle partitions every one of the 8 tasks
+    # writes, as the many tasks of a large run do
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        merged = jobs.extract(spark, cfg)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    years = glob.glob(f"{root}/stage/payroll_merged/FiscalYear=*")
+    files = glob.glob(f"{root}/stage/payroll_merged/FiscalYear=*/*.parquet")
+    assert len(years) == merged.select("FiscalYear").distinct().count()
+    assert len(files) == len(years)  # each year written by one task
