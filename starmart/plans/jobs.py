@@ -52,12 +52,10 @@ def extract(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """Snapshots -> one table, one row per (EmployeeID, FiscalYear)."""
     paths = discover_files(spark, cfg.snapshot_dir, cfg.pattern, cfg.recursive)
     merged = dedup_snapshots(load_snapshots(spark, paths))
-    # The dedup leaves rows hashed by (employee, year), so every write task
-    # would hold every year and write a file per year (tasks x years small
-    # files). Rebalancing on the year gives each task one year's rows; AQE
-    # splits a big year into advisory-size pieces and merges small ones.
-    write_stage(merged.hint("rebalance", "FiscalYear"), cfg.stage("payroll_merged"),
-                partition_by=["FiscalYear"])
+    # the dedup leaves rows hashed by (employee, year): without the rebalance
+    # every write task would hold every year and write a file per year
+    write_stage(merged, cfg.stage("payroll_merged"), partition_by=["FiscalYear"],
+                rebalance=True)
     return read_stage(spark, cfg.stage("payroll_merged")).select(*S.PAYROLL_COLUMNS)
 
 

@@ -96,7 +96,8 @@ def incremental_ingest(spark, sf_dir):
 
 def stage_roundtrip(spark, sf_dir):
     pay = payroll(spark, sf_dir)
-    path = src.write_stage(pay, scratch_path(spark, "stage"), partition_by=["FiscalYear"])
+    path = src.write_stage(pay, scratch_path(spark, "stage"), partition_by=["FiscalYear"],
+                           rebalance=True)
     return src.read_stage(spark, path).select(*pay.columns)
 
 
@@ -438,7 +439,8 @@ PRUNE_YEAR = 1996
 
 def partition_pruned_scan(spark, sf_dir):
     o = tm.table(spark, sf_dir, "orders").withColumn("o_year", F.year("o_orderdate"))
-    path = files.write_parquet(o, scratch_path(spark, "orders_by_year"), partition_by=["o_year"])
+    path = files.write_parquet(o, scratch_path(spark, "orders_by_year"), partition_by=["o_year"],
+                               rebalance=True)
     return marts.partition_pruned_scan(spark, path, "o_year", PRUNE_YEAR)
 
 

@@ -7,9 +7,12 @@ from pyspark.sql import types as T
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  mode: str = "overwrite") -> str:
+                  mode: str = "overwrite", rebalance: bool = False) -> str:
     """Replace ``path`` with ``df``; ``partition_by`` gives one folder per value
-    so that reads filtered on it open only the matching folders."""
+    so that reads filtered on it open only the matching folders. ``rebalance``
+    as in ``sources.csv.write_stage``: one folder's rows per write task."""
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

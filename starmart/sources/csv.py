@@ -166,8 +166,17 @@ def load_snapshots(spark: SparkSession, paths: list[str],
 
 
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                fmt: str = "parquet") -> str:
-    """Hand-off table between stages; overwritten as a whole."""
+                fmt: str = "parquet", rebalance: bool = False) -> str:
+    """Hand-off table between stages; overwritten as a whole.
+
+    ``rebalance`` (with ``partition_by``): for rows not grouped by the
+    partition columns, a ``rebalance`` hint first gives each write task one
+    folder's rows, so a folder gets about size / advisory-size files rather
+    than one small file from every task; AQE splits a large folder's rows
+    into advisory-size pieces. Leave it off when the rows already arrive
+    grouped (a range-ordered frame), as it costs a shuffle."""
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
