@@ -331,9 +331,14 @@ def sink_csv(spark, sf_dir):
 
 
 def sink_jdbc(spark, sf_dir):
+    """Write, then read back in parallel: strides of the key's range, the
+    bounds from a one-row min/max of what was written."""
     url, props = jdbc.derby_memory_url()
-    jdbc.write_jdbc(tm.table(spark, sf_dir, "nation"), url, "NATION", props, mode="overwrite")
-    return jdbc.read_jdbc(spark, url, "NATION", props)
+    nation = tm.table(spark, sf_dir, "nation")
+    jdbc.write_jdbc(nation, url, "NATION", props, mode="overwrite")
+    b = nation.agg(F.min("n_nationkey").alias("lo"), F.max("n_nationkey").alias("hi")).first()
+    return jdbc.read_jdbc(spark, url, "NATION", props, column="n_nationkey", lower=b.lo,
+                          upper=b.hi + 1, num_partitions=4)
 
 
 def _db() -> str:
