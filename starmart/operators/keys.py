@@ -12,7 +12,7 @@ puts the partition number in the high bits, so it neither is dense nor fits a
   checkpoint root: part file ``k`` holds the ``k``-th range, in order. Then
   each row's key is (rows in earlier files) + (its ``_metadata.row_index``
   in its file) + 1. Counting rows per file reads no column data, the offsets
-  table has one row per file (the only broadcast), and nothing depends on
+  table has one row per file (broadcast after the size check), and nothing depends on
   how the read is split into tasks. A hot value of the leading order column
   does not land in one task: the order key is unique, so range bounds split
   it across files.
@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import checked_broadcast
 from starmart.session import materialize
 
 
@@ -39,7 +40,7 @@ def file_offsets(counts: DataFrame) -> DataFrame:
     by the name as text: the number has five digits only below 100000, so as
     text ``part-100000`` would sort before ``part-99999``. The whole name
     breaks ties between files one task split (``-c000``, ``-c001``). One row
-    per file: this is the only broadcast of the dense-key pass."""
+    per file, so it grows with the file count, not the rows."""
     number = F.nullif(F.regexp_extract("_file", r"^part-(\d+)", 1), F.lit(""))
     part = F.coalesce(number.cast("long"), F.raise_error(F.concat(
         F.lit("dense key: file name without a task number: "), F.col("_file"))))
@@ -62,6 +63,7 @@ def dense_key(df: DataFrame, order: list[str], name: str,
     tagged = ranged.withColumns({"_file": F.col("_metadata.file_name"),
                                  "_row": F.col("_metadata.row_index")})
     counts = tagged.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    keyed = tagged.join(F.broadcast(file_offsets(counts)), "_file")
+    # one row per file: broadcast after the size check like any other side
+    keyed = tagged.join(checked_broadcast(file_offsets(counts)), "_file")
     return keyed.withColumn(name, (F.col("_off") + F.col("_row") + 1).cast("bigint")) \
         .drop("_file", "_row", "_off")

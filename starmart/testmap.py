@@ -70,6 +70,8 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     lt = line_totals(table(spark, sf_dir, "lineitem"))
+    # region and nation have 5 and 25 rows at every scale factor (fixed by
+    # the TPC-H definition), so broadcasting them is bounded without a check
     geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
     j = (o.join(c, o.o_custkey == c.c_custkey)
          .join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)
