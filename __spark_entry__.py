@@ -14,6 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart.plans import registered as R
 from starmart.schemas import PAYROLL_COLUMNS
 
+try:  # the training-data operators are an optional part
+    from starmart.llm.oracles import ORACLE_SQL as LLM_ORACLES
+    from starmart.llm.queries import QUERIES as LLM_QUERIES
+except ImportError:
+    LLM_ORACLES, LLM_QUERIES = {}, {}
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
@@ -23,7 +29,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(R.QUERIES)
+    return R.QUERIES | LLM_QUERIES
 
 
 # --------------------------------------------------------------------------
@@ -345,4 +351,4 @@ def oracle_sql() -> dict[str, str]:
         "partition_pruned_scan": """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year
             FROM orders WHERE year(o_orderdate) = 1996""",
     }
-    return {k: v for k, v in q.items() if k in R.QUERIES}
+    return {k: v for k, v in q.items() if k in R.QUERIES} | LLM_ORACLES
