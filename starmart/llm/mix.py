@@ -37,10 +37,10 @@ def water_fill(sources: DataFrame, total_share: float, max_epochs: float) -> Dat
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_share: float = 1.5,
                 max_epochs: float = 2.0, seed: int = 0, id_col: str = "doc_id",
-                text_col: str = "text", source_col: str = "source", run_rows: int = 2048) -> DataFrame:
+                text_col: str = "text", source_col: str = "source", run_rows: int = 2048, keep_source: bool = False) -> DataFrame:
     """One row per input row: ``id_col``, ``size`` (words), ``source_size``,
     ``target`` (of its source), ``repeats`` (times the mix takes the row) and
-    ``taken`` (``repeats * size``).
+    ``taken`` (``repeats * size``); with ``keep_source`` also ``source_col``.
 
     Sources in code-point order, null last, take ``weights`` in turn. A source
     of size s and target t takes every row floor(t / s) times and, in an order
@@ -86,5 +86,5 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), total_sha
             .withColumn("before", F.col("before_run") + F.coalesce(F.sum("size").over(within), F.lit(0)))
             .withColumn("repeats", F.col("whole") + F.when(
                 (F.col("part") > 0) & (F.col("before") + F.col("size") * 0.5 <= F.col("part")), 1).otherwise(0))
-            .select(F.col("id").alias(id_col), "size", "source_size", "target", "repeats",
-                    (F.col("repeats") * F.col("size")).alias("taken")))
+            .select(F.col("id").alias(id_col), *([F.col("source").alias(source_col)] if keep_source else []),
+                    "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).alias("taken")))

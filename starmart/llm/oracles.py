@@ -105,4 +105,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-ORACLE_SQL = {"op2_mix_sources": OP2, "op3_exact_dedup": OP3, "op6_quality_rules": OP6}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_STRIPPED = f"regexp_replace(regexp_replace(line, '^{_SPACE}+', ''), '{_SPACE}+$', '')"
+
+OP8 = f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (
+  SELECT row_id, doc_id, i, line, translate({_STRIPPED}, '{_UPPER}', '{_LOWER}') AS key
+  FROM (SELECT row_id, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d)),
+held AS (SELECT DISTINCT key, doc_id FROM line WHERE length(key) >= 10),
+repeated AS (SELECT key, first(doc_id ORDER BY doc_id NULLS LAST) AS first_id FROM held GROUP BY key HAVING count(*) >= 2)
+SELECT line.doc_id, count(*)::BIGINT AS n_lines,
+  count(*) FILTER (repeated.key IS NOT NULL AND line.doc_id IS DISTINCT FROM first_id)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i)
+    FILTER (repeated.key IS NULL OR line.doc_id IS NOT DISTINCT FROM first_id), '')) AS kept_sha256
+FROM line LEFT JOIN repeated USING (key)
+GROUP BY row_id, line.doc_id
+"""
+
+ORACLE_SQL = {"op2_mix_sources": OP2, "op3_exact_dedup": OP3, "op6_quality_rules": OP6,
+              "op8_line_dedup": OP8}

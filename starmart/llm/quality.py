@@ -66,26 +66,23 @@ def repeated_window_words(word_array: Column) -> Column:
     return let(F.transform(word_array, lambda w: F.xxhash64(w)), of_hashes)
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50,
-                  max_repeat_percent: int = 50, max_lost_share: float = 0.5) -> DataFrame:
-    """One row per input row: ``id_col``, ``n_words``, ``word_chars``,
-    ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
-    ``kept`` and ``clean_text`` (the text without its failed lines).
-
-    Null text is a text without words; it and any blank text fail the base
-    rule. Lines without a word stay and count for nothing. Rows are judged one
-    by one, so repeated rows get equal results and null ids do no harm.
-    """
+def judge_quality(docs: DataFrame, text_col: str = "text", min_words: int = 50, max_repeat_percent: int = 50,
+                  max_lost_share: float = 0.5, result: str = "quality") -> DataFrame:
+    """``docs`` with one more column ``result``, a struct of ``n_words``,
+    ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
+    ``base_failed``, ``kept`` and ``clean_text``."""
+    if result in docs.columns:
+        raise ValueError(f"the table has a column {result} already")
     text = text_or_empty(text_col)
-    parts = docs.select(F.col(id_col).alias("id"), text.alias("text"), words(text).alias("words"),
-                        F.split(text, "\n").alias("lines"))
     has_word = lambda line: line.rlike(WORD_PATTERN)
+    chars = lambda c: F.length(c) - F.regexp_count(c, F.lit(SPACE_CLASS))
+    parts = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text.alias("text"),
+                        words(text).alias("words"), F.split(text, "\n").alias("lines"))
     parts = parts.select(
         "*", F.filter("lines", has_word).alias("full"),
         F.filter("lines", lambda x: ~has_word(x) | line_passes(x)).alias("passed"))
-    chars = lambda c: F.length(c) - F.regexp_count(c, F.lit(SPACE_CLASS))
     measured = parts.select(
-        "id", F.array_join("passed", "\n").alias("clean_text"), F.size("words").cast("long").alias("n_words"),
+        "row", F.array_join("passed", "\n").alias("clean_text"), F.size("words").cast("long").alias("n_words"),
         chars(F.col("text")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOL_CLASS)).cast("long").alias("n_symbols"),
         (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
@@ -93,7 +90,19 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base_failed = ((F.col("n_words") < min_words)
                    | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
     lost = F.col("word_chars") - chars(F.col("clean_text"))
-    return measured.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        base_failed.alias("base_failed"),
-        (~base_failed & (lost <= F.col("word_chars") * max_lost_share)).alias("kept"), "clean_text")
+    kept = ~base_failed & (lost <= F.col("word_chars") * F.lit(max_lost_share))
+    return measured.select("row.*", F.struct(
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        base_failed.alias("base_failed"), kept.alias("kept"), "clean_text").alias(result))
+
+
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
+    """One row per input row: ``id_col`` and the fields of ``judge_quality``
+    (``clean_text`` is the text without its failed lines).
+
+    Null text is a text without words; it and any blank text fail the base
+    rule. Lines without a word stay and count for nothing. Rows are judged one
+    by one, so repeated rows get equal results and null ids do no harm.
+    """
+    bare = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return judge_quality(bare, "text", **limits).select(F.col("id").alias(id_col), "quality.*")
