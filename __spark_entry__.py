@@ -15,8 +15,10 @@ from starmart.plans import registered as R
 from starmart.schemas import PAYROLL_COLUMNS
 
 try:  # the training-data operators are an optional part
+    import corpus_pipeline
     from starmart.llm.oracles import ORACLE_SQL as LLM_ORACLES
     from starmart.llm.queries import QUERIES as LLM_QUERIES
+    LLM_QUERIES = LLM_QUERIES | {"pipeline": corpus_pipeline.run}
 except ImportError:
     LLM_ORACLES, LLM_QUERIES = {}, {}
 

@@ -1,8 +1,9 @@
 """Joins of the payroll star: master enrichment and dimension lookups.
 
-Broadcast is used only behind a size check: ``small_enough`` reads at most
-``limit + 1`` rows of the candidate side and, in the same pass, adds up their
-bytes (actual text lengths plus fixed-width columns). Above either bound the
+Broadcast is used only behind a size check: ``small_enough`` counts the rows of
+the candidate side and adds up their bytes (actual text lengths plus
+fixed-width columns) in one aggregate, of which every task sends one row. Above
+either bound the
 join is left to the planner (sort-merge, or AQE's runtime switch on measured
 sizes), and AQE's skew-join handling splits a hot key on the big side.
 """
@@ -46,9 +47,9 @@ def _row_bytes(df: DataFrame) -> F.Column:
 def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS,
                  max_bytes: int = BROADCAST_BYTES) -> bool:
     """True when ``df`` has at most ``limit`` rows that together take at most
-    ``max_bytes`` (one pass over at most limit+1 rows)."""
-    r = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"),
-                                F.sum(_row_bytes(df)).alias("b")).first()
+    ``max_bytes``. Counts and bytes are added up per task, no row moves; pass a
+    written table where evaluating ``df`` twice costs."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     return r.n <= limit and (r.b or 0) <= max_bytes
 
 
