@@ -325,12 +325,21 @@ def _calibrate(net: Net, rows: list) -> None:
     logits, per_doc = net.window_logits(docs, net.inputs(vocabulary)[0])
     f = np.stack([_tops(logits, per_doc), np.log(per_doc), np.ones(len(docs))], axis=1).astype(np.float64)
     y = np.array([label for _, label in rows], np.float64)
-    weight, prior = np.array([1.0, 0.0, 0.0]), np.array([1.0, 0.0, 0.0])
-    for _ in range(50):  # Newton with a pull to the plain logit
+    prior = np.array([1.0, 0.0, 0.0])
+
+    def loss(w: np.ndarray) -> float:  # with a pull to the plain logit
+        m = f @ w
+        return float(np.logaddexp(0, m).sum() - y @ m + 0.5 * ((w - prior) ** 2).sum())
+
+    weight = prior
+    for _ in range(50):  # Newton steps, halved until the loss falls
         q = net._sigmoid(f @ weight)
         grad = f.T @ (q - y) + (weight - prior)
-        weight = weight - np.linalg.solve((f * (q * (1 - q))[:, None]).T @ f + np.eye(3), grad)
-    net.calibration = tuple(weight)
+        step = np.linalg.solve((f * (q * (1 - q))[:, None]).T @ f + np.eye(3), grad)
+        while loss(weight - step) > loss(weight) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        weight = weight - step
+    net.calibration = tuple(map(float, weight))
 
 
 class Scorer:
