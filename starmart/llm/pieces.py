@@ -28,7 +28,7 @@ from starmart.llm.hashing import MULTIPLIER, mix
 
 MARK = "▁"  # fixed value: stands for a space in pieces
 HELD = "\ud800"  # stands for a MARK of the text itself: no text can hold a lone surrogate
-NO_RANK = np.iinfo(np.int64).max
+NO_RANK = np.int32(np.iinfo(np.int32).max)
 CHAR = 1 << 21  # symbols from here on are single characters without a piece
 LONG = 64  # longer words run their agenda on a heap, alone
 M64 = (1 << 64) - 1
@@ -64,10 +64,18 @@ class PieceModel:
                 a, b = symbol(text[:cut]), symbol(text[cut:])
                 if a is not None and b is not None:
                     pairs[a << 22 | b] = (levels[model.get_score(i)], i)
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.rank = np.array([pairs[k][0] for k in self.keys.tolist()], np.int64)
-        self.made = np.array([pairs[k][1] for k in self.keys.tolist()], np.int64)
         self.pairs = pairs
+        # the same as an open-addressed table, for whole arrays of pairs
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_key = np.full(1 << bits, -1, np.int64)
+        self.slot_rank, self.slot_made = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
+        keys = np.array(list(pairs), np.int64)
+        for key, slot in zip(keys.tolist(), self._slot(keys).tolist()):
+            while self.slot_key[slot] >= 0:
+                slot = (slot + 1) & self.last
+            self.slot_key[slot] = key
+            self.slot_rank[slot], self.slot_made[slot] = pairs[key]
         self.bytes = {i: t.replace(MARK, " ").encode() for t, i in piece.items()}
         self.bytes |= {int(i): bytes([b]) for b, i in enumerate(self.byte_ids)}
         # where a text may be cut without losing a merge: before a run of space
@@ -78,11 +86,21 @@ class PieceModel:
         cut = f"[{alone}]|{MARK}*[^{MARK}{alone}]+|{MARK}+"
         self.cut = re.compile("[\\s\\S]+" if crossing else cut)
 
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(MULTIPLIER) >> self.shift).astype(np.int64)
+
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NO_RANK: no merge) and result of merging symbols."""
-        key = left << 22 | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.rank[at], NO_RANK), self.made[at]
+        key = left.astype(np.int64) << 22 | right
+        slot = self._slot(key)
+        held = self.slot_key[slot]
+        open_ = np.flatnonzero((held != key) & (held >= 0))
+        while len(open_):  # taken by another pair: the next slot
+            slot[open_] = (slot[open_] + 1) & self.last
+            now = self.slot_key[slot[open_]]
+            held[open_] = now
+            open_ = open_[(now != key[open_]) & (now >= 0)]
+        return np.where(held == key, self.slot_rank[slot], NO_RANK), self.slot_made[slot]
 
 
 class Encoder:
@@ -131,47 +149,52 @@ class Encoder:
         return self._with_bytes(flat[_ranges(begin, count)], count)
 
     def _agendas(self, rows, sym, lengths, keys, results) -> None:
-        size = lengths.copy()  # characters of each word
+        """Agendas of short words side by side. Per symbol: where it starts in
+        its word, its word, and the candidate of it and its right neighbour."""
+        size = lengths.astype(np.int32)  # characters of each word
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        at = np.arange(len(sym)) - np.repeat(starts, lengths)  # where a symbol starts
-        rank, made = np.full(len(sym), NO_RANK), np.zeros(len(sym), np.int64)
-        rank[:-1], made[:-1] = self.model.look_up(sym[:-1], sym[1:])
+        word = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
+        at = (np.arange(len(sym)) - starts[word]).astype(np.int32)
+        sym = sym.astype(np.int32)
+        rank, made = self.model.look_up(sym[:-1], sym[1:])
+        rank, made = np.append(rank, NO_RANK), np.append(made, np.int32(0))
         rank[starts + lengths - 1] = NO_RANK
-        while len(rows):
+        while len(sym):
             best = np.minimum.reduceat(rank, starts)
-            live = best != NO_RANK
-            if not live.all():
-                ended = np.repeat(~live, lengths)
-                results.append((rows[~live], lengths[~live], sym[ended]))
-                keep = ~ended
+            if (best == NO_RANK).any():
+                live = best != NO_RANK
+                keep = live[word]
+                ended = ~keep
+                results.append((rows[~live], lengths[~live], sym[ended].astype(np.int64)))
                 sym, at, rank, made = sym[keep], at[keep], rank[keep], made[keep]
                 rows, lengths, keys, size, best = (v[live] for v in (rows, lengths, keys, size, best))
                 if not len(rows):
                     return
                 starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            k = np.flatnonzero(rank == np.repeat(best, lengths))
-            owner = np.searchsorted(starts, k, side="right") - 1
-            first = np.concatenate(([True], owner[1:] != owner[:-1]))
-            k = k[first]  # one candidate of each word, its leftmost best
-            last = starts + lengths - 1
-            end = np.where(k + 1 < last, at[np.minimum(k + 2, len(at) - 1)], size)
-            skip = self._skips(keys, at[k], at[k + 1], end) if self.under else np.zeros(len(k), bool)
-            rank[k[skip]] = NO_RANK
-            k = k[~skip]
-            if not len(k):
-                continue
+                word = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
+            k = np.flatnonzero(rank == best[word])
+            owner = word[k]
+            k = k[np.concatenate(([True], owner[1:] != owner[:-1]))]  # each word's leftmost best candidate
+            if self.under:
+                end = np.where(k + 2 < starts + lengths, at[np.minimum(k + 2, len(at) - 1)], size)
+                skip = self._skips(keys, at[k], at[k + 1], end)
+                rank[k[skip]] = NO_RANK
+                k = k[~skip]
+                if not len(k):
+                    continue
+                lengths = lengths - ~skip
+            else:
+                lengths = lengths - 1
             sym[k] = made[k]
-            gone = np.zeros(len(sym), bool)
-            gone[k + 1] = True
-            merged = np.zeros(len(sym), bool)
-            merged[k] = True
-            stay = ~gone
-            sym, at, rank, made, merged = sym[stay], at[stay], rank[stay], made[stay], merged[stay]
-            lengths = lengths - ~skip
-            starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+            stay = np.ones(len(sym), bool)
+            stay[k + 1] = False
             # candidates on both sides of a merged symbol are new ones
-            k = np.flatnonzero(merged)
-            k = np.unique(np.concatenate((k, np.maximum(k - 1, 0))))
+            changed = np.zeros(len(sym), bool)
+            changed[k] = True
+            changed[np.maximum(k - 1, 0)] = True
+            sym, at, rank, made, word, changed = (v[stay] for v in (sym, at, rank, made, word, changed))
+            starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+            k = np.flatnonzero(changed)
             rank[k], made[k] = self.model.look_up(sym[k], sym[np.minimum(k + 1, len(sym) - 1)])
             rank[starts + lengths - 1] = NO_RANK
 
@@ -221,15 +244,14 @@ class Encoder:
 
     def encode(self, texts: list[str], doc_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all texts end to end, and the number of each text's."""
-        place: dict[tuple[str, int], int] = {}
+        place = _Places()
         items: list[np.ndarray] = []
         for text, doc in zip(texts, doc_keys):
             # no space mark is put before an empty text
             marked = MARK + text.replace(MARK, HELD).replace(" ", MARK) if text else ""
             words = self.model.cut.findall(marked)
             turn = mix(np.arange(len(words), dtype=np.uint64) * np.uint64(MULTIPLIER) + doc) % np.uint64(self.streams)
-            items.append(np.fromiter((place.setdefault(w, len(place)) for w in zip(words, turn.tolist())),
-                                     np.int64, len(words)))
+            items.append(np.fromiter(map(place.__getitem__, zip(words, turn.tolist())), np.int64, len(words)))
         if not place:
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
         words = [w for w, _ in place]
@@ -240,6 +262,14 @@ class Encoder:
         return flat[_ranges(begin[wanted], count[wanted])], per_text
 
 
+class _Places(dict):
+    """Numbers keys in the order they are first asked for."""
+
+    def __missing__(self, key) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """begin[0], begin[0] + 1, ... (count[0] of them), then the same for the next."""
     total = int(count.sum())
