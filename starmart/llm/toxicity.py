@@ -68,21 +68,24 @@ def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
 def evidence_table(docs: Iterable[list[str]], labels: Iterable[int]) -> np.ndarray:
     """Per hash bucket of words and n-grams: signed root of the likelihood ratio
     of its document counts under the two labels, with chance-size values at 0."""
-    counts = np.zeros((2, 1 << EVIDENCE_BITS))
+    counts = np.zeros((2, 1 << EVIDENCE_BITS), np.float32)
     n = np.zeros(2)
     for words, label in zip(docs, labels):
         n[label] += 1
-        if words:
-            whole, gram, _ = word_hashes(list(set(words)))
-            counts[label, np.unique(_bucket(np.concatenate((whole, gram)), EVIDENCE_BITS))] += 1
-    share = counts.sum(axis=0) / max(1.0, n.sum())
+        whole, gram, _ = word_hashes(words)
+        counts[label, np.unique(_bucket(np.concatenate((whole, gram)), EVIDENCE_BITS))] += 1
+    held = np.flatnonzero(counts.any(axis=0))
+    k = counts[:, held].astype(np.float64)
+    share = k.sum(axis=0) / max(1.0, n.sum())
 
     def part(k: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(k > 0, k * np.log(np.maximum(k, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
 
-    g = sum(part(counts[c], n[c] * share) + part(n[c] - counts[c], n[c] * (1 - share)) for c in (0, 1))
-    z = np.sqrt(np.maximum(2 * g, 0)) * np.sign(counts[1] * n[0] - counts[0] * n[1])
-    return (np.sign(z) * np.clip(np.abs(z) - 2.5, 0, 6) / 2).astype(np.float32)
+    g = sum(part(k[c], n[c] * share) + part(n[c] - k[c], n[c] * (1 - share)) for c in (0, 1))
+    z = np.sqrt(np.maximum(2 * g, 0)) * np.sign(k[1] * n[0] - k[0] * n[1])
+    out = np.zeros(1 << EVIDENCE_BITS, np.float32)
+    out[held] = np.sign(z) * np.clip(np.abs(z) - 2.5, 0, 6) / 2
+    return out
 
 
 @dataclass
@@ -134,6 +137,14 @@ class Net:
                             np.maximum.reduceat(ev, starts)[:, None], np.add.reduceat(ev, starts)[:, None] / count], axis=1)
         return x.astype(np.float32), at
 
+    def features(self, words: list[str], block: int = 20_000) -> np.ndarray:
+        """The input rows alone, a block of words at a time."""
+        return np.concatenate([self.inputs(words[i:i + block])[0] for i in range(0, len(words), block)])
+
+    def project(self, x: np.ndarray) -> dict[str, np.ndarray]:
+        """What each direction's gates get from each word."""
+        return {s: x @ self.p[f"wx{s}"] + self.p[f"b{s}"] for s in "fb"}
+
     # passes
 
     @staticmethod
@@ -160,11 +171,11 @@ class Net:
             out[t] = h = nxt
         return out
 
-    def forward(self, x: np.ndarray, index: np.ndarray, mask: np.ndarray | None = None, tape: dict | None = None) -> np.ndarray:
-        """Logit of each window. ``index`` (N, T) has rows of ``x``."""
+    def forward(self, proj: dict, index: np.ndarray, mask: np.ndarray | None = None, tape: dict | None = None) -> np.ndarray:
+        """Logit of each window. ``index`` (N, T) has rows of ``project(x)``."""
         p = self.p
         tapes = {"f": [], "b": []} if tape is not None else {"f": None, "b": None}
-        states = np.concatenate([self._run(x @ p[f"wx{s}"] + p[f"b{s}"], index, mask, s, tapes[s]) for s in "fb"], axis=2)
+        states = np.concatenate([self._run(proj[s], index, mask, s, tapes[s]) for s in "fb"], axis=2)
         a = np.tanh(states @ p["wa"] + p["ba"])
         e = a @ p["va"]
         if mask is not None:
@@ -229,7 +240,7 @@ class Net:
         starts = [self.windows(len(d)) for d in docs]
         per_doc = np.fromiter(map(len, starts), np.int64, len(starts))
         offset = np.cumsum([0, *map(len, docs)])
-        flat = np.concatenate(docs)
+        flat, proj = np.concatenate(docs), self.project(x)
         first = np.concatenate([s + o for s, o in zip(starts, offset)])
         length = np.repeat(np.minimum(np.fromiter(map(len, docs), np.int64, len(docs)), self.shape.window), per_doc)
         out, steps = np.empty(len(first), np.float32), np.arange(self.shape.window)
@@ -238,7 +249,7 @@ class Net:
                 part = rows[i:i + block]
                 mask = steps < length[part, None]
                 at = np.minimum(first[part, None] + steps, len(flat) - 1)
-                out[part] = self.forward(x, flat[at], None if mask.all() else mask)
+                out[part] = self.forward(proj, flat[at], None if mask.all() else mask)
         return out, per_doc
 
     def document_scores(self, top: np.ndarray, n_windows: np.ndarray) -> np.ndarray:
@@ -246,10 +257,13 @@ class Net:
         return self._sigmoid(a * top.astype(np.float64) + b * np.log(n_windows) + c)
 
 
-def _indexed(docs: list[list[str]]) -> tuple[list[str], list[np.ndarray]]:
-    """The distinct words, and each document as indices of them."""
+def _indexed(texts: Iterable[str]) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct words, and each text's words as indices of them."""
     place: dict[str, int] = {}
-    out = [np.fromiter((place.setdefault(w, len(place)) for w in d), np.int64, len(d)) for d in docs]
+    out = []
+    for text in texts:
+        words = words_of(text)
+        out.append(np.fromiter((place.setdefault(w, len(place)) for w in words), np.int32, len(words)))
     return list(place), out
 
 
@@ -266,19 +280,17 @@ def train(texts: list[str], labels: list[int], shape: Shape | None = None) -> Ne
     count as clean. A quarter of the rows is kept back to calibrate on.
     """
     shape = shape or Shape()
-    rows = [(words_of(t), y) for t, y in zip(texts, labels)]
-    rows = [(w, y) for w, y in rows if w]
+    vocabulary, found = _indexed(texts)
     rng = np.random.default_rng(shape.seed)
-    rng.shuffle(rows)
-    by_label = {y: [r for r in rows if r[1] == y] for y in (0, 1)}
+    order = rng.permutation([k for k, d in enumerate(found) if len(d)]).astype(int).tolist()
+    by_label = {y: [k for k in order if labels[k] == y] for y in (0, 1)}
     if not (by_label[0] and by_label[1]):
         return None
-    back = [r for y in (0, 1) for r in by_label[y][:len(by_label[y]) // 4]]
-    rows = [r for y in (0, 1) for r in by_label[y][len(by_label[y]) // 4:]]
-    net = Net(shape, evidence_table(*zip(*rows)))
-    vocabulary, docs = _indexed([w for w, _ in rows])
-    y = np.array([label for _, label in rows])
-    x, _ = net.inputs(vocabulary)
+    back = [k for y in (0, 1) for k in by_label[y][:len(by_label[y]) // 4]]
+    rows = [k for y in (0, 1) for k in by_label[y][len(by_label[y]) // 4:]]
+    docs, y = [found[k] for k in rows], np.array([labels[k] for k in rows])
+    net = Net(shape, evidence_table(([vocabulary[w] for w in np.unique(d)] for d in docs), y))
+    x = net.features(vocabulary)
     strength = x[:, -2] + x[:, -3]  # evidence of word and n-grams
     starts = [net.windows(len(d)) for d in docs]
     per_doc = np.fromiter(map(len, starts), np.int64, len(starts))
@@ -291,7 +303,7 @@ def train(texts: list[str], labels: list[int], shape: Shape | None = None) -> Ne
     for step in range(shape.steps):
         if step in (0, shape.steps // 2, shape.steps * 3 // 4):
             if step:
-                scores, _ = net.window_logits(docs, net.inputs(vocabulary)[0])
+                scores, _ = net.window_logits(docs, net.features(vocabulary))
             order = np.lexsort((-scores, owner))
             best = order[np.concatenate(([0], np.cumsum(per_doc)[:-1]))]  # each document's top window
             positive = best[y == 1]
@@ -308,23 +320,23 @@ def train(texts: list[str], labels: list[int], shape: Shape | None = None) -> Ne
         index = inverse.reshape(index.shape)
         xb, at = net.inputs([vocabulary[k] for k in used])
         tape: dict = {}
-        logit = net.forward(xb, index, mask, tape)
+        logit = net.forward(net.project(xb), index, mask, tape)
         g = net.backward(xb, at, index, mask, tape, ((net._sigmoid(logit) - target) / len(picked)).astype(np.float32))
         for k, v in net.p.items():  # Adam
             m1, m2 = moments[k]
             m1 += 0.1 * (g[k] - m1)
             m2 += 0.001 * (g[k] * g[k] - m2)
             v -= shape.rate * (m1 / (1 - 0.9 ** (step + 1))) / (np.sqrt(m2 / (1 - 0.999 ** (step + 1))) + 1e-8)
-    _calibrate(net, back if any(label for _, label in back) else rows)
+    if not any(labels[k] for k in back):
+        back = rows
+    _calibrate(net, net.features(vocabulary), [found[k] for k in back], np.array([labels[k] for k in back], np.float64))
     return net
 
 
-def _calibrate(net: Net, rows: list) -> None:
+def _calibrate(net: Net, x: np.ndarray, docs: list[np.ndarray], y: np.ndarray) -> None:
     """Logistic fit of a document's label to its top logit and window count."""
-    vocabulary, docs = _indexed([w for w, _ in rows])
-    logits, per_doc = net.window_logits(docs, net.inputs(vocabulary)[0])
+    logits, per_doc = net.window_logits(docs, x)
     f = np.stack([_tops(logits, per_doc), np.log(per_doc), np.ones(len(docs))], axis=1).astype(np.float64)
-    y = np.array([label for _, label in rows], np.float64)
     prior = np.array([1.0, 0.0, 0.0])
 
     def loss(w: np.ndarray) -> float:  # with a pull to the plain logit
@@ -345,38 +357,37 @@ def _calibrate(net: Net, rows: list) -> None:
 class Scorer:
     """Scores texts with a trained network; a block of words at a time."""
 
-    def __init__(self, net: Net, block_words: int = 200_000):
-        self.net, self.block_words = net, block_words
+    def __init__(self, net: Net, block_chars: int = 1 << 20):
+        self.net, self.block_chars = net, block_chars
 
     def scores(self, texts: Iterable[str]) -> list[float]:
         """Score per text; 0 for a text without words."""
         out: list[float] = []
-        held: list[tuple[int, list[str]]] = []
-        n_held = 0
+        held: list[tuple[int, str]] = []
+        chars = 0
 
         def settle() -> None:
-            nonlocal n_held
-            if held:
-                vocabulary, docs = _indexed([w for _, w in held])
-                logits, per_doc = self.net.window_logits(docs, self.net.inputs(vocabulary)[0])
-                for (k, _), s in zip(held, self.net.document_scores(_tops(logits, per_doc), per_doc)):
-                    out[k] = float(s)
+            nonlocal chars
+            vocabulary, found = _indexed(t for _, t in held)
+            full = [i for i, d in enumerate(found) if len(d)]
+            if full:
+                logits, per_doc = self.net.window_logits([found[i] for i in full], self.net.features(vocabulary))
+                for i, s in zip(full, self.net.document_scores(_tops(logits, per_doc), per_doc)):
+                    out[held[i][0]] = float(s)
             held.clear()
-            n_held = 0
+            chars = 0
 
         for k, text in enumerate(texts):
             out.append(0.0)
-            words = words_of(text)
-            if words:
-                held.append((k, words))
-                n_held += len(words)
-            if n_held >= self.block_words:
+            held.append((k, text))
+            chars += len(text)
+            if chars >= self.block_chars:
                 settle()
         settle()
         return out
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = 2000, max_clean: int = 6000,
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_clean: int = 4500,
                     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                     seed: int = 0) -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``max_toxic`` + ``max_clean`` labelled rows
@@ -402,7 +413,7 @@ def _remainder(id_: Column) -> Column:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "toxic", max_toxic: int = 2000, max_clean: int = 6000,
+                   label_col: str = "toxic", max_toxic: int = 1500, max_clean: int = 4500,
                    shape: Shape | None = None) -> DataFrame:
     """One row per input row: ``id_col``, ``held_out``, ``score``, ``predicted``.
 
