@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import checked_broadcast
 from starmart.session import materialize
 
+SMALL = 16 << 20  # bytes up to which a written table is broadcast rather than shuffled
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table as a join's side: broadcast if it is small."""
+    return checked_broadcast(df, max_bytes=SMALL)
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in ``links`` (a, b); root is one node of the
@@ -25,7 +33,8 @@ def components(links: DataFrame) -> DataFrame:
             .select(F.col("a").alias("node"), F.least("low", F.struct(
                 F.xxhash64("a", F.lit(round_)).alias("h"), F.col("a").alias("node")))["node"].alias("root")),
             "component-step")
-        to = lambda c, new: step.select(F.col("node").alias(c), F.col("root").alias(new))  # noqa: B023, E731
+        side = small(step)
+        to = lambda c, new: side.select(F.col("node").alias(c), F.col("root").alias(new))  # noqa: B023, E731
         links = materialize(
             links.join(to("a", "a2"), "a").join(to("b", "b2"), "b")
             .where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(),

@@ -7,7 +7,9 @@ components, and hubs are taken from a bucket until what is left of it lies in
 one component. A member thus drops out only after it has been compared with,
 or is already connected to, everything it shared the bucket with: no link
 that banding brings up is lost, and a group of near copies costs one
-comparison per member.
+comparison per member. Members that the first hub leaves apart are compared
+with each other only where the n-grams they share with it, and those outside
+it that others have too, allow them to be similar.
 """
 
 from __future__ import annotations
@@ -24,9 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm.common import text_or_empty
-from starmart.llm.graph import components
+from starmart.llm.graph import components, small
 from starmart.llm.hashing import mix, ngram_hashes, word_hashes
-from starmart.operators.joins import checked_broadcast
 from starmart.session import materialize
 
 
@@ -85,7 +86,7 @@ def _signatures(docs: DataFrame, n: int, bands: int, rows: int, seed: int) -> Da
 def _node_texts(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     """(node, text) with one text for each of ``nodes`` (id, node)."""
     wanted = nodes.select(F.col("id").alias("node_id"), "node")
-    wanted = checked_broadcast(wanted, max_bytes=16 << 20)
+    wanted = small(wanted)
     rows = docs.join(wanted, F.col("id").eqNullSafe(F.col("node_id"))).select("node", "text")
 
     def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,32 +96,87 @@ def _node_texts(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     return rows.mapInPandas(own, "node binary, text string").groupBy("node").agg(F.min("text").alias("text"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, n: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose full n-gram sets are similar enough, with ``jaccard``."""
+def _compared(pairs: DataFrame, texts: DataFrame, n: int, outside: bool) -> DataFrame:
+    """Pairs (a, b) with their full n-gram sets' sizes and ``common`` n-grams;
+    with ``outside`` also a's n-grams that b does not have."""
     def side(c: str) -> DataFrame:
         return texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            value = []
+            sizes_a, sizes_b, common, rest = [], [], [], []
             last, of_last = None, None
             for x, y in zip(batch["text_a"], batch["text_b"]):
                 if y != last:  # hubs come in runs
                     last, of_last = y, ngram_set(y, n)
                 grams = ngram_set(x, n)
-                common = len(np.intersect1d(grams, of_last, assume_unique=True))
-                value.append(common / (len(grams) + len(of_last) - common))
-            found = pd.DataFrame({"a": batch["a"], "b": batch["b"], "jaccard": value})
-            # sizes are integers, so a pair at the threshold is off by rounding at most
-            yield found[found["jaccard"] >= similarity - 1e-12]
+                sizes_a.append(len(grams))
+                sizes_b.append(len(of_last))
+                left = np.setdiff1d(grams, of_last, assume_unique=True)
+                common.append(len(grams) - len(left))
+                rest.append(left.view(np.int64) if outside else None)
+            yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "size_a": sizes_a, "size_b": sizes_b,
+                                "common": common, "outside": rest})
 
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .mapInPandas(compare, "a binary, b binary, jaccard double"))
+    return (small(pairs).join(side("a"), "a").join(side("b"), "b").mapInPandas(
+        compare, "a binary, b binary, size_a long, size_b long, common long, outside array<long>"))
+
+
+def _links_of(compared: DataFrame, similarity: float) -> DataFrame:
+    # sizes are integers, so a pair at the threshold is off by rounding at most
+    jaccard = F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
+    return (compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), jaccard.alias("jaccard"))
+            .where(F.col("jaccard") >= F.lit(similarity - 1e-12)))
+
+
+def _bounded(members: DataFrame, compared: DataFrame, similarity: float) -> DataFrame:
+    """Members (bucket, node, first_hub) of open buckets with what bounds the
+    overlap of two of them: ``size``, ``common`` with their bucket's first hub,
+    and ``own``, n-grams outside the hub that no other member compared with
+    that hub has. Members that can have no similar partner are left out: of
+    their n-grams more are their own than the similarity allows."""
+    asked = members.select(F.col("node").alias("a"), F.col("first_hub").alias("b")).distinct()
+    open_ = materialize(compared.join(asked, ["a", "b"], "left_semi"), "ngram-open-pairs")
+    grams = open_.select(F.xxhash64("b").alias("hub"), F.xxhash64("a").alias("node"), F.explode("outside").alias("gram"))
+    own = (grams.groupBy("hub", "gram").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+           .where("n = 1").groupBy("hub", "node").agg(F.count(F.lit(1)).alias("own")))
+    facts = materialize(
+        open_.select("a", "b", "size_a", "common", F.xxhash64("b").alias("hub"), F.xxhash64("a").alias("node"))
+        .join(own, ["hub", "node"], "left")
+        .select(F.col("a").alias("node"), F.col("b").alias("first_hub"), F.col("size_a").alias("size"), "common",
+                F.coalesce("own", F.lit(0)).alias("own"))
+        .where(F.col("size") - F.col("own") >= F.col("size") * F.lit(similarity - 1e-9)), "ngram-bounds")
+    return members.join(small(facts), ["node", "first_hub"])
+
+
+def _may_be_similar(similarity: float):
+    """Whether the bounds of two members of a bucket allow ``similarity``: what
+    they share inside the first hub is at most what either shares with it, and
+    what they share outside is at most what either has there that is not its own."""
+    outside = lambda c: F.greatest(F.col(f"{c}size") - F.col(f"{c}common") - F.col(f"{c}own"), F.lit(0))
+    most = F.least(F.col("common"), F.col("h_common")) + F.least(outside(""), outside("h_"))
+    return most >= F.lit(similarity / (1 + similarity) - 1e-9) * (F.col("size") + F.col("h_size"))
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components ``roots`` (node, root) after more links between nodes."""
+    side = small(roots)
+
+    def root_of(c: str) -> DataFrame:
+        return side.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+
+    ends = links.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left").select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    joined = components(ends)
+    to = small(joined).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    moved = roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    new = joined.join(small(roots.select("node")), "node", "left_anti")
+    return materialize(moved.unionByName(new), "ngram-roots")
 
 
 def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                 similarity: float = 0.8, recall: float = 0.9999, max_hashes: int = 128, seed: int = 0,
-                hubs_per_round: int = 16) -> tuple[DataFrame, DataFrame, DataFrame]:
+                first_hubs: int = 64) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, links, roots): rows with their node (id, node), verified links
     between nodes (a, b, jaccard), and the component of every linked node
     (node, root). Rows without words have no node."""
@@ -133,49 +189,62 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = materialize(nodes.select("node", F.explode("bands").alias("bucket")), "ngram-entries")
     # counted map-side; written, so that a hot bucket can be split in the join
     shared = materialize(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "ngram-buckets")
-    members = materialize(entries.join(shared.select("bucket"), "bucket", "left_semi"), "ngram-members")
+    members = materialize(entries.join(small(shared), "bucket"), "ngram-members")
     involved = members.select("node").distinct()
     first_ids = signed.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id")))["id"].alias("id"))
     texts = materialize(_node_texts(source, materialize(first_ids.join(involved, "node", "left_semi"), "ngram-involved"), n), "ngram-texts")
 
     spark = docs.sparkSession
-    links = spark.createDataFrame([], "a binary, b binary, jaccard double")
-    tested: DataFrame | None = None
-    roots = spark.createDataFrame([], "node binary, root binary")
-    round_ = 0
+    # Round 0: every member of a bucket against the one that shares most with
+    # others, which in a group of copies is the original or next to it.
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    first = materialize(
+        members.join(weights, "node").groupBy("bucket")
+        .agg(F.max_by("node", F.struct("weight", F.xxhash64("node"))).alias("first_hub")), "ngram-hubs")
+    members = materialize(members.select("node", "bucket").join(small(first), "bucket").where("node <> first_hub"),
+                          "ngram-members")
+    pairs = materialize(members.select(F.col("node").alias("a"), F.col("first_hub").alias("b")).distinct(), "ngram-pairs")
+    compared = materialize(_compared(pairs, texts, n, outside=True), "ngram-compared")
+    links = materialize(_links_of(compared, similarity), "ngram-links")
+    tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    roots = _merged(spark.createDataFrame([], "node binary, root binary"), links)
+
+    # Rounds: what is left of buckets whose members lie in several components
+    n_hubs, bounded = first_hubs, False
     while True:
-        # buckets whose members lie in more than one component
-        placed = (members.join(roots, "node", "left")
-                  .select("node", "bucket", F.coalesce("root", "node").alias("root")))
-        sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-        mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
-        open_ = materialize(mixed.where("n_roots > 1").select("bucket", "main"), "ngram-open")
+        sized = materialize(roots.join(small(materialize(
+            roots.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "ngram-sizes")), "root"), "ngram-sized")
+        placed = (members.join(small(sized), "node", "left")
+                  .withColumns({"root": F.coalesce("root", "node"), "n": F.coalesce("n", F.lit(1))}))
+        open_ = materialize(
+            placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                         F.max(F.struct("n", "root"))["root"].alias("main"))
+            .where("low <> high").select("bucket", "main"), "ngram-open")
         if open_.isEmpty():
             break
-        members = materialize(placed.join(open_, "bucket"), "ngram-members")
-        if round_ == 0:  # the same hub in most buckets of a group: few distinct pairs
-            hubs = members.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node")).alias("hub"))
-        else:  # members outside the bucket's main component: few, and each settles for good
-            hubs = (members.where("root <> main")
-                    .withColumn("turn", F.row_number().over(W.partitionBy("bucket").orderBy("root", "node")))
-                    .where(F.col("turn") <= hubs_per_round).select("bucket", F.col("node").alias("hub")))
-        hubs = materialize(hubs, "ngram-hubs")
-        hub_roots = hubs.join(members.select("bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root")),
-                              ["bucket", "hub"])
-        pairs = (members.join(materialize(hub_roots, "ngram-hubs"), "bucket").where("root <> hub_root")
-                 .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        members = placed.drop("n").join(small(open_), "bucket")
+        if not bounded:
+            members, bounded = _bounded(materialize(members, "ngram-members"), compared, similarity), True
+        members = materialize(members, "ngram-members")
+        # members outside the bucket's main component, twice as many each round
+        turn = F.row_number().over(W.partitionBy("bucket").orderBy("root", "node"))
+        hubs = materialize(
+            members.where("root <> main").withColumn("turn", turn).where(F.col("turn") <= n_hubs).select(
+                "bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root"),
+                *[F.col(c).alias(f"h_{c}") for c in ("size", "common", "own")]), "ngram-hubs")
+        met = members.join(small(hubs), "bucket").where((F.col("root") != F.col("hub_root")) & _may_be_similar(similarity))
+        pairs = (met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+                 .join(tested, ["a", "b"], "left_anti"))
         pairs = materialize(pairs, "ngram-pairs")
-        found = materialize(_verified(pairs, texts, n, similarity), "ngram-links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        tested = tested.unionByName(pairs)
+        found = materialize(_links_of(_compared(pairs, texts, n, outside=False), similarity), "ngram-links")
         links = links.unionByName(found)
-        roots = materialize(components(links), "ngram-roots")
+        roots = _merged(roots, found)
         # a hub has met all of its bucket
-        members = materialize(members.select("node", "bucket").join(
-            hubs.withColumnRenamed("hub", "node"), ["bucket", "node"], "left_anti"), "ngram-members")
-        round_ += 1
+        members = members.drop("root", "main").join(
+            small(hubs).select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
+        n_hubs *= 2
     return signed.select("id", "node"), links, roots
 
 
