@@ -196,11 +196,11 @@ def test_gradients_against_differences(monkeypatch):
 
     def loss():
         x, _ = net.inputs(words)
-        return float((net.forward(x, index, mask) * np.array([1.0, -2.0])).sum())
+        return float((net.forward(net.project(x), index, mask) * np.array([1.0, -2.0])).sum())
 
     x, at = net.inputs(words)
     tape = {}
-    net.forward(x, index, mask, tape)
+    net.forward(net.project(x), index, mask, tape)
     grads = net.backward(x, at, index, mask, tape, np.array([1.0, -2.0]))
     rng = np.random.default_rng(1)
     for name, g in grads.items():
@@ -229,7 +229,7 @@ def test_scores_do_not_depend_on_batches():
     rng = random.Random(9)
     texts = [" ".join(prose(rng, rng.randrange(80))) for _ in range(40)] + ["", " \n"]
     net = _tiny()
-    one = tox.Scorer(net, block_words=1).scores(texts)
+    one = tox.Scorer(net, block_chars=1).scores(texts)
     assert one == pytest.approx(tox.Scorer(net).scores(texts), abs=1e-5)
     assert one[-1] == one[-2] == 0.0
 
