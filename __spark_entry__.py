@@ -114,8 +114,12 @@ def star_ctes(src: str, p: str = "") -> str:
 {p}time_dim AS (
   SELECT row_number() OVER (ORDER BY FiscalYear) AS TimeID, FiscalYear
   FROM (SELECT DISTINCT FiscalYear FROM {src})),
-{p}agency_dim AS (SELECT DISTINCT AgencyID, AgencyName FROM {src}),
-{p}title_dim AS (SELECT DISTINCT TitleCode, TitleDescription FROM {src}),
+{p}agency_dim AS (
+  SELECT AgencyID, AgencyName FROM {src}
+  QUALIFY row_number() OVER (PARTITION BY AgencyID ORDER BY FiscalYear DESC, PayrollNumber DESC) = 1),
+{p}title_dim AS (
+  SELECT TitleCode, TitleDescription FROM {src}
+  QUALIFY row_number() OVER (PARTITION BY TitleCode ORDER BY FiscalYear DESC, PayrollNumber DESC) = 1),
 {p}employee_dim AS (
   SELECT EmployeeID, LastName, FirstName, WorkLocationBorough, LeaveStatusasofJune30
   FROM {src}
@@ -178,9 +182,9 @@ CUST_NULL_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegme
 CUSTOMER_TYPES = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
                   ("c_acctbal", "double"), ("c_mktsegment", "string")]
 
-FACT_WAREHOUSE = """SELECT CAST(PayrollID AS INTEGER) AS payrollid, CAST(EmployeeID AS INTEGER) AS employeeid,
+FACT_WAREHOUSE = """SELECT CAST(PayrollID AS BIGINT) AS payrollid, CAST(EmployeeID AS BIGINT) AS employeeid,
   AgencyID AS agencyid, TitleCode AS titlecode, CAST(TimeID AS INTEGER) AS timeid,
-  CAST(PayrollNumber AS INTEGER) AS payrollnumber, BaseSalary AS basesalary, PayBasis AS paybasis,
+  CAST(PayrollNumber AS BIGINT) AS payrollnumber, BaseSalary AS basesalary, PayBasis AS paybasis,
   AgencyStartDate AS agencystartdate, RegularHours AS regularhours, RegularGrossPaid AS regulargrosspaid,
   OTHours AS othours, TotalOTPaid AS totalotpaid, TotalOtherPay AS totalotherpay
 FROM fact"""
@@ -195,7 +199,7 @@ def _quality_sql() -> str:
     pk = lambda t, k: f"SELECT {k} FROM {r}{t} GROUP BY {k} HAVING count(*) > 1 OR {k} IS NULL"
     too_long = lambda t, cols: f"SELECT * FROM {r}{t} WHERE " + " OR ".join(
         f"length({c}) > 1000" for c in cols)
-    fk = lambda col, t: f"SELECT * FROM {r}fact f WHERE NOT EXISTS (SELECT 1 FROM {r}{t} d WHERE d.{col} = f.{col})"
+    fk = lambda col, t: f"SELECT * FROM {r}fact f WHERE f.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {r}{t} d WHERE d.{col} = f.{col})"
     parts = [
         _count("pk_employee", pk("employee_dim", "EmployeeID")),
         _count("length_employee", too_long("employee_dim", ["LastName", "FirstName", "WorkLocationBorough", "LeaveStatusasofJune30"])),
@@ -210,6 +214,8 @@ def _quality_sql() -> str:
         _count("fk_agency", fk("AgencyID", "agency_dim")),
         _count("fk_jobtitle", fk("TitleCode", "title_dim")),
         _count("fk_time", fk("TimeID", "time_dim")),
+        _count("renamed_agency", "SELECT AgencyID FROM rpay GROUP BY AgencyID HAVING count(DISTINCT AgencyName) > 1"),
+        _count("renamed_jobtitle", "SELECT TitleCode FROM rpay GROUP BY TitleCode HAVING count(DISTINCT TitleDescription) > 1"),
         _count("null_start_date_text", "SELECT * FROM rpay WHERE AgencyStartDate_raw IS NULL"),
         _count("unparsed_start_date", "SELECT * FROM rpay WHERE AgencyStartDate_raw IS NOT NULL AND AgencyStartDate IS NULL"),
         _count("start_after_fiscal_year", "SELECT * FROM rpay WHERE year(AgencyStartDate) > FiscalYear"),
@@ -262,8 +268,10 @@ def oracle_sql() -> dict[str, str]:
               row_number() OVER (ORDER BY year(o_orderdate), o_orderkey) AS row_key
             FROM orders""",
         "schema_profile": profile,
-        "dedup_business_key": """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders
-            QUALIFY row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderkey) = 1""",
+        "dedup_business_key": """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year,
+              CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS o_number FROM orders
+            QUALIFY row_number() OVER (PARTITION BY o_custkey, year(o_orderdate)
+              ORDER BY o_number NULLS LAST, o_orderkey) = 1""",
         "dedup_latest": f"""WITH {PAY} SELECT * FROM pay
             QUALIFY row_number() OVER (PARTITION BY EmployeeID ORDER BY FiscalYear DESC, PayrollNumber DESC) = 1""",
         "distinct_pairs": f"WITH {PAY} SELECT DISTINCT AgencyID, AgencyName FROM pay",
@@ -311,12 +319,20 @@ def oracle_sql() -> dict[str, str]:
         "dim_time": f"WITH {STAR} SELECT * FROM time_dim",
         "fact_payroll": f"WITH {STAR} SELECT * FROM fact",
         "fact_payroll_natural": f"WITH {FACT_NATURAL} SELECT * FROM fact_nat",
-        "star_schema_end_to_end": f"""WITH {RAW_PAY}
-            SELECT AgencyID, FiscalYear, TitleCode, count(*) AS n_rows,
-              count(*) - count(AgencyStartDate) AS n_null_start,
-              CAST(sum(RegularHours) AS DECIMAL(38,2)) AS total_hours,
-              CAST(sum(RegularGrossPaid) AS DECIMAL(38,2)) AS total_gross
-            FROM rpay GROUP BY AgencyID, FiscalYear, TitleCode""",
+        "star_schema_end_to_end": f"""WITH {RAW_PAY},{star_ctes('rpay', 'r_')},{MASTERS}
+            SELECT a.AgencyName, t.FiscalYear, j.TitleDescription, e.WorkLocationBorough, count(*) AS n_rows,
+              count(*) - count(f.AgencyStartDate) AS n_null_start,
+              count(*) - count(em.EmployeeID) AS n_not_in_emp_master,
+              count(*) - count(am.AgencyID) AS n_not_in_agency_master,
+              count(*) - count(tm.TitleCode) AS n_not_in_title_master,
+              CAST(sum(f.RegularHours) AS DECIMAL(38,2)) AS total_hours,
+              CAST(sum(f.RegularGrossPaid) AS DECIMAL(38,2)) AS total_gross
+            FROM r_fact f JOIN r_time_dim t USING (TimeID) JOIN r_agency_dim a USING (AgencyID)
+              JOIN r_title_dim j USING (TitleCode) JOIN r_employee_dim e USING (EmployeeID)
+              JOIN rpay p ON p.EmployeeID = f.EmployeeID AND p.FiscalYear = t.FiscalYear
+              LEFT JOIN emp_master em ON {EMP_ON} LEFT JOIN agency_master am ON {AGENCY_ON}
+              LEFT JOIN title_master tm ON {TITLE_ON}
+            GROUP BY a.AgencyName, t.FiscalYear, j.TitleDescription, e.WorkLocationBorough""",
         "sink_parquet": "SELECT * FROM nation",
         "sink_csv": "SELECT * FROM supplier",
         "sink_jdbc": "SELECT * FROM nation",
@@ -331,8 +347,9 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT o_orderkey FROM orders
                   UNION ALL SELECT o_orderkey FROM orders WHERE o_totalprice > 450000)
             GROUP BY o_orderkey HAVING count(*) > 1 OR o_orderkey IS NULL""",
-        "check_foreign_key": """SELECT o_orderkey, o_custkey FROM orders o
-            WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey)""",
+        "check_foreign_key": """SELECT o_orderkey, o_custkey
+            FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS o_custkey FROM orders) o
+            WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey)""",
         "check_max_length": """SELECT doc_id, CAST(length(text) AS INTEGER) AS text_length
             FROM documents WHERE length(text) > 1000""",
         "full_refresh_twice": "SELECT * FROM nation",
@@ -346,7 +363,7 @@ def oracle_sql() -> dict[str, str]:
               lag(FiscalYear) OVER w AS prev_fiscal_year
             FROM alloc WINDOW w AS (PARTITION BY AgencyID ORDER BY FiscalYear)""",
         "public_view": f"""WITH {STAR}
-            SELECT f.PayrollID, a.AgencyName, t.TitleDescription, d.FiscalYear, f.PayBasis,
+            SELECT a.AgencyName, t.TitleDescription, d.FiscalYear, f.PayBasis,
               f.BaseSalary, f.RegularHours, f.RegularGrossPaid, f.OTHours, f.TotalOTPaid, f.TotalOtherPay
             FROM fact f JOIN agency_dim a USING (AgencyID) JOIN title_dim t USING (TitleCode)
               JOIN time_dim d USING (TimeID)""",

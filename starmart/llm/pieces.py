@@ -283,7 +283,7 @@ def _model(path: str) -> PieceModel:
 
 
 def encode_pieces(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0, streams: int = 8,
-                  id_col: str = "doc_id", text_col: str = "text", block_chars: int = 1 << 21) -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", block_chars: int = 1 << 20) -> DataFrame:
     """One row per input row: ``id_col`` and ``pieces`` (array of ids).
 
     Same id, text, seed and dropout, same pieces; dropout 0 gives the model's

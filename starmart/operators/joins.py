@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart import schemas as S
+
 BROADCAST_ROWS = 1_000_000       # dimensions of a payroll star are far below this
 BROADCAST_BYTES = 64 * 1024 ** 2  # what every executor would hold per broadcast
 
@@ -80,13 +82,13 @@ def enrich_with_masters(df: DataFrame, emp: DataFrame | None, agency: DataFrame
     """The chain employee -> agency -> title master, each a left join."""
     out = df
     if emp is not None:
-        out = left_join_master(out, emp, ["EmployeeID", "LastName", "FirstName"],
+        out = left_join_master(out, emp, S.EMP_MASTER_KEYS,
                                "in_emp_master" if flags else None)
     if agency is not None:
-        out = left_join_master(out, agency, ["AgencyID", "AgencyName"],
+        out = left_join_master(out, agency, S.AGENCY_MASTER_KEYS,
                                "in_agency_master" if flags else None)
     if title is not None:
-        out = left_join_master(out, title, ["TitleCode", "TitleDescription"],
+        out = left_join_master(out, title, S.TITLE_MASTER_KEYS,
                                "in_title_master" if flags else None)
     return out
 

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import checked_broadcast
 from starmart.schemas import VARCHAR_LIMIT
 
 
@@ -27,11 +28,26 @@ def check_primary_key(df: DataFrame, key: str | list[str]) -> DataFrame:
 
 def check_foreign_key(child: DataFrame, parent: DataFrame, child_key: str | list[str],
                       parent_key: str | list[str] | None = None) -> DataFrame:
-    """Child rows whose key has no parent row (``left_anti``)."""
+    """Child rows whose key has no parent row (``left_anti``). A null key
+    refers to nothing, so it is no violation, as in SQL."""
     ck = [child_key] if isinstance(child_key, str) else list(child_key)
     pk = ck if parent_key is None else ([parent_key] if isinstance(parent_key, str) else list(parent_key))
     cond = reduce(lambda a, b: a & b, [child[c] == parent[p] for c, p in zip(ck, pk)])
-    return child.join(parent.select(*pk), cond, "left_anti")
+    refers = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ck])
+    return child.where(refers).join(parent.select(*pk), cond, "left_anti")
+
+
+def with_parent_flags(child: DataFrame, parents: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, Column]]:
+    """``child`` looked up in several parents ({child key: parent's keys, one
+    column}) and, per key, the condition that a row refers to no parent: all
+    foreign keys are then counted in one scan of the child."""
+    conditions = {}
+    for i, (key, parent) in enumerate(parents.items()):
+        flag, column = f"_has{i}", parent.columns[0]
+        side = parent.select(F.col(column).alias(f"_key{i}")).distinct().withColumn(flag, F.lit(True))
+        child = child.join(checked_broadcast(side), F.col(key) == F.col(f"_key{i}"), "left").drop(f"_key{i}")
+        conditions[key] = F.col(key).isNotNull() & F.col(flag).isNull()
+    return child, conditions
 
 
 def check_max_length(df: DataFrame, cols: list[str], limit: int = VARCHAR_LIMIT) -> DataFrame:

@@ -10,6 +10,8 @@ are the keys the dimensions were published with.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,10 +21,11 @@ from starmart import schemas as S
 from starmart.operators.joins import enrich_with_masters
 from starmart.operators.quality import quality_report
 from starmart.plans import marts
-from starmart.plans.star import Star, build_star, clean_payroll, dedup_snapshots
+from starmart.plans.star import Star, build_star, clean_payroll, dedup_snapshots, renamed
+from starmart.session import drop_path, scratch_scope
 from starmart.sinks import warehouse
 from starmart.sinks.jdbc import write_jdbc
-from starmart.sources.csv import discover_files, load_snapshots, read_csv, read_stage, write_stage
+from starmart.sources.csv import discover_files, load_master, load_snapshots, read_stage, write_stage
 
 
 @dataclass
@@ -43,47 +46,71 @@ class JobConfig:
     # partitions is coalesced to this many writers instead of opening one
     # connection per partition
     jdbc_connections: int = 16
+    jdbc_int_keys: bool = False         # 32-bit ids in the database
+    # runs the statements that swap the staged database tables in
+    jdbc_swap: Callable[[list[str]], None] | None = None
 
     def stage(self, name: str) -> str:
         return f"{self.stage_dir.rstrip('/')}/{name}"
 
 
+def read_stage_table(spark: SparkSession, cfg: JobConfig, name: str, run: str | None = None) -> DataFrame:
+    """A stage table with its fixed schema, in its column order."""
+    path = cfg.stage(f"{run}/{name}" if run else name)
+    return read_stage(spark, path, S.STAGE[name]).select(*S.STAGE[name].fieldNames())
+
+
 def extract(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     """Snapshots -> one table, one row per (EmployeeID, FiscalYear)."""
     paths = discover_files(spark, cfg.snapshot_dir, cfg.pattern, cfg.recursive)
-    merged = dedup_snapshots(load_snapshots(spark, paths))
+    merged = dedup_snapshots(load_snapshots(spark, paths, provenance=True))
     # the dedup leaves rows hashed by (employee, year): without the rebalance
     # every write task would hold every year and write a file per year
     write_stage(merged, cfg.stage("payroll_merged"), partition_by=["FiscalYear"],
                 rebalance=True)
-    return read_stage(spark, cfg.stage("payroll_merged")).select(*S.PAYROLL_COLUMNS)
+    return read_stage_table(spark, cfg, "payroll_merged")
 
 
 def _masters(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame | None]:
     def rd(path, schema):
-        return read_csv(spark, path, schema=schema) if path else None
+        return load_master(spark, path, schema) if path else None
     return {"emp": rd(cfg.emp_master, S.EMP_MASTER_SCHEMA),
             "agency": rd(cfg.agency_master, S.AGENCY_MASTER_SCHEMA),
             "title": rd(cfg.title_master, S.TITLE_MASTER_SCHEMA)}
 
 
+RUNS_SCHEMA = "run string, finished timestamp"
+
+
+def last_run(spark: SparkSession, cfg: JobConfig) -> str:
+    """The transform that finished last. Every run writes below a folder of its
+    own and is listed only once its report is there too, so one that died
+    leaves the run before untouched."""
+    runs = spark.read.schema(RUNS_SCHEMA).parquet(cfg.stage("runs"))
+    return runs.orderBy(F.desc("finished"), "run").first().run
+
+
 def transform(spark: SparkSession, cfg: JobConfig,
               masters: dict[str, DataFrame | None] | None = None) -> Star:
     """Merged stage -> parse, fill -> dimensions -> fact, plus a quality table."""
-    merged = read_stage(spark, cfg.stage("payroll_merged")).select(*S.PAYROLL_COLUMNS)
+    run = f"run-{uuid.uuid4().hex[:12]}"
+    merged = read_stage_table(spark, cfg, "payroll_merged")
     payroll = clean_payroll(merged, keep_raw_date=True)
     masters = masters if masters is not None else _masters(spark, cfg)
 
     def keep(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        write_stage(df, cfg.stage(name), partition_by=partition_by)
-        return read_stage(spark, cfg.stage(name)).select(*df.columns)
+        write_stage(df, cfg.stage(f"{run}/{name}"), partition_by=partition_by)
+        return read_stage_table(spark, cfg, name, run)
 
-    star = build_star(payroll.drop("AgencyStartDate_raw"), natural=cfg.natural, materialize=keep)
-    # one folder per fiscal year (TimeID is 1:1 with it): reads of a year prune
-    fact = keep("fact_table", star.fact, partition_by=["TimeID"])
+    with scratch_scope(spark):  # the dense key's ranges, once the stage holds the fact
+        star = build_star(payroll.drop("AgencyStartDate_raw"), natural=cfg.natural, materialize=keep)
+        # one folder per fiscal year (TimeID is 1:1 with it): reads of a year prune
+        fact = keep("fact_table", star.fact, partition_by=["TimeID"])
     star = Star(star.employee, star.agency, star.jobtitle, star.time, _fact=fact)
 
-    checks = warehouse.warehouse_checks(star.tables())
+    checks, rows = warehouse.warehouse_conditions(star.tables())
+    checks |= {"renamed_agency": renamed(payroll, "AgencyID", "AgencyName"),
+               "renamed_jobtitle": renamed(payroll, "TitleCode", "TitleDescription")}
     conditions = {
         "unparsed_start_date": F.col("AgencyStartDate_raw").isNotNull() & F.col("AgencyStartDate").isNull(),
         "start_after_fiscal_year": F.year("AgencyStartDate") > F.col("FiscalYear"),
@@ -97,56 +124,67 @@ def transform(spark: SparkSession, cfg: JobConfig,
     # the null audit of the merged stage before the fill, and the row
     # conditions: one scan each for all of their checks
     nulls = {f"null_{c}": F.col(c).isNull() for c in S.PAYROLL_COLUMNS}
-    report = quality_report(checks, [(merged, nulls), (enriched, conditions)])
-    write_stage(report, cfg.stage("quality_report"))
+    report = quality_report(checks, [*rows, (merged, nulls), (enriched, conditions)])
+    write_stage(report, cfg.stage(f"{run}/quality_report"))
+    spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("finished")) \
+        .write.mode("append").parquet(cfg.stage("runs"))
     return star
 
 
-def _stage_columns(name: str) -> list[str]:
-    return {"employee": S.EMPLOYEE_COLS, "agency": S.AGENCY_COLS, "jobtitle": S.TITLE_COLS,
-            "time": S.TIME_COLS, "fact_table": S.FACT_COLS}[name]
-
-
 def load(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
-    """Stage tables -> warehouse types -> full refresh (catalog, and JDBC when
-    a URL is configured, dimensions before the fact). The constraints were
-    checked by ``transform`` on these very stage tables; its report gates the
-    load, so they are not computed twice."""
-    warehouse.assert_report_clean(read_stage(spark, cfg.stage("quality_report")))
-    staged = {name: read_stage(spark, cfg.stage(name)).select(*_stage_columns(name))
-              for name in S.LOAD_ORDER}
+    """Stage tables of the last finished transform -> warehouse types -> full
+    refresh (catalog, and JDBC when a URL is configured, dimensions before the
+    fact). The constraints were checked by that run on these very tables; its
+    report gates the load, so they are not computed twice."""
+    run = last_run(spark, cfg)
+    warehouse.assert_report_clean(read_stage_table(spark, cfg, "quality_report", run))
+    staged = {name: read_stage_table(spark, cfg, name, run) for name in S.LOAD_ORDER}
     typed = warehouse.to_warehouse(staged)
     root = cfg.warehouse_dir or cfg.stage("warehouse")
     warehouse.publish(spark, typed, cfg.database, root, check=False)
     if cfg.jdbc_url:
-        # overwrite = drop and re-create with the warehouse column types, then
-        # insert; dimensions before the fact
-        for name in S.LOAD_ORDER:
-            write_jdbc(spark.table(f"`{cfg.database}`.`{name}`"), cfg.jdbc_url,
-                       f"{cfg.database}.{name}", cfg.jdbc_properties, mode="overwrite",
-                       num_partitions=cfg.jdbc_connections,
-                       column_types=warehouse.ddl_columns(S.WAREHOUSE[name]).replace(" NOT NULL", ""))
+        load_jdbc(spark, cfg)
     publish_marts(spark, cfg.database, root)
+    # the stage tables have done their work; those of runs before as well
+    for r in spark.read.schema(RUNS_SCHEMA).parquet(cfg.stage("runs")).select("run").distinct().collect():
+        if r.run != run:
+            drop_path(spark, cfg.stage(r.run))
     return {name: spark.table(f"`{cfg.database}`.`{name}`") for name in S.LOAD_ORDER}
 
 
-PUBLIC_VIEW = "public_payroll"
+def load_jdbc(spark: SparkSession, cfg: JobConfig) -> None:
+    """Copy the published tables to a database, dimensions before the fact.
+
+    With ``cfg.jdbc_swap`` the tables are written under staging names and the
+    statements of ``warehouse.jdbc_swap`` (create with keys, fill, rename) are
+    handed to it, to be run in one transaction; without it the final tables
+    are overwritten."""
+    suffix = "_staged" if cfg.jdbc_swap else ""
+    for name in S.LOAD_ORDER:
+        schema = S.with_int_keys(S.WAREHOUSE[name]) if cfg.jdbc_int_keys else S.WAREHOUSE[name]
+        table = warehouse.cast_to_schema(spark.table(f"`{cfg.database}`.`{name}`"), schema)
+        write_jdbc(table, cfg.jdbc_url, f"{cfg.database}.{name}{suffix}", cfg.jdbc_properties,
+                   mode="overwrite", num_partitions=cfg.jdbc_connections,
+                   column_types=warehouse.ddl_columns(schema).replace(" NOT NULL", ""))
+    if cfg.jdbc_swap:
+        cfg.jdbc_swap(warehouse.jdbc_swap(cfg.database, cfg.jdbc_int_keys))
+
+
 ALLOCATION_TABLE = "allocation_by_agency_year"
 
 
 def publish_marts(spark: SparkSession, db: str, root: str) -> None:
     """On top of the published star: the allocation mart as a table (re-made
     on every load) and a permanent view for public users, which exposes pay
-    by agency, title and year but no employee id or names."""
+    by agency, title and year but no employee id, names or fact key. The load
+    gate has checked that the dimensions' keys are unique."""
     t = {name: spark.table(f"`{db}`.`{name}`") for name in S.LOAD_ORDER}
     alloc = marts.allocation_by_agency_year(t["fact_table"], t["agency"], t["time"])
     warehouse.publish(spark, {ALLOCATION_TABLE: alloc}, db, root, check=False)
+    columns = ", ".join(c.lower() for c in marts.PUBLIC_COLUMNS)
     spark.sql(f"""
-        CREATE OR REPLACE VIEW `{db}`.`{PUBLIC_VIEW}` AS
-        SELECT f.payrollid, a.agencyname, j.titledescription, t.fiscalyear, f.paybasis,
-               f.basesalary, f.regularhours, f.regulargrosspaid, f.othours, f.totalotpaid,
-               f.totalotherpay
-        FROM `{db}`.`fact_table` f
+        CREATE OR REPLACE VIEW `{db}`.`{marts.PUBLIC_VIEW}` AS
+        SELECT {columns} FROM `{db}`.`fact_table` f
         JOIN `{db}`.`agency` a ON f.agencyid = a.agencyid
         JOIN `{db}`.`jobtitle` j ON f.titlecode = j.titlecode
         JOIN `{db}`.`time` t ON f.timeid = t.timeid""")

@@ -6,11 +6,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.operators.dedup import dedup_by
 from starmart.operators.joins import checked_broadcast
 
 TOTAL = T.DecimalType(38, 2)
 
 
+def lookup(dim: DataFrame, key: str) -> DataFrame:
+    """A dimension as the side of a lookup: one row per key whatever was passed
+    in (of several the greatest), so that it can never multiply the rows it is
+    joined to; broadcast behind the size check."""
+    rest = [c for c in dim.columns if c != key]
+    return checked_broadcast(dedup_by(dim, [key], rest, keep="last"))
+
+
 def allocation_by_agency_year(fact: DataFrame, agency: DataFrame, time: DataFrame) -> DataFrame:
     """Pay per agency and fiscal year.
 
@@ -43,8 +52,8 @@ def allocation_by_agency_year(fact: DataFrame, agency: DataFrame, time: DataFram
         F.sum("paid").cast(TOTAL).alias("total_paid"),
     )
     if year == "TimeID":
-        agg = agg.join(checked_broadcast(time), ["TimeID"])
-    out = agg.join(checked_broadcast(agency), ["AgencyID"])
+        agg = agg.join(lookup(time, "TimeID"), ["TimeID"])
+    out = agg.join(lookup(agency, "AgencyID"), ["AgencyID"])
     return out.select("AgencyID", "AgencyName", "FiscalYear", "n_rows", "n_employees",
                       "total_gross", "total_ot", "total_other", "total_paid")
 
@@ -66,18 +75,19 @@ def allocation_year_over_year(alloc: DataFrame) -> DataFrame:
 
 
 PUBLIC_VIEW = "public_payroll"
+PUBLIC_COLUMNS = ["AgencyName", "TitleDescription", "FiscalYear", "PayBasis", "BaseSalary", "RegularHours",
+                  "RegularGrossPaid", "OTHours", "TotalOTPaid", "TotalOtherPay"]
 
 
 def public_view(spark: SparkSession, fact: DataFrame, agency: DataFrame, title: DataFrame,
                 time: DataFrame, name: str = PUBLIC_VIEW) -> DataFrame:
     """What a public user may see: pay by agency, title and year, without
-    employee id or names. Registered as a temporary view ``name``."""
-    pub = (fact.join(checked_broadcast(agency), ["AgencyID"])
-           .join(checked_broadcast(title), ["TitleCode"])
-           .join(checked_broadcast(time), ["TimeID"])
-           .select("PayrollID", "AgencyName", "TitleDescription", "FiscalYear", "PayBasis",
-                   "BaseSalary", "RegularHours", "RegularGrossPaid", "OTHours",
-                   "TotalOTPaid", "TotalOtherPay"))
+    employee id or names and without the fact's key, whose order follows the
+    employee. Registered as a temporary view ``name``."""
+    pub = (fact.join(lookup(agency, "AgencyID"), ["AgencyID"])
+           .join(lookup(title, "TitleCode"), ["TitleCode"])
+           .join(lookup(time, "TimeID"), ["TimeID"])
+           .select(*PUBLIC_COLUMNS))
     pub.createOrReplaceTempView(name)
     return spark.table(name)
 

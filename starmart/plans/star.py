@@ -26,13 +26,25 @@ from starmart.functions.clean import fill_nulls_by_type, parse_dates
 from starmart.operators.dedup import dedup_by, distinct_of
 from starmart.operators.joins import assert_unique, checked_broadcast, join_dimension
 from starmart.operators.keys import dense_key, dense_key_small
+from starmart.sources.csv import PROVENANCE
 
 BUSINESS_KEY = ["EmployeeID", "FiscalYear"]
 
 
-def dedup_snapshots(df: DataFrame) -> DataFrame:
-    """At most one payroll row per (EmployeeID, FiscalYear): lowest PayrollNumber."""
-    return dedup_by(df, BUSINESS_KEY, ["PayrollNumber"], keep="first")
+def dedup_snapshots(df: DataFrame, total_order: bool = False) -> DataFrame:
+    """At most one payroll row per (EmployeeID, FiscalYear): the lowest
+    PayrollNumber (a null one loses). The number names an agency's payroll and
+    repeats within it, so ties are usual: where the rows carry their file
+    (``load_snapshots(provenance=True)``), the newest file wins a tie, then the
+    first path; only rows of one file fall to their other columns.
+
+    ``total_order`` declares that PayrollNumber is unique within the key."""
+    if PROVENANCE not in df.columns:
+        return dedup_by(df, BUSINESS_KEY, ["PayrollNumber"], keep="first", total_order=total_order)
+    # what decides after the number, smallest first: newer files are smaller
+    aged = df.withColumns({"_age": -F.unix_micros(f"{PROVENANCE}.at"), "_path": F.col(f"{PROVENANCE}.path")})
+    one = dedup_by(aged.drop(PROVENANCE), BUSINESS_KEY, ["PayrollNumber", "_age", "_path"], keep="first")
+    return one.drop("_age", "_path")
 
 
 def clean_payroll(df: DataFrame, keep_raw_date: bool = False) -> DataFrame:
@@ -48,18 +60,29 @@ def clean_payroll(df: DataFrame, keep_raw_date: bool = False) -> DataFrame:
 def build_employee_dim(df: DataFrame) -> DataFrame:
     """One row per employee with the attributes of the latest fiscal year
     (then the highest payroll number)."""
-    cols = S.EMPLOYEE_COLS + ["FiscalYear", "PayrollNumber"]
-    latest = dedup_by(df.select(*cols), ["EmployeeID"], ["FiscalYear", "PayrollNumber"],
-                      keep="last")
-    return latest.select(*S.EMPLOYEE_COLS)
+    return _latest(df, "EmployeeID", S.EMPLOYEE_COLS)
+
+
+def _latest(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    order = ["FiscalYear", "PayrollNumber"]
+    return dedup_by(df.select(*cols, *order), [key], order, keep="last").select(*cols)
 
 
 def build_agency_dim(df: DataFrame) -> DataFrame:
-    return distinct_of(df, S.AGENCY_COLS)
+    """One row per agency, named as in its latest fiscal year; ``renamed`` tells
+    which ones had another name before."""
+    return _latest(df, "AgencyID", S.AGENCY_COLS)
 
 
 def build_title_dim(df: DataFrame) -> DataFrame:
-    return distinct_of(df, S.TITLE_COLS)
+    """One row per title code, described as in its latest fiscal year."""
+    return _latest(df, "TitleCode", S.TITLE_COLS)
+
+
+def renamed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Keys that come with more than one name: (key, n_names)."""
+    return (distinct_of(df, [key, name]).groupBy(key).agg(F.count(F.lit(1)).alias("n_names"))
+            .where("n_names > 1"))
 
 
 def build_time_dim(df: DataFrame) -> DataFrame:

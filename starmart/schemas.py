@@ -59,8 +59,8 @@ TITLE_MASTER_SCHEMA = T.StructType([
     T.StructField("TitleDescription", T.StringType()),
 ])
 
-# Dimension declarations: columns in output order, primary key, natural key
-# (the attributes the fact is matched on in parity mode).
+# Columns of the dimensions in output order, and the attributes
+# the fact is matched on in parity mode (the natural key).
 EMPLOYEE_COLS = ["EmployeeID", "LastName", "FirstName", "WorkLocationBorough",
                  "LeaveStatusasofJune30"]
 EMPLOYEE_NATURAL = ["LastName", "FirstName", "LeaveStatusasofJune30", "WorkLocationBorough"]
@@ -68,18 +68,37 @@ AGENCY_COLS = ["AgencyID", "AgencyName"]
 TITLE_COLS = ["TitleCode", "TitleDescription"]
 TIME_COLS = ["TimeID", "FiscalYear"]
 
+# Columns of the fact in output order.
 FACT_COLS = [
     "PayrollID", "EmployeeID", "AgencyID", "TitleCode", "TimeID", "PayrollNumber",
     "BaseSalary", "PayBasis", "AgencyStartDate", "RegularHours", "RegularGrossPaid",
     "OTHours", "TotalOTPaid", "TotalOtherPay",
 ]
 
+# The columns a payroll row is matched on with each master.
+EMP_MASTER_KEYS = ["EmployeeID", "LastName", "FirstName"]
+AGENCY_MASTER_KEYS = ["AgencyID", "AgencyName"]
+TITLE_MASTER_KEYS = ["TitleCode", "TitleDescription"]
+
+_STAGE_TYPES = {f.name: f.dataType for f in PAYROLL_SCHEMA.fields} | {
+    "AgencyStartDate": T.DateType(), "PayrollID": T.LongType(), "TimeID": T.LongType()}
+
+# Stage tables are read back with these, never with guessed types.
+STAGE = {name: T.StructType([T.StructField(c, _STAGE_TYPES[c]) for c in cols]) for name, cols in {
+    "employee": EMPLOYEE_COLS, "agency": AGENCY_COLS, "jobtitle": TITLE_COLS, "time": TIME_COLS,
+    "fact_table": FACT_COLS}.items()} | {
+    "payroll_merged": PAYROLL_SCHEMA,
+    "quality_report": T.StructType([T.StructField("check_name", T.StringType()),
+                                    T.StructField("violations", T.LongType())])}
+
 # The warehouse DDL (table -> columns with types), primary and
-# foreign keys, and the VARCHAR limit.
+# foreign keys, and the VARCHAR limit. Ids that grow with the data are 64-bit
+# in the catalog; ``with_int_keys`` gives the 32-bit form for a database whose
+# tables were made with INT keys.
 VARCHAR_LIMIT = 1000
 WAREHOUSE = {
     "employee": T.StructType([
-        T.StructField("employeeid", T.IntegerType(), False),
+        T.StructField("employeeid", T.LongType(), False),
         T.StructField("lastname", T.StringType()),
         T.StructField("firstname", T.StringType()),
         T.StructField("worklocationborough", T.StringType()),
@@ -98,12 +117,12 @@ WAREHOUSE = {
         T.StructField("fiscalyear", T.IntegerType()),
     ]),
     "fact_table": T.StructType([
-        T.StructField("payrollid", T.IntegerType(), False),
-        T.StructField("employeeid", T.IntegerType()),
+        T.StructField("payrollid", T.LongType(), False),
+        T.StructField("employeeid", T.LongType()),
         T.StructField("agencyid", T.IntegerType()),
         T.StructField("titlecode", T.IntegerType()),
         T.StructField("timeid", T.IntegerType()),
-        T.StructField("payrollnumber", T.IntegerType()),
+        T.StructField("payrollnumber", T.LongType()),
         T.StructField("basesalary", MONEY),
         T.StructField("paybasis", T.StringType()),
         T.StructField("agencystartdate", T.DateType()),
@@ -119,3 +138,9 @@ PRIMARY_KEYS = {"employee": "employeeid", "agency": "agencyid", "jobtitle": "tit
 FOREIGN_KEYS = {"employeeid": "employee", "agencyid": "agency", "titlecode": "jobtitle",
                 "timeid": "time"}
 LOAD_ORDER = ["employee", "agency", "jobtitle", "time", "fact_table"]
+
+
+def with_int_keys(schema: T.StructType) -> T.StructType:
+    """``schema`` with 32-bit ids; casting a larger id to it fails the job."""
+    return T.StructType([T.StructField(f.name, T.IntegerType() if f.dataType == T.LongType() else f.dataType,
+                                       f.nullable) for f in schema.fields])

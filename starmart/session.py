@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -61,17 +62,37 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root for a written table."""
-    return f"{checkpoint_root(spark)}/starmart/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/starmart/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
 
 
-def reliable_checkpoint(df):
-    """Materialize ``df`` under the checkpoint root and cut its lineage.
+_made: list[str] = []  # scratch folders named and not yet dropped
 
-    Reliable (written to the shared folder), never ``localCheckpoint``: a lost
-    executor does not lose the data, and later reads do not re-run the plan.
-    """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote, on whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def free_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Drop the scratch folders made so far (from the ``since``-th on). Frames
+    that still read them must have been written elsewhere before."""
+    for path in _made[since:]:
+        drop_path(spark, path)
+    del _made[since:]
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch folders made inside are dropped at the end; for jobs whose
+    results are written tables."""
+    since = len(_made)
+    try:
+        yield
+    finally:
+        free_scratch(spark, since)
 
 
 def materialize(df, name: str):

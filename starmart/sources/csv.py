@@ -8,31 +8,38 @@ the job runs. Here:
 * files are listed by the file source itself (``binaryFile`` with only the
   ``path`` column selected: nothing is read), so the listing works on any
   Hadoop file system and an empty match is a clear error;
-* header lines are probed (every file, or for large sets one file per
-  folder); files with the same header form a group, and each group is read
-  by ONE scan with a fixed schema in that header's column order. Groups are
-  few (one per schema version), so the plan stays small however many files
-  there are;
+* header lines are found in one distributed text scan over all files, which
+  keeps the lines that name the schema's columns (in any order, under any
+  renamed header) with their file; how many files there are changes nothing.
+  Files with the same header form a group, and each group is read by ONE scan
+  with a fixed schema in that header's column order. Groups are few (one per
+  schema version), so the plan stays small however many files there are;
 * every group scan runs with ``enforceSchema=false``: Spark checks each
   file's header against the group's column names while reading, so a file
-  whose header differs from what was probed fails the load instead of
+  whose first line is not the header found for it fails the load instead of
   landing its columns under the wrong names;
 * the groups are combined by name after the rename map, never by position.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart import schemas
 
 
+PROVENANCE = "_source_file"
+PROVENANCE_TYPE = T.StructType([T.StructField("at", T.TimestampType()), T.StructField("path", T.StringType())])
+
+
 class NoSnapshotFiles(ValueError):
     """The pattern matched no file."""
 
@@ -57,19 +64,30 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 def discover_files(spark: SparkSession, directory: str, pattern: str,
                    recursive: bool = False) -> list[str]:
-    """Paths under ``directory`` whose file name matches the glob ``pattern``."""
+    """Paths of files in ``directory`` (``recursive``: at any depth) whose name
+    matches the glob ``pattern``. Sub-folders are ignored unless ``recursive``."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
+    # recursiveFileLookup also turns partition discovery off, so folders named
+    # like partitions (TimeID=5) are nothing special
+    reader = reader.option("recursiveFileLookup", "true")
+    where = directory if recursive else f"{directory.rstrip('/')}/{pattern}"
     try:
-        paths = [r.path for r in reader.load(directory).select("path").collect()]
-    except AnalysisException as e:  # missing folder
+        paths = [r.path for r in reader.load(where).select("path").collect()]
+    except AnalysisException as e:  # missing folder, or no file matches
         raise NoSnapshotFiles(f"no files matching {pattern!r} in {directory!r}: {e}") from None
+    if not recursive:  # a folder may match the pattern too; its files do not count
+        depth = len(_plain(directory).rstrip("/").split("/")) + 1
+        paths = [p for p in paths if len(_plain(p).split("/")) == depth]
     if not paths:
         raise NoSnapshotFiles(f"no files matching {pattern!r} in {directory!r}")
     return sorted(paths)
 
 
+def _plain(path: str) -> str:
+    """One spelling of a path: ``file:/x``, ``file:///x`` and ``/x`` are the same."""
+    return re.sub(r"^file:/+", "/", path)
+
+
 def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names from one file's first line (reads one line)."""
     return tuple(spark.read.option("header", True).csv(path).columns)
@@ -79,8 +97,6 @@ def canonical_names(header: tuple[str, ...], renames: dict[str, str]) -> list[st
     return [renames.get(c, c) for c in header]
 
 
-PROBE_ALL_UP_TO = 256  # files; above this one file per folder is probed
-
 # Compressions whose files Spark cannot split (one task per file).
 UNSPLITTABLE = (".gz", ".deflate", ".zst", ".lz4", ".snappy", ".zip")
 
@@ -93,37 +109,67 @@ def _folder(path: str) -> str:
     return path.rsplit("/", 1)[0]
 
 
-def probe_headers(spark: SparkSession, paths: list[str], probe: str = "auto") -> dict[str, tuple[str, ...]]:
-    """Header of each path. ``probe='all'`` reads every file's first line;
-    ``'per_folder'`` reads one file per folder and assumes the rest of the
-    folder shares it (the group scan then verifies that, file by file);
-    ``'auto'`` is 'all' up to ``PROBE_ALL_UP_TO`` files."""
-    if probe == "auto":
-        probe = "all" if len(paths) <= PROBE_ALL_UP_TO else "per_folder"
-    if probe == "all":
-        targets = list(paths)
-    elif probe == "per_folder":
-        first: dict[str, str] = {}
-        for p in paths:
-            first.setdefault(_folder(p), p)
-        targets = list(first.values())
-    else:
-        raise ValueError(f"probe must be 'auto', 'all' or 'per_folder', not {probe!r}")
-    with ThreadPoolExecutor(max_workers=min(16, len(targets))) as pool:
-        found = dict(zip(targets, pool.map(lambda p: read_header(spark, p), targets)))
-    if probe == "all":
-        return found
-    by_folder = {_folder(p): h for p, h in found.items()}
-    return {p: by_folder[_folder(p)] for p in paths}
+def find_headers(spark: SparkSession, paths: list[str], schema: T.StructType,
+                 renames: dict[str, str]) -> dict[str, tuple[str, ...]]:
+    """Header of each path, from one text scan over all of them.
+
+    A header is a line that names exactly the schema's columns, after the
+    renames and in any order; no row of data does. One small row per file
+    reaches the driver (the list of paths is there already). A file without
+    such a line fails the load."""
+    spelled = F.create_map(*[F.lit(x) for pair in renames.items() for x in pair]) if renames else None
+
+    def canonical(c):
+        bare = F.btrim(c, F.lit(' "\ufeff\r'))
+        return F.coalesce(spelled[bare], bare) if spelled is not None else bare
+
+    names = F.transform(F.split("value", ","), canonical)
+    # a name that no rename touches stands in every header as it is: a cheap
+    # test that spares the data lines the split
+    fixed = next((n for n in schema.fieldNames() if n not in renames.values()), None)
+    lines = spark.read.text(paths)
+    if fixed is not None:
+        lines = lines.where(F.col("value").contains(fixed))
+    wanted = F.array(*[F.lit(n) for n in sorted(schema.fieldNames())])
+    rows = (lines.where(F.sort_array(names) == wanted)
+            .select(F.col("_metadata.file_path").alias("path"), "value").distinct().collect())
+    found: dict[str, set[str]] = defaultdict(set)
+    for r in rows:
+        found[_plain(unquote(r.path))].add(r.value.lstrip("\ufeff").rstrip("\r"))
+    bad = [p for p in paths if len(found[_plain(p)]) != 1]
+    if bad:
+        seen = {p: read_header(spark, p) for p in bad[:3]}  # for the message only
+        raise ValueError(f"{len(bad)} files have no header (or two) of the schema "
+                         f"{schema.fieldNames()}, e.g. {seen}")
+    return {p: tuple(n.strip(' "') for n in next(iter(found[_plain(p)])).split(",")) for p in paths}
+
+
+def probe_headers(spark: SparkSession, paths: list[str], schema: T.StructType,
+                  renames: dict[str, str], probe: str = "scan") -> dict[str, tuple[str, ...]]:
+    """Header of each path. ``probe='scan'`` finds every file's own;
+    ``'per_folder'``, for folders known to hold one schema version each, looks
+    at one file per folder (the group scan then checks each file's header)."""
+    if probe == "scan":
+        return find_headers(spark, paths, schema, renames)
+    if probe != "per_folder":
+        raise ValueError(f"probe must be 'scan' or 'per_folder', not {probe!r}")
+    first: dict[str, str] = {}
+    for p in paths:
+        first.setdefault(_folder(p), p)
+    of_first = find_headers(spark, list(first.values()), schema, renames)
+    return {p: of_first[first[_folder(p)]] for p in paths}
 
 
 def load_snapshots(spark: SparkSession, paths: list[str],
                    schema: T.StructType = schemas.PAYROLL_SCHEMA,
                    renames: dict[str, str] | None = None,
                    infer: bool = False, mode: str = "FAILFAST",
-                   probe: str = "auto") -> DataFrame:
+                   probe: str = "scan", provenance: bool = False) -> DataFrame:
     """All snapshot files as one frame with ``schema``'s column names and order.
 
+    ``provenance`` adds the column ``PROVENANCE``: the file's modification time
+    and path, by which a later file wins over an earlier one.
+
     Pay that does not fit DECIMAL(10,2), or a non-number in a numeric field,
     fails the load (``mode='FAILFAST'``) rather than turning into a null that
     the fill step would make 0. Empty fields are nulls, not errors.
@@ -135,7 +181,7 @@ def load_snapshots(spark: SparkSession, paths: list[str],
     renames = schemas.RENAMES if renames is None else renames
     if not paths:
         raise NoSnapshotFiles("no snapshot files given")
-    headers = probe_headers(spark, paths, probe)
+    headers = probe_headers(spark, paths, schema, renames, probe)
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for p in paths:
         groups[headers[p]].append(p)
@@ -144,11 +190,6 @@ def load_snapshots(spark: SparkSession, paths: list[str],
     frames = []
     for header, files in sorted(groups.items()):
         names = canonical_names(header, renames)
-        unknown = [n for n in names if n not in by_name]
-        missing = [n for n in by_name if n not in names]
-        if unknown or missing:
-            raise ValueError(f"header {header} does not fit the schema: "
-                             f"unknown {unknown}, missing {missing}")
         if infer:
             df = read_csv(spark, files, infer=True, mode=mode, check_header=True)
         else:
@@ -156,7 +197,12 @@ def load_snapshots(spark: SparkSession, paths: list[str],
             file_schema = T.StructType([T.StructField(h, by_name[n].dataType)
                                         for h, n in zip(header, names)])
             df = read_csv(spark, files, schema=file_schema, mode=mode, check_header=True)
-        df = df.toDF(*names).select(*schema.fieldNames())
+        extra = []
+        if provenance:
+            df = df.withColumn(PROVENANCE, F.struct(
+                F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("path")))
+            extra = [PROVENANCE]
+        df = df.toDF(*names, *extra).select(*schema.fieldNames(), *extra)
         if any(unsplittable(f) for f in files):
             # such a file is decompressed by one task; spread its rows before
             # any further work so that one big file does not make one long task
@@ -165,6 +211,18 @@ def load_snapshots(spark: SparkSession, paths: list[str],
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def load_master(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A master (a CSV file, or a folder of them) by column name: columns in
+    any order, headers checked, a value that does not fit fails the load."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        paths = sorted(r.path for r in reader.load(path).select("path").collect()
+                       if ".csv" in r.path.rsplit("/", 1)[1])
+    except AnalysisException as e:
+        raise NoSnapshotFiles(f"no master at {path!r}: {e}") from None
+    return load_snapshots(spark, paths, schema, renames={})
+
+
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 fmt: str = "parquet", rebalance: bool = False) -> str:
     """Hand-off table between stages; overwritten as a whole.

@@ -4,7 +4,7 @@ The reference re-reads every snapshot file on each daily run. Here a file
 stream over the snapshot folder tracks, in its checkpoint, which files were
 already taken; each run (``trigger(availableNow=True)``: take what is new,
 then stop) hands only the new files to ``foreachBatch``. The batch function
-reuses the drift-safe loader (header probe, by-name union), so a renamed
+reuses the drift-safe loader (headers of all files in one scan, by-name union), so a renamed
 column in a new file is handled exactly as in batch.
 
 Exactly once: a micro-batch writes to its own ``batch_id=<n>`` folder with
@@ -17,11 +17,12 @@ file is still removed by the same rule as in batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starmart import schemas as S
 from starmart.plans.star import dedup_snapshots
-from starmart.sources.csv import load_snapshots
+from starmart.sources.csv import PROVENANCE, PROVENANCE_TYPE, load_snapshots
 
 
 # the binaryFile source's fixed schema (a stream needs it up front)
@@ -29,20 +30,19 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 
 
 def new_files_stream(spark: SparkSession, directory: str, pattern: str,
-                     recursive: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
+                     recursive: bool = False, max_files_per_trigger: int = 1000) -> DataFrame:
     """Stream of paths of files that appear under ``directory`` (content not read)."""
+    # recursiveFileLookup: no partition discovery, so sub-folders that are
+    # named like partitions do no harm
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", pattern))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(directory).select("path")
+              .option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", max_files_per_trigger))
+    return reader.load(directory if recursive else f"{directory.rstrip('/')}/{pattern}").select("path")
 
 
 def ingest(spark: SparkSession, directory: str, bronze: str, checkpoint: str,
            pattern: str = "*payroll_*.csv", recursive: bool = False,
-           max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+           max_files_per_trigger: int = 1000) -> StreamingQuery:
     """Append the rows of files not seen before to the bronze table; returns
     the (finished) query. The list of new paths per batch is bounded by
     ``max_files_per_trigger``; the rows themselves never pass the driver."""
@@ -51,7 +51,7 @@ def ingest(spark: SparkSession, directory: str, bronze: str, checkpoint: str,
         new = sorted(r.path for r in paths.collect())
         if not new:
             return
-        rows = load_snapshots(spark, new)
+        rows = load_snapshots(spark, new, provenance=True)
         rows.write.mode("overwrite").parquet(f"{bronze.rstrip('/')}/batch_id={batch_id}")
 
     q = (new_files_stream(spark, directory, pattern, recursive, max_files_per_trigger)
@@ -65,5 +65,6 @@ def ingest(spark: SparkSession, directory: str, bronze: str, checkpoint: str,
 
 def read_bronze(spark: SparkSession, bronze: str, dedup: bool = True) -> DataFrame:
     """All ingested rows (without the batch column); deduplicated by default."""
-    rows = spark.read.schema(S.PAYROLL_SCHEMA).parquet(bronze).select(*S.PAYROLL_COLUMNS)
-    return dedup_snapshots(rows) if dedup else rows
+    schema = T.StructType([*S.PAYROLL_SCHEMA.fields, T.StructField(PROVENANCE, PROVENANCE_TYPE)])
+    rows = spark.read.schema(schema).parquet(bronze)
+    return dedup_snapshots(rows) if dedup else rows.select(*S.PAYROLL_COLUMNS)
