@@ -66,5 +66,5 @@ def ingest(spark: SparkSession, directory: str, bronze: str, checkpoint: str,
 def read_bronze(spark: SparkSession, bronze: str, dedup: bool = True) -> DataFrame:
     """All ingested rows (without the batch column); deduplicated by default."""
     schema = T.StructType([*S.PAYROLL_SCHEMA.fields, T.StructField(PROVENANCE, PROVENANCE_TYPE)])
-    rows = spark.read.schema(schema).parquet(bronze)
+    rows = spark.read.schema(schema).parquet(bronze).select(*schema.fieldNames())  # not the batch
     return dedup_snapshots(rows) if dedup else rows.select(*S.PAYROLL_COLUMNS)
