@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -283,7 +284,7 @@ def _model(path: str) -> PieceModel:
 
 
 def encode_pieces(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0, streams: int = 8,
-                  id_col: str = "doc_id", text_col: str = "text", block_chars: int = 1 << 20) -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 1 << 20) -> DataFrame:
     """One row per input row: ``id_col`` and ``pieces`` (array of ids).
 
     Same id, text, seed and dropout, same pieces; dropout 0 gives the model's
@@ -300,18 +301,19 @@ def encode_pieces(docs: DataFrame, model_path: str, dropout: float = 0.1, seed:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(_model(model_path), dropout, seed, streams)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            text, ids = batch.column("text"), batch.column("id")
             keys = batch.column("doc_key").to_numpy().astype(np.uint64)
+            size = pc.binary_length(text).to_pylist()
             start = 0
-            while start < len(texts):
-                end, held = start, 0
-                while end < len(texts) and (end == start or held + len(texts[end]) <= block_chars):
-                    held += len(texts[end])
+            while start < len(size):  # a block of texts at a time, one at least
+                end, held = start + 1, size[start]
+                while end < len(size) and held + size[end] <= block_bytes:
+                    held += size[end]
                     end += 1
-                flat, count = encoder.encode(texts[start:end], keys[start:end])
+                flat, count = encoder.encode(text.slice(start, end - start).to_pylist(), keys[start:end])
                 offsets = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(start, end - start),
+                    [ids.slice(start, end - start),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))],
                     names=["id", "pieces"])
                 start = end
