@@ -110,7 +110,7 @@ def test_dropout_varies_by_seed_and_decodes(spark, model):
     total = {k: sum(len(p) for _, p in v) for k, v in runs.items()}
     assert total[0, 0.0] < total[0, 0.3] < total[0, 1.0]
     # the same under other batches and partitions
-    again = encode_pieces(docs.repartition(3), PIECES, 0.3, 0, block_chars=10)
+    again = encode_pieces(docs.repartition(3), PIECES, 0.3, 0, block_bytes=10)
     assert rows_of(again, "doc_id", "pieces") == runs[0, 0.3]
     assert encode_pieces(docs.limit(0), PIECES).count() == 0
 
