@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm.common import text_or_empty
-from starmart.llm.graph import components, small
+from starmart.llm.graph import compact, components, small
 from starmart.llm.hashing import mix, ngram_hashes, word_hashes
 from starmart.session import materialize
 
@@ -136,11 +136,11 @@ def _bounded(members: DataFrame, compared: DataFrame, similarity: float) -> Data
     that hub has. Members that can have no similar partner are left out: of
     their n-grams more are their own than the similarity allows."""
     asked = members.select(F.col("node").alias("a"), F.col("first_hub").alias("b")).distinct()
-    open_ = materialize(compared.join(asked, ["a", "b"], "left_semi"), "ngram-open-pairs")
+    open_ = compact(compared.join(asked, ["a", "b"], "left_semi"), "ngram-open-pairs")
     grams = open_.select(F.xxhash64("b").alias("hub"), F.xxhash64("a").alias("node"), F.explode("outside").alias("gram"))
     own = (grams.groupBy("hub", "gram").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
            .where("n = 1").groupBy("hub", "node").agg(F.count(F.lit(1)).alias("own")))
-    facts = materialize(
+    facts = compact(
         open_.select("a", "b", "size_a", "common", F.xxhash64("b").alias("hub"), F.xxhash64("a").alias("node"))
         .join(own, ["hub", "node"], "left")
         .select(F.col("a").alias("node"), F.col("b").alias("first_hub"), F.col("size_a").alias("size"), "common",
@@ -171,7 +171,7 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     to = small(joined).select(F.col("node").alias("root"), F.col("root").alias("to"))
     moved = roots.join(to, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
     new = joined.join(small(roots.select("node")), "node", "left_anti")
-    return materialize(moved.unionByName(new), "ngram-roots")
+    return compact(moved.unionByName(new), "ngram-roots")
 
 
 def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
@@ -188,36 +188,36 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id")))["id"].alias("id")))
     entries = materialize(nodes.select("node", F.explode("bands").alias("bucket")), "ngram-entries")
     # counted map-side; written, so that a hot bucket can be split in the join
-    shared = materialize(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "ngram-buckets")
-    members = materialize(entries.join(small(shared), "bucket"), "ngram-members")
+    shared = compact(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "ngram-buckets")
+    members = compact(entries.join(small(shared), "bucket"), "ngram-members")
     involved = members.select("node").distinct()
     first_ids = signed.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id")))["id"].alias("id"))
-    texts = materialize(_node_texts(source, materialize(first_ids.join(involved, "node", "left_semi"), "ngram-involved"), n), "ngram-texts")
+    texts = materialize(_node_texts(source, compact(first_ids.join(involved, "node", "left_semi"), "ngram-involved"), n), "ngram-texts")
 
     spark = docs.sparkSession
     # Round 0: every member of a bucket against the one that shares most with
     # others, which in a group of copies is the original or next to it.
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    first = materialize(
+    first = compact(
         members.join(weights, "node").groupBy("bucket")
         .agg(F.max_by("node", F.struct("weight", F.xxhash64("node"))).alias("first_hub")), "ngram-hubs")
-    members = materialize(members.select("node", "bucket").join(small(first), "bucket").where("node <> first_hub"),
+    members = compact(members.select("node", "bucket").join(small(first), "bucket").where("node <> first_hub"),
                           "ngram-members")
-    pairs = materialize(members.select(F.col("node").alias("a"), F.col("first_hub").alias("b")).distinct(), "ngram-pairs")
+    pairs = compact(members.select(F.col("node").alias("a"), F.col("first_hub").alias("b")).distinct(), "ngram-pairs")
     compared = materialize(_compared(pairs, texts, n, outside=True), "ngram-compared")
-    links = materialize(_links_of(compared, similarity), "ngram-links")
+    links = compact(_links_of(compared, similarity), "ngram-links")
     tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     roots = _merged(spark.createDataFrame([], "node binary, root binary"), links)
 
     # Rounds: what is left of buckets whose members lie in several components
     n_hubs, bounded = first_hubs, False
     while True:
-        sized = materialize(roots.join(small(materialize(
+        sized = compact(roots.join(small(compact(
             roots.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "ngram-sizes")), "root"), "ngram-sized")
         placed = (members.join(small(sized), "node", "left")
                   .withColumns({"root": F.coalesce("root", "node"), "n": F.coalesce("n", F.lit(1))}))
-        open_ = materialize(
+        open_ = compact(
             placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"),
                                          F.max(F.struct("n", "root"))["root"].alias("main"))
             .where("low <> high").select("bucket", "main"), "ngram-open")
@@ -225,20 +225,20 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
         members = placed.drop("n").join(small(open_), "bucket")
         if not bounded:
-            members, bounded = _bounded(materialize(members, "ngram-members"), compared, similarity), True
-        members = materialize(members, "ngram-members")
+            members, bounded = _bounded(compact(members, "ngram-members"), compared, similarity), True
+        members = compact(members, "ngram-members")
         # members outside the bucket's main component, twice as many each round
         turn = F.row_number().over(W.partitionBy("bucket").orderBy("root", "node"))
-        hubs = materialize(
+        hubs = compact(
             members.where("root <> main").withColumn("turn", turn).where(F.col("turn") <= n_hubs).select(
                 "bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root"),
                 *[F.col(c).alias(f"h_{c}") for c in ("size", "common", "own")]), "ngram-hubs")
         met = members.join(small(hubs), "bucket").where((F.col("root") != F.col("hub_root")) & _may_be_similar(similarity))
         pairs = (met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
                  .join(tested, ["a", "b"], "left_anti"))
-        pairs = materialize(pairs, "ngram-pairs")
+        pairs = compact(pairs, "ngram-pairs")
         tested = tested.unionByName(pairs)
-        found = materialize(_links_of(_compared(pairs, texts, n, outside=False), similarity), "ngram-links")
+        found = compact(_links_of(_compared(pairs, texts, n, outside=False), similarity), "ngram-links")
         links = links.unionByName(found)
         roots = _merged(roots, found)
         # a hub has met all of its bucket
@@ -265,9 +265,9 @@ def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .agg(F.count(F.lit(1)).alias("n"),
                   F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))).alias("low"))
              .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    nodes = materialize(nodes, "ngram-nodes")
+    nodes = compact(nodes, "ngram-nodes")
     classes = nodes.groupBy("root").agg(F.sum("n").alias("class_size"), F.min("low")["id"].alias("class_id"))
-    facts = materialize(nodes.select("node", "root").join(classes, "root").join(degree, "node", "left")
+    facts = compact(nodes.select("node", "root").join(classes, "root").join(degree, "node", "left")
                         .select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links")),
                         "ngram-classes")
     placed = signed.where("node IS NOT NULL").join(facts, "node").select(
