@@ -9,7 +9,9 @@ or is already connected to, everything it shared the bucket with: no link
 that banding brings up is lost, and a group of near copies costs one
 comparison per member. Members that the first hub leaves apart are compared
 with each other only where the n-grams they share with it, and those outside
-it that others have too, allow them to be similar.
+it that others have too, allow them to be similar. These links make the classes;
+how many links a node has is then counted over all pairs of its class, block by
+block.
 """
 
 from __future__ import annotations
@@ -174,12 +176,91 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return compact(moved.unionByName(new), "ngram-roots")
 
 
+def _degrees(roots: DataFrame, texts: DataFrame, n: int, similarity: float, block_nodes: int = 512,
+             block_bytes: int = 4 << 20) -> DataFrame:
+    """(node, n_links): the nodes of its component similar to each linked node.
+    Each block of a component's nodes meets each other one in one group of rows,
+    so no pair becomes a row."""
+    both = texts.join(small(roots), "node").select("root", "node", "text", F.octet_length("text").alias("bytes"))
+    blocks = F.ceil(F.greatest(F.col("nodes") / block_nodes, F.col("bytes") / block_bytes))
+    sizes = compact(both.groupBy("root").agg(F.count(F.lit(1)).alias("nodes"), F.sum("bytes").alias("bytes"))
+                    .select("root", blocks.alias("blocks")), "ngram-blocks")
+    placed = (both.drop("bytes").join(small(sizes), "root")
+              .withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                      "own", "node", "text"))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, held = None, []
+        for batch in batches:
+            out = []
+            for root, low, high, own, node, text in zip(*(batch[c] for c in ("root", "low", "high", "own", "node", "text"))):
+                if (root, low, high) != last:
+                    out += similar_counts(held, last, similarity)
+                    last, held = (root, low, high), []
+                held.append((own, node, ngram_set(text, n)))
+            yield pd.DataFrame(out, columns=["node", "n_links"])
+        yield pd.DataFrame(similar_counts(held, last, similarity), columns=["node", "n_links"])
+
+    return (placed.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high")
+            .mapInPandas(count, "node binary, n_links long").groupBy("node").agg(F.sum("n_links").alias("n_links")))
+
+
+def similar_counts(rows: list[tuple], blocks: tuple | None, similarity: float,
+                   width: int = 4096) -> list[tuple[bytes, int]]:
+    """(node, similar ones) of the rows (block, node, n-gram set) of two blocks,
+    ``blocks`` being (root, one, other): pairs across them, or within one."""
+    if not rows:
+        return []
+    within = blocks[1] == blocks[2]
+    a = [r for r in rows if r[0] == blocks[1]]
+    b = a if within else [r for r in rows if r[0] == blocks[2]]
+    if not a or not b:
+        return []
+
+    def flat(side: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = np.array([len(r[2]) for r in side])
+        return np.concatenate([r[2] for r in side]), np.repeat(np.arange(len(side)), size), size
+
+    grams_a, of_a, size_a = flat(a)
+    grams_b, of_b, size_b = flat(b)
+    both = np.intersect1d(grams_a, grams_b)
+    column_a, column_b = np.searchsorted(both, grams_a), np.searchsorted(both, grams_b)
+    keep_a = both[np.minimum(column_a, len(both) - 1)] == grams_a if len(both) else np.zeros(len(grams_a), bool)
+    keep_b = both[np.minimum(column_b, len(both) - 1)] == grams_b if len(both) else np.zeros(len(grams_b), bool)
+    column_a, of_a, column_b, of_b = column_a[keep_a], of_a[keep_a], column_b[keep_b], of_b[keep_b]
+    common = np.zeros((len(a), len(b)))
+    by_a, by_b = np.argsort(column_a, kind="stable"), np.argsort(column_b, kind="stable")
+    column_a, of_a, column_b, of_b = column_a[by_a], of_a[by_a], column_b[by_b], of_b[by_b]
+    for start in range(0, len(both), width):  # n-grams as columns, a slice at a time
+        parts = []
+        for column, of, m in ((column_a, of_a, len(a)), (column_b, of_b, len(b))):
+            low, high = np.searchsorted(column, (start, start + width))
+            part = np.zeros((m, min(width, len(both) - start)), np.float32)
+            part[of[low:high], column[low:high] - start] = 1
+            parts.append(part)
+        common += parts[0] @ parts[1].T  # exact: a slice's counts are small integers
+    similar = common / (size_a[:, None] + size_b[None, :] - common) >= similarity - 1e-12
+    if within:
+        np.fill_diagonal(similar, False)
+        return [(r[1], int(c)) for r, c in zip(a, similar.sum(axis=1))]
+    return [(r[1], int(c)) for r, c in (*zip(a, similar.sum(axis=1)), *zip(b, similar.sum(axis=0)))]
+
+
 def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                 similarity: float = 0.8, recall: float = 0.9999, max_hashes: int = 128, seed: int = 0,
                 first_hubs: int = 64) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, links, roots): rows with their node (id, node), verified links
-    between nodes (a, b, jaccard), and the component of every linked node
-    (node, root). Rows without words have no node."""
+    """(members, links, roots): rows with their node (id, node), the verified
+    links between nodes (a, b, jaccard) that connect the classes, and the
+    component of every linked node (node, root). Rows without words have no node."""
+    return _connected(docs, id_col, text_col, n, similarity, recall, max_hashes, seed, first_hubs)[:3]
+
+
+def _connected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
+               similarity: float = 0.8, recall: float = 0.9999, max_hashes: int = 128, seed: int = 0,
+               first_hubs: int = 64) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``ngram_links``, and (node, text) of the nodes that share a bucket."""
     bands, rows = choose_bands(similarity, recall, max_hashes)
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     signed = materialize(_signatures(source, n, bands, rows, seed), "ngram-signatures")
@@ -245,22 +326,21 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         members = members.drop("root", "main").join(
             small(hubs).select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
         n_hubs *= 2
-    return signed.select("id", "node"), links, roots
+    return signed.select("id", "node"), links, roots, texts
 
 
 def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per input row: ``id_col``, ``class_id`` (smallest id of its
-    class, null ids last), ``class_size`` (rows) and ``n_links`` (verified links
-    of its n-gram set to different ones).
+    class, null ids last), ``class_size`` (rows) and ``n_links`` (links of its
+    n-gram set to different ones: all pairs of its class are compared).
 
     A class is a connected component of links of ``similarity`` or more; rows
     with equal n-gram sets share all. A text of fewer than ``n`` words is one
     n-gram; null, empty and blank texts have none: each such row is a class of
-    its own. Links inside a component that is already connected are not sought.
+    its own.
     """
-    signed, links, roots = ngram_links(docs, id_col, text_col, **options)
-    degree = (links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-              .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
+    signed, _, roots, texts = _connected(docs, id_col, text_col, **options)
+    degree = compact(_degrees(roots, texts, options.get("n", 5), options.get("similarity", 0.8)), "ngram-degrees")
     nodes = (signed.where("node IS NOT NULL").groupBy("node")
              .agg(F.count(F.lit(1)).alias("n"),
                   F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))).alias("low"))
