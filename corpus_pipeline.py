@@ -9,6 +9,7 @@ stay or go together.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starmart.llm.common import documents, text_or_empty, word_count
@@ -72,8 +73,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training examples: piece ids under seeded merge dropout."""
-    return encode_pieces(docs, tokenizer_path("piece_bpe_32k.model")).withColumn("n_pieces", F.size("pieces"))
+    """Training examples: piece ids under seeded merge dropout, drawn anew for
+    each copy of a document."""
+    same = W.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    numbered = docs.select("doc_id", "text", F.row_number().over(same).alias("copy"))
+    return (encode_pieces(numbered, tokenizer_path("piece_bpe_32k.model"), copy_col="copy")
+            .withColumn("n_pieces", F.size("pieces")))
 
 
 STAGES = [("quality rules", quality), ("exact dedup", exact), ("n-gram Jaccard join", near),

@@ -6,7 +6,8 @@ is skipped when a hash of its place falls under the dropout, so a text gets
 another segmentation under another seed, and the same one on every run. Words
 are independent of each other in the agenda (no piece crosses from a word into
 the next one's space mark), so a batch advances the agendas of all its
-distinct words together, one pop each a round, in flat numpy arrays. Decoding
+distinct words together, one pop each a round, in flat numpy arrays; occurrences
+of a word for which a candidate is skipped run their own. Decoding
 gives back every text exactly.
 """
 
@@ -105,12 +106,12 @@ class PieceModel:
 
 
 class Encoder:
-    """Encodes with one seed and dropout. An occurrence of a word draws one of
-    ``streams`` keys by its document and place; word and key fix which
-    candidates are skipped."""
+    """Encodes with one seed and dropout. Each occurrence of a word has a key of
+    its document and place, which with the candidate's place fixes whether a
+    candidate is skipped."""
 
-    def __init__(self, model: PieceModel, dropout: float, seed: int, streams: int = 8):
-        self.model, self.seed, self.streams = model, seed, streams
+    def __init__(self, model: PieceModel, dropout: float, seed: int):
+        self.model, self.seed = model, seed
         self.under = min(M64, int(dropout * 2.0 ** 64)) if dropout > 0 else 0
 
     # keyed hash of a candidate: word key, and where its left part starts, its
@@ -121,25 +122,34 @@ class Encoder:
         place = (start.astype(np.uint64) * m + mid.astype(np.uint64)) * m + end.astype(np.uint64)
         return mix((place * m) ^ key) < np.uint64(self.under)
 
-    def _word_keys(self, code: np.ndarray, starts: np.ndarray, lengths: np.ndarray, stream: np.ndarray) -> np.ndarray:
+    def _word_sums(self, code: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         place = (np.arange(len(code)) - np.repeat(starts, lengths)).astype(np.uint64)
-        words = np.add.reduceat(mix(code * np.uint64(MULTIPLIER) + place), starts)
-        return mix(words ^ mix(stream.astype(np.uint64) + np.uint64((self.seed * MULTIPLIER + 1) & M64)))
+        return np.add.reduceat(mix(code * np.uint64(MULTIPLIER) + place), starts)
 
-    def encode_words(self, words: list[str], stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Piece ids of all words end to end, and the number of each word's."""
+    def _keys(self, sums: np.ndarray, stream: np.ndarray) -> np.ndarray:
+        return mix(sums ^ mix(stream.astype(np.uint64) + np.uint64((self.seed * MULTIPLIER + 1) & M64)))
+
+    def encode_words(self, words: list[str], stream: np.ndarray | None,
+                     log: list[tuple] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all words end to end, and the number of each word's.
+        Without ``stream`` no candidate is skipped, and ``log`` takes the popped
+        ones (word, and three places) and last the words' sums."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        keys = self._word_keys(code, starts, lengths, stream)
+        sums = self._word_sums(code, starts, lengths)
+        keys = None if stream is None else self._keys(sums, stream)
         symbols = self.model.symbol[code.astype(np.int64)]
         results: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # word, count, symbols of finished ones
         short = np.flatnonzero(lengths <= LONG)
         for w in np.flatnonzero(lengths > LONG):
-            done = self._heap(symbols[starts[w]:starts[w] + lengths[w]].tolist(), keys[w])
+            done = self._heap(symbols[starts[w]:starts[w] + lengths[w]].tolist(), None if keys is None else keys[w], w, log)
             results.append((np.array([w]), np.array([len(done)]), np.array(done, np.int64)))
         if len(short):
-            self._agendas(short, symbols[np.repeat(lengths <= LONG, lengths)], lengths[short], keys[short], results)
+            self._agendas(short, symbols[np.repeat(lengths <= LONG, lengths)], lengths[short],
+                          None if keys is None else keys[short], results, log)
+        if log is not None:
+            log.append(sums)
         word = np.concatenate([r[0] for r in results])
         count = np.concatenate([r[1] for r in results])
         flat = np.concatenate([r[2] for r in results])
@@ -149,7 +159,7 @@ class Encoder:
         count = count[order]
         return self._with_bytes(flat[_ranges(begin, count)], count)
 
-    def _agendas(self, rows, sym, lengths, keys, results) -> None:
+    def _agendas(self, rows, sym, lengths, keys, results, log) -> None:
         """Agendas of short words side by side. Per symbol: where it starts in
         its word, its word, and the candidate of it and its right neighbour."""
         size = lengths.astype(np.int32)  # characters of each word
@@ -168,7 +178,8 @@ class Encoder:
                 ended = ~keep
                 results.append((rows[~live], lengths[~live], sym[ended].astype(np.int64)))
                 sym, at, rank, made = sym[keep], at[keep], rank[keep], made[keep]
-                rows, lengths, keys, size, best = (v[live] for v in (rows, lengths, keys, size, best))
+                rows, lengths, size, best = (v[live] for v in (rows, lengths, size, best))
+                keys = None if keys is None else keys[live]
                 if not len(rows):
                     return
                 starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
@@ -176,8 +187,11 @@ class Encoder:
             k = np.flatnonzero(rank == best[word])
             owner = word[k]
             k = k[np.concatenate(([True], owner[1:] != owner[:-1]))]  # each word's leftmost best candidate
-            if self.under:
+            if self.under and (keys is not None or log is not None):
                 end = np.where(k + 2 < starts + lengths, at[np.minimum(k + 2, len(at) - 1)], size)
+            if keys is None and log is not None:
+                log.append((rows, at[k], at[k + 1], end))
+            if self.under and keys is not None:
                 skip = self._skips(keys, at[k], at[k + 1], end)
                 rank[k[skip]] = NO_RANK
                 k = k[~skip]
@@ -199,8 +213,9 @@ class Encoder:
             rank[k], made[k] = self.model.look_up(sym[k], sym[np.minimum(k + 1, len(sym) - 1)])
             rank[starts + lengths - 1] = NO_RANK
 
-    def _heap(self, sym: list[int], key: np.uint64) -> list[int]:
+    def _heap(self, sym: list[int], key: np.uint64 | None, word: int, log: list[tuple] | None) -> list[int]:
         """The agenda of one word, for long ones: n log n in its characters."""
+        popped = []
         n, pairs = len(sym), self.model.pairs
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
@@ -213,12 +228,14 @@ class Encoder:
 
         for i in range(n):
             offer(i)
-        one = np.array([key], np.uint64)
+        one = None if key is None else np.array([key], np.uint64)
         while agenda:
             _, i, j, a, b, new = heapq.heappop(agenda)
             if sym[i] != a or after[i] != j or sym[j] != b:
                 continue  # a part was merged since
-            if self.under and self._skips(one, np.array([i]), np.array([j]), np.array([after[j]]))[0]:
+            if log is not None:
+                popped.append((i, j, after[j]))
+            if self.under and one is not None and self._skips(one, np.array([i]), np.array([j]), np.array([after[j]]))[0]:
                 continue
             sym[i], sym[j] = new, -1
             after[i] = after[j]
@@ -227,6 +244,8 @@ class Encoder:
             offer(i)
             if before[i] >= 0:
                 offer(before[i])
+        if popped:
+            log.append((np.full(len(popped), word), *np.array(popped).T))
         return [s for s in sym if s >= 0]
 
     def _with_bytes(self, sym: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -247,21 +266,52 @@ class Encoder:
         """Piece ids of all texts end to end, and the number of each text's."""
         place = _Places()
         items: list[np.ndarray] = []
+        turns: list[np.ndarray] = []
         for text, doc in zip(texts, doc_keys):
             # no space mark is put before an empty text
             marked = MARK + text.replace(MARK, HELD).replace(" ", MARK) if text else ""
             words = self.model.cut.findall(marked)
-            turn = mix(np.arange(len(words), dtype=np.uint64) * np.uint64(MULTIPLIER) + doc) % np.uint64(self.streams)
-            items.append(np.fromiter(map(place.__getitem__, zip(words, turn.tolist())), np.int64, len(words)))
+            items.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
+            turns.append(mix(np.arange(len(words), dtype=np.uint64) * np.uint64(MULTIPLIER) + doc))
         if not place:
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
-        words = [w for w, _ in place]
-        flat, count = self.encode_words(words, np.fromiter((s for _, s in place), np.int64, len(place)))
-        begin = np.concatenate(([0], np.cumsum(count)[:-1]))
+        words, log = list(place), [] if self.under else None
+        flat, count = self.encode_words(words, None, log)
         wanted = np.concatenate(items)
-        per_text = np.array([count[i].sum() for i in items], np.int64)
+        if self.under and len(own := self._varied(wanted, np.concatenate(turns), log)):
+            # occurrences with a skipped candidate, some at a time
+            for start in range(0, len(own), 1 << 16):
+                part = own[start:start + (1 << 16)]
+                more, sizes = self.encode_words([words[w] for w in wanted[part]], np.concatenate(turns)[part])
+                wanted[part] = len(count) + np.arange(len(part))
+                flat, count = np.concatenate((flat, more)), np.concatenate((count, sizes))
+        begin = np.concatenate(([0], np.cumsum(count)[:-1]))
+        ends = np.cumsum([0, *map(len, items)])
+        per_text = np.diff(np.concatenate(([0], np.cumsum(count[wanted])))[ends])
         return flat[_ranges(begin[wanted], count[wanted])], per_text
 
+    def _varied(self, wanted: np.ndarray, turns: np.ndarray, log: list) -> np.ndarray:
+        """Occurrences (of the words ``wanted``) for which some candidate that
+        their word pops without dropout is skipped."""
+        sums, popped = log[-1], log[:-1]
+        if not popped:
+            return np.zeros(0, np.int64)
+        word, start, mid, end = (np.concatenate([p[i] for p in popped]) for i in range(4))
+        order = np.argsort(word, kind="stable")
+        start, mid, end = start[order], mid[order], end[order]
+        many = np.bincount(word, minlength=len(sums))
+        first = np.concatenate(([0], np.cumsum(many)[:-1]))
+        keys, total, out = self._keys(sums[wanted], turns), np.cumsum(many[wanted]), []
+        at = 0
+        while at < len(wanted):  # about a million candidates at a time
+            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), "right")))
+            w = wanted[at:stop]
+            which = _ranges(first[w], many[w])
+            owner = np.repeat(np.arange(at, stop), many[w])
+            out.append(np.unique(owner[self._skips(keys[owner], start[which], mid[which], end[which])]))
+            at = stop
+        return np.concatenate(out)
+
 
 class _Places(dict):
     """Numbers keys in the order they are first asked for."""
@@ -283,23 +333,25 @@ def _model(path: str) -> PieceModel:
     return PieceModel(path)  # once per Python worker
 
 
-def encode_pieces(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0, streams: int = 8,
-                  id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 1 << 20) -> DataFrame:
+def encode_pieces(docs: DataFrame, model_path: str, dropout: float = 0.1, seed: int = 0,
+                  id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 1 << 20,
+                  copy_col: str | None = None) -> DataFrame:
     """One row per input row: ``id_col`` and ``pieces`` (array of ids).
 
-    Same id, text, seed and dropout, same pieces; dropout 0 gives the model's
+    Same id, text, seed and dropout, same pieces, unless ``copy_col`` numbers a
+    document's copies; dropout 0 gives the model's
     own segmentation, 1 single characters. Null and empty texts have no pieces.
     Characters without a piece go as UTF-8 bytes, and so does a space mark that
     stands in the text itself, so any text decodes to itself. ``model_path`` is
     read on every executor.
     """
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"),
-                         F.xxhash64(id_col).alias("doc_key"))
+                         F.xxhash64(*[c for c in (id_col, copy_col) if c is not None]).alias("doc_key"))
     schema = T.StructType([T.StructField("id", source.schema["id"].dataType),
                            T.StructField("pieces", T.ArrayType(T.IntegerType()))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(_model(model_path), dropout, seed, streams)
+        encoder = Encoder(_model(model_path), dropout, seed)
         for batch in batches:
             text, ids = batch.column("text"), batch.column("id")
             keys = batch.column("doc_key").to_numpy().astype(np.uint64)
