@@ -123,5 +123,57 @@ FROM line LEFT JOIN repeated USING (key)
 GROUP BY row_id, line.doc_id
 """
 
+_BYTES = "octet_length(encode(coalesce(html, '')))"
+
+OP11 = f"""
+WITH p AS (
+  SELECT page_id, {_BYTES}::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+    row_number() OVER (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST) AS place,
+    first_value(page_id) OVER (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST) AS first_id
+  FROM pages)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN place > 1 AND payload_bytes >= 100 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN place > 1 AND payload_bytes >= 100 THEN first_id END AS refers_to
+FROM p
+"""
+
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws
+  FROM documents),
+l AS (
+  SELECT doc_id AS label_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic
+  FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(ws) < 100)::INT + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT
+    + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY sha256(text)), false)::INT AS mask
+  FROM d LEFT JOIN l ON d.doc_id = l.label_id),
+h AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a JOIN f b ON b.letter <> a.letter JOIN f c ON c.letter NOT IN (a.letter, b.letter)
+    JOIN f d ON d.letter NOT IN (a.letter, b.letter, c.letter)
+    JOIN f e ON e.letter NOT IN (a.letter, b.letter, c.letter, d.letter)),
+s AS (
+  SELECT filter_order, step::INT AS step, bits[step] AS bit,
+    coalesce(list_sum(bits[1:step - 1]), 0)::INT AS earlier
+  FROM o, unnest([1, 2, 3, 4, 5]) AS t(step)),
+r AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER ((mask & (earlier + bit)) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER ((mask & bit) > 0 AND (mask & earlier) = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER ((mask & bit) > 0 AND (mask & earlier) > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER ((mask & bit) > 0 AND (mask & earlier) = 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER ((mask & bit) > 0 AND (mask & earlier) = 0), 0)::BIGINT AS toxic_lost
+  FROM h, s GROUP BY part, filter_order, step, bit)
+SELECT * EXCLUDE (bit), (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r
+"""
+
 ORACLE_SQL = {"op2_mix_sources": OP2, "op3_exact_dedup": OP3, "op6_quality_rules": OP6,
-              "op8_line_dedup": OP8}
+              "op8_line_dedup": OP8, "op11_warc": OP11, "op12_filter_audit": OP12}

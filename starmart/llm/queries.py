@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from starmart.llm.common import documents
 from starmart.llm.exact_dedup import exact_dedup
+from starmart.llm.filter_audit import audit_filters
 from starmart.llm.line_dedup import line_dedup
 from starmart.llm.mix import mix_sources
 from starmart.llm.ngram_join import ngram_classes
 from starmart.llm.pieces import decode_pieces, encode_pieces
 from starmart.llm.quality import quality_rules
 from starmart.llm.shards import assign_shards
+from starmart.llm.spelling import spelling_variants
 from starmart.llm.substring_dedup import repeated_passages
 from starmart.llm.tokens import count_tokens
 from starmart.llm.toxicity import score_toxicity
@@ -69,6 +71,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir), slip_every=199)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_mix_sources, op3_exact_dedup, op4_token_counts, op5_shards, op6_quality_rules,
-    op7_pieces, op8_line_dedup, op9_repeated_passages, op10_toxicity)}
+    op7_pieces, op8_line_dedup, op9_repeated_passages, op10_toxicity, op12_filter_audit, op13_spelling_variants)}
