@@ -18,6 +18,7 @@ from starmart.llm.spelling import spelling_variants
 from starmart.llm.substring_dedup import repeated_passages
 from starmart.llm.tokens import count_tokens
 from starmart.llm.toxicity import score_toxicity
+from starmart.llm.warc import archive_pages
 
 
 def tokenizer_path(name: str) -> str:
@@ -71,6 +72,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -81,4 +86,5 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_mix_sources, op3_exact_dedup, op4_token_counts, op5_shards, op6_quality_rules,
-    op7_pieces, op8_line_dedup, op9_repeated_passages, op10_toxicity, op12_filter_audit, op13_spelling_variants)}
+    op7_pieces, op8_line_dedup, op9_repeated_passages, op10_toxicity, op11_warc,
+    op12_filter_audit, op13_spelling_variants)}
