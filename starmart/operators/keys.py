@@ -16,11 +16,14 @@ puts the partition number in the high bits, so it neither is dense nor fits a
   how the read is split into tasks. A hot value of the leading order column
   does not land in one task: the order key is unique, so range bounds split
   it across files.
+
+``extend_key_map`` keeps numbers between loads: what has a key keeps it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.operators.joins import checked_broadcast
@@ -67,3 +70,38 @@ def dense_key(df: DataFrame, order: list[str], name: str,
     keyed = tagged.join(checked_broadcast(file_offsets(counts)), "_file")
     return keyed.withColumn(name, (F.col("_off") + F.col("_row") + 1).cast("bigint")) \
         .drop("_file", "_row", "_off")
+
+
+# ---------------------------------------------------------------- keys kept between loads
+
+def key_map(spark: SparkSession, path: str) -> DataFrame | None:
+    """The natural keys with their numbers and ``load``, of all loads so far; None
+    before the first."""
+    try:
+        return spark.read.option("basePath", path).parquet(path)
+    except AnalysisException:
+        return None
+
+
+def extend_key_map(found: DataFrame, natural: list[str], path: str, load: int, name: str = "key") -> DataFrame:
+    """Number the natural keys of ``found`` that no load before ``load`` numbered:
+    dense numbers after the highest one so far, in the order of the keys. Returns
+    the whole map (``natural``, ``name``).
+
+    A number once given never changes. The map below ``path`` only grows, by one
+    folder a load; a load that is replayed replaces its own folder and gives the
+    same numbers. New keys are found by an anti join on the keys (null equals
+    null), which broadcasts neither side beyond its checked size. One load at a
+    time writes."""
+    spark = found.sparkSession
+    known = key_map(spark, path)
+    new = found.select(*natural).distinct()
+    highest = 0
+    if known is not None:
+        known = known.where(F.col("load") < load)
+        old = known.select(*[F.col(c).alias(f"_k_{c}") for c in natural])
+        new = new.join(old, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in natural], "left_anti")
+        highest = known.agg(F.max(name)).first()[0] or 0
+    numbered = dense_key(new, natural, name).withColumn(name, F.col(name) + F.lit(highest))
+    numbered.select(*natural, name).write.mode("overwrite").parquet(f"{path.rstrip('/')}/load={load}")
+    return key_map(spark, path).where(F.col("load") <= load).select(*natural, name)

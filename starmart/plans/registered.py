@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from starmart import schemas as S
 from starmart import testmap as tm
 from starmart.functions import clean
-from starmart.operators import dedup, joins, keys, quality
+from starmart.operators import dedup, history, joins, keys, quality
 from starmart.plans import jobs, marts
 from starmart.plans.star import (build_agency_dim, build_employee_dim, build_star, build_time_dim,
                                  build_title_dim, clean_payroll, dedup_snapshots, renamed)
 from starmart.session import materialize as materialize_table
 from starmart.session import scratch_path, scratch_scope
-from starmart.sinks import files, jdbc, warehouse
+from starmart.sinks import files, jdbc, versions, warehouse
 from starmart.sources import csv as src
 
 
@@ -85,14 +85,12 @@ def scan_csv_glob(spark, sf_dir):
     nation = tm.table(spark, sf_dir, "nation")
     files.write_csv(nation.repartition(5, "n_regionkey"), f"{root}/nation")
     files.write_csv(tm.table(spark, sf_dir, "region"), f"{root}/decoy", compression="gzip")
-    paths = src.discover_files(spark, root, "*.csv", recursive=True)
-    return src.read_csv(spark, paths, schema=nation.schema)
+    return src.read_csv_folder(spark, root, "*.csv", nation.schema, recursive=True)
 
 
 def load_snapshots(spark, sf_dir):
     root = write_snapshot_files(spark, tm.snapshot(spark, sf_dir), scratch_path(spark, "snapshots"))
-    paths = src.discover_files(spark, root, "*.csv", recursive=True)
-    return dedup_snapshots(src.load_snapshots(spark, paths, provenance=True))
+    return dedup_snapshots(src.load_folder(spark, root, "*.csv", recursive=True, provenance=True))
 
 
 def incremental_ingest(spark, sf_dir):
@@ -328,13 +326,48 @@ def write_masters(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]
             "title": files.write_csv(tm.title_master(spark, sf_dir), f"{root}/title")}
 
 
+def dim_employee_history(spark, sf_dir):
+    """Versions of each employee: intervals of years with the same attributes."""
+    return employee_history(dim_input(spark, sf_dir, [*S.EMPLOYEE_COLS, "FiscalYear"]))
+
+
+def employee_history(pay: DataFrame) -> DataFrame:
+    attributes = [c for c in S.EMPLOYEE_COLS if c != "EmployeeID"]
+    return history.validity_intervals(pay, ["EmployeeID"], "FiscalYear", attributes)
+
+
+def fact_employee_version(spark, sf_dir):
+    """Every payroll row with the employee's version valid in its year."""
+    columns = [*S.EMPLOYEE_COLS, "FiscalYear", "PayrollNumber", "RegularGrossPaid"]
+    pay = payroll(spark, sf_dir, columns, materialize=True)
+    facts = pay.select("EmployeeID", "FiscalYear", "PayrollNumber", "RegularGrossPaid")
+    return history.as_of_join(facts, employee_history(pay), ["EmployeeID"], "FiscalYear",
+                              ["version", "valid_from", "WorkLocationBorough", "LeaveStatusasofJune30"])
+
+
+def employee_history_changes(spark, sf_dir):
+    """How often each attribute of an employee changes."""
+    pay = payroll(spark, sf_dir, [*S.EMPLOYEE_COLS, "FiscalYear"])
+    attributes = [c for c in S.EMPLOYEE_COLS if c != "EmployeeID"]
+    return history.history_changes(spark, employee_history(pay), ["EmployeeID"], attributes)
+
+
+def surrogate_key_stable(spark, sf_dir):
+    """Employee keys over two loads: the years to 1994, then all years. Employees
+    of the first load keep their keys, new ones get numbers after them."""
+    path = scratch_path(spark, "employee_keys")
+    employees = materialize_table(tm.snapshot(spark, sf_dir, ["EmployeeID", "FiscalYear"]), "employee-years")
+    keys.extend_key_map(employees.where("FiscalYear <= 1994"), ["EmployeeID"], path, 0, "EmployeeKey")
+    return keys.extend_key_map(employees, ["EmployeeID"], path, 1, "EmployeeKey")
+
+
 def star_schema_end_to_end(spark, sf_dir):
     """Raw text with defects -> CSV files with drifted headers -> discover ->
     load -> dedup -> parse/fill -> enrich with the masters -> star -> fact joined
     to all four dimensions and summed per agency, year, title and borough."""
     raw = tm.with_defects(tm.snapshot(spark, sf_dir))
     root = write_snapshot_files(spark, raw, scratch_path(spark, "raw_snapshots"))
-    merged = src.load_snapshots(spark, src.discover_files(spark, root, "*.csv", recursive=True), provenance=True)
+    merged = src.load_folder(spark, root, "*.csv", recursive=True, provenance=True)
     paths = write_masters(spark, sf_dir, scratch_path(spark, "masters"))
     masters = [src.load_master(spark, paths[n], schema) for n, schema in
                (("emp", S.EMP_MASTER_SCHEMA), ("agency", S.AGENCY_MASTER_SCHEMA), ("title", S.TITLE_MASTER_SCHEMA))]
@@ -392,7 +425,7 @@ def warehouse_tables(spark, sf_dir):
     db, root = _db(), scratch_path(spark, "wh")
     with scratch_scope(spark):
         s = star(spark, sf_dir)
-        warehouse.publish(spark, warehouse.to_warehouse(s.tables()), db, root)
+        versions.publish_version(spark, warehouse.to_warehouse(s.tables()), root, db)
     counts = warehouse.table_counts(spark, db, S.LOAD_ORDER)
     rows, schema = counts.collect(), counts.schema
     warehouse.drop_warehouse(spark, db, root)
@@ -427,8 +460,8 @@ def check_max_length(spark, sf_dir):
 def full_refresh_twice(spark, sf_dir):
     db, root = _db(), scratch_path(spark, "refresh")
     nation = tm.table(spark, sf_dir, "nation")
-    warehouse.publish(spark, {"nation": nation}, db, root, check=False)
-    warehouse.publish(spark, {"nation": nation}, db, root, check=False)
+    versions.publish_version(spark, {"nation": nation}, root, db, check=False)
+    versions.publish_version(spark, {"nation": nation}, root, db, check=False, keep_for=0)
     out = materialize_table(spark.table(f"`{db}`.`nation`"), "refreshed")
     warehouse.drop_warehouse(spark, db, root)
     return out
@@ -555,6 +588,10 @@ QUERIES = {
     "dim_time": dim_time,
     "fact_payroll": fact_payroll,
     "fact_payroll_natural": fact_payroll_natural,
+    "dim_employee_history": dim_employee_history,
+    "fact_employee_version": fact_employee_version,
+    "employee_history_changes": employee_history_changes,
+    "surrogate_key_stable": surrogate_key_stable,
     "star_schema_end_to_end": star_schema_end_to_end,
     "sink_parquet": sink_parquet,
     "sink_csv": sink_csv,

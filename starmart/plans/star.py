@@ -31,19 +31,23 @@ from starmart.sources.csv import PROVENANCE
 BUSINESS_KEY = ["EmployeeID", "FiscalYear"]
 
 
-def dedup_snapshots(df: DataFrame, total_order: bool = False) -> DataFrame:
+def dedup_snapshots(df: DataFrame, total_order: bool = False, keep_provenance: bool = False) -> DataFrame:
     """At most one payroll row per (EmployeeID, FiscalYear): the lowest
     PayrollNumber (a null one loses). The number names an agency's payroll and
     repeats within it, so ties are usual: where the rows carry their file
     (``load_snapshots(provenance=True)``), the newest file wins a tie, then the
     first path; only rows of one file fall to their other columns.
 
-    ``total_order`` declares that PayrollNumber is unique within the key."""
+    ``total_order`` declares that PayrollNumber is unique within the key;
+    ``keep_provenance`` keeps the rows' file, for a later dedup with more rows."""
     if PROVENANCE not in df.columns:
         return dedup_by(df, BUSINESS_KEY, ["PayrollNumber"], keep="first", total_order=total_order)
     # what decides after the number, smallest first: newer files are smaller
     aged = df.withColumns({"_age": -F.unix_micros(f"{PROVENANCE}.at"), "_path": F.col(f"{PROVENANCE}.path")})
     one = dedup_by(aged.drop(PROVENANCE), BUSINESS_KEY, ["PayrollNumber", "_age", "_path"], keep="first")
+    if keep_provenance:
+        one = one.withColumn(PROVENANCE, F.struct(F.timestamp_micros(-F.col("_age")).alias("at"),
+                                                  F.col("_path").alias("path")))
     return one.drop("_age", "_path")
 
 

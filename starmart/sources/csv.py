@@ -5,45 +5,40 @@ file) and folds the frames with a positional ``union``, so a renamed column
 silently lands under the first file's name, and file order decides whether
 the job runs. Here:
 
-* files are listed by the file source itself (``binaryFile`` with only the
-  ``path`` column selected: nothing is read), so the listing works on any
-  Hadoop file system and an empty match is a clear error;
-* header lines are found in one distributed text scan over all files, which
-  keeps the lines that name the schema's columns (in any order, under any
-  renamed header) with their file; how many files there are changes nothing.
-  Files with the same header form a group, and each group is read by ONE scan
-  with a fixed schema in that header's column order. Groups are few (one per
-  schema version), so the plan stays small however many files there are;
-* every group scan runs with ``enforceSchema=false``: Spark checks each
-  file's header against the group's column names while reading, so a file
-  whose first line is not the header found for it fails the load instead of
-  landing its columns under the wrong names;
-* the groups are combined by name after the rename map, never by position.
+* files are listed by the file source itself (``binaryFile`` without its
+  content: nothing is read), so the listing works on any Hadoop file system;
+* the header of each file comes from its first block, read by tasks
+  (``sources/headers.py``); headers stay in a table, of which the driver sees
+  the distinct ones, one per schema version;
+* all files are then read by ONE text scan, whose lines are parsed with a fixed
+  schema in the column order of their file's header. Where all headers have one
+  order, whatever the names, no line needs to know its file;
+* a file whose header does not name the schema's columns fails the load before
+  any data is read;
+* columns are matched by name after the rename map, never by position.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Callable
 from functools import reduce
-from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart import schemas
-
+from starmart.operators.joins import checked_broadcast
+from starmart.session import materialize
+from starmart.sources.headers import (UNSPLITTABLE_PATTERN, NoSnapshotFiles, Version, first_lines, header_names,
+                                      list_files, unsplittable, versions_of)
 
 PROVENANCE = "_source_file"
 PROVENANCE_TYPE = T.StructType([T.StructField("at", T.TimestampType()), T.StructField("path", T.StringType())])
 
 
-class NoSnapshotFiles(ValueError):
-    """The pattern matched no file."""
-
-
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
              infer: bool = False, header: bool = True, mode: str = "PERMISSIVE",
              check_header: bool = False) -> DataFrame:
@@ -65,107 +60,163 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 def discover_files(spark: SparkSession, directory: str, pattern: str,
                    recursive: bool = False) -> list[str]:
     """Paths of files in ``directory`` (``recursive``: at any depth) whose name
-    matches the glob ``pattern``. Sub-folders are ignored unless ``recursive``."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    # recursiveFileLookup also turns partition discovery off, so folders named
-    # like partitions (TimeID=5) are nothing special
-    reader = reader.option("recursiveFileLookup", "true")
-    where = directory if recursive else f"{directory.rstrip('/')}/{pattern}"
-    try:
-        paths = [r.path for r in reader.load(where).select("path").collect()]
-    except AnalysisException as e:  # missing folder, or no file matches
-        raise NoSnapshotFiles(f"no files matching {pattern!r} in {directory!r}: {e}") from None
-    if not recursive:  # a folder may match the pattern too; its files do not count
-        depth = len(_plain(directory).rstrip("/").split("/")) + 1
-        paths = [p for p in paths if len(_plain(p).split("/")) == depth]
+    matches the glob ``pattern``. Sub-folders are ignored unless ``recursive``.
+    The whole list comes to the driver; ``load_folder`` and ``read_csv_folder``
+    read any number of files without it."""
+    paths = [r.path for r in list_files(spark, directory, pattern, recursive).select("path").collect()]
     if not paths:
         raise NoSnapshotFiles(f"no files matching {pattern!r} in {directory!r}")
     return sorted(paths)
 
 
-def _plain(path: str) -> str:
-    """One spelling of a path: ``file:/x``, ``file:///x`` and ``/x`` are the same."""
-    return re.sub(r"^file:/+", "/", path)
-
-
-def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names from one file's first line (reads one line)."""
-    return tuple(spark.read.option("header", True).csv(path).columns)
+def read_csv_folder(spark: SparkSession, directory: str, pattern: str, schema: T.StructType,
+                    recursive: bool = False, header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+    """All files in ``directory`` whose names match ``pattern`` in one scan; the
+    listing stays in Spark's file source. No match is an error."""
+    if list_files(spark, directory, pattern, recursive).isEmpty():
+        raise NoSnapshotFiles(f"no files matching {pattern!r} in {directory!r}")
+    reader = (spark.read.schema(schema).option("header", header).option("mode", mode)
+              .option("pathGlobFilter", pattern).option("recursiveFileLookup", "true"))
+    return reader.csv(directory if recursive else f"{directory.rstrip('/')}/{pattern}")
 
 
 def canonical_names(header: tuple[str, ...], renames: dict[str, str]) -> list[str]:
     return [renames.get(c, c) for c in header]
 
 
-# Compressions whose files Spark cannot split (one task per file).
-UNSPLITTABLE = (".gz", ".deflate", ".zst", ".lz4", ".snappy", ".zip")
+def _folder(path: str) -> str:
+    return path.rsplit("/", 1)[0]
 
 
-def unsplittable(path: str) -> bool:
-    return path.lower().endswith(UNSPLITTABLE)
+# ---------------------------------------------------------------- snapshots
+
+def why_bad(line: F.Column, schema: T.StructType) -> F.Column:
+    """What is wrong with a CSV line of ``schema``'s columns, as text: the first
+    field that does not fit, or the number of fields."""
+    n = len(schema.fields)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    # one column more, so that a line of too many fields shows
+    longer = T.StructType([*texts.fields, T.StructField("_more", T.StringType())])
+    fields = F.from_csv(line, longer.simpleString(), {"mode": "PERMISSIVE"})
+    reason: F.Column = F.lit("not a CSV line of the schema")
+    for f in reversed(schema.fields):
+        text, kind = fields[f.name], f.dataType.simpleString()
+        if isinstance(f.dataType, T.StringType):
+            continue
+        misfit = text.isNotNull() & text.try_cast(f.dataType).isNull()
+        reason = F.when(misfit, F.concat(F.lit(f"{f.name}: \""), text, F.lit(f"\" does not fit {kind}"))).otherwise(reason)
+    n_fields = F.size(F.split(line, ","))
+    reason = F.when(n_fields < n, F.concat(n_fields.cast("string"), F.lit(f" fields of {n}"))).otherwise(reason)
+    return F.when(fields["_more"].isNotNull(), F.lit(f"more than {n} fields")).otherwise(reason)
+
+
+def _parsed(lines: DataFrame, headers: DataFrame, versions: list[Version], schema: T.StructType,
+            options: dict[str, str]) -> DataFrame:
+    """``lines`` (value, file, ...) without header and blank lines, with a struct
+    ``row`` of ``schema`` and, where lines that do not fit are kept, a ``reason``."""
+    by_name = {f.name: f for f in schema.fields}
+    # a version's own header lines, of which a byte order mark may be part
+    mine = [h for v in versions for h in v.headers]
+    lines = lines.where((F.length(F.trim("value")) > 0) & ~F.ltrim("value", F.lit("\ufeff")).isin(mine))
+
+    def row_of(version: Version, corrupt: list[T.StructField]) -> F.Column:
+        of_file = T.StructType([*[by_name[n] for n in version.names], *corrupt])
+        return F.from_csv("value", of_file.simpleString(), options)
+
+    corrupt = [f for f in schema.fields if f.name == options.get("columnNameOfCorruptRecord")]
+
+    def reason_of(version: Version) -> F.Column:
+        return why_bad(F.col("value"), T.StructType([by_name[n] for n in version.names]))
+
+    def reasoned(rows: DataFrame, reason: F.Column) -> DataFrame:
+        return rows.withColumn("reason", F.when(F.col("row")[CORRUPT].isNotNull(), reason)) if corrupt else rows
+
+    if len(versions) == 1:
+        return reasoned(lines.withColumn("row", row_of(versions[0], corrupt)), reason_of(versions[0]))
+    number = {h: k for k, v in enumerate(versions) for h in v.headers}
+    # one row a file; 8 bytes of a hash stand for its path
+    file_version = materialize(headers.select(
+        F.xxhash64("file").alias("of"), F.create_map(*[F.lit(x) for p in number.items() for x in p])[F.col("header")]
+        .alias("version")), "file-versions")
+    lines = lines.withColumn("of", F.xxhash64("file")).join(checked_broadcast(file_version), "of").drop("of")
+    in_order = lambda r: F.struct(*[r[n] for n in schema.fieldNames()])
+    row, reason = F.lit(None), F.lit(None)
+    for k, v in enumerate(versions):  # the transform parses a line once for all of its fields
+        row = F.when(F.col("version") == k, F.transform(F.array(row_of(v, corrupt)), in_order)[0]).otherwise(row)
+        reason = F.when(F.col("version") == k, reason_of(v)).otherwise(reason)
+    return reasoned(lines.withColumn("row", row), reason).drop("version")
+
+
+def _spread(spark: SparkSession, files: DataFrame, read: Callable[[], DataFrame]) -> DataFrame:
+    """The lines of ``read()``; those of files that one task must decompress are
+    dealt anew, so that one big file does not make one long task."""
+    cannot_split = F.col("path").rlike(UNSPLITTABLE_PATTERN)
+    if files.where(cannot_split).isEmpty():
+        return read()
+    file = F.col("file").rlike(UNSPLITTABLE_PATTERN)  # files are left out by their names, not read
+    return read().where(~file).unionByName(
+        read().where(file).repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _load(spark: SparkSession, files: DataFrame, scan: Callable[[], DataFrame], schema: T.StructType,
+          renames: dict[str, str], mode: str, provenance: bool, quarantine: bool = False) -> DataFrame:
+    """``files`` (path, file, modified), whose lines ``scan()`` reads, as one frame."""
+    headers = materialize(first_lines(files), "file-headers")
+    if headers.isEmpty():
+        raise NoSnapshotFiles("no snapshot files given")
+    versions = versions_of(headers, schema, renames)
+    # without a mode of its own, a field that does not fit aborts the load
+    options = {"mode": "PERMISSIVE" if quarantine else mode}
+    of_lines = schema
+    if quarantine:
+        options["columnNameOfCorruptRecord"] = CORRUPT
+        of_lines = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
+    def lines() -> DataFrame:
+        return scan().select("value", F.col("_metadata.file_path").alias("file"),
+                             F.col("_metadata.file_modification_time").alias("at"))
 
-def _folder(path: str) -> str:
-    return path.rsplit("/", 1)[0]
+    parsed = _parsed(_spread(spark, files, lines), headers, versions, of_lines, options)
+    extra = [F.struct("at", F.col("file").alias("path")).alias(PROVENANCE)] if provenance else []
+    if quarantine:
+        extra += [F.col(f"row.{CORRUPT}").alias(CORRUPT), F.col("file").alias("_file"), F.col("reason").alias("_reason")]
+    return parsed.select(*[F.col(f"row.{n}").alias(n) for n in schema.fieldNames()], *extra)
 
 
-def find_headers(spark: SparkSession, paths: list[str], schema: T.StructType,
-                 renames: dict[str, str]) -> dict[str, tuple[str, ...]]:
-    """Header of each path, from one text scan over all of them.
-
-    A header is a line that names exactly the schema's columns, after the
-    renames and in any order; no row of data does. One small row per file
-    reaches the driver (the list of paths is there already). A file without
-    such a line fails the load."""
-    spelled = F.create_map(*[F.lit(x) for pair in renames.items() for x in pair]) if renames else None
-
-    def canonical(c):
-        bare = F.btrim(c, F.lit(' "\ufeff\r'))
-        return F.coalesce(spelled[bare], bare) if spelled is not None else bare
-
-    names = F.transform(F.split("value", ","), canonical)
-    # a name that no rename touches stands in every header as it is: a cheap
-    # test that spares the data lines the split
-    fixed = next((n for n in schema.fieldNames() if n not in renames.values()), None)
-    lines = spark.read.text(paths)
-    if fixed is not None:
-        lines = lines.where(F.col("value").contains(fixed))
-    wanted = F.array(*[F.lit(n) for n in sorted(schema.fieldNames())])
-    rows = (lines.where(F.sort_array(names) == wanted)
-            .select(F.col("_metadata.file_path").alias("path"), "value").distinct().collect())
-    found: dict[str, set[str]] = defaultdict(set)
-    for r in rows:
-        found[_plain(unquote(r.path))].add(r.value.lstrip("\ufeff").rstrip("\r"))
-    bad = [p for p in paths if len(found[_plain(p)]) != 1]
-    if bad:
-        seen = {p: read_header(spark, p) for p in bad[:3]}  # for the message only
-        raise ValueError(f"{len(bad)} files have no header (or two) of the schema "
-                         f"{schema.fieldNames()}, e.g. {seen}")
-    return {p: tuple(n.strip(' "') for n in next(iter(found[_plain(p)])).split(",")) for p in paths}
-
-
-def probe_headers(spark: SparkSession, paths: list[str], schema: T.StructType,
-                  renames: dict[str, str], probe: str = "scan") -> dict[str, tuple[str, ...]]:
-    """Header of each path. ``probe='scan'`` finds every file's own;
-    ``'per_folder'``, for folders known to hold one schema version each, looks
-    at one file per folder (the group scan then checks each file's header)."""
-    if probe == "scan":
-        return find_headers(spark, paths, schema, renames)
-    if probe != "per_folder":
-        raise ValueError(f"probe must be 'scan' or 'per_folder', not {probe!r}")
-    first: dict[str, str] = {}
-    for p in paths:
-        first.setdefault(_folder(p), p)
-    of_first = find_headers(spark, list(first.values()), schema, renames)
-    return {p: of_first[first[_folder(p)]] for p in paths}
+CORRUPT = "_corrupt_record"
+
+
+def load_folder(spark: SparkSession, directory: str, pattern: str, recursive: bool = False,
+                schema: T.StructType = schemas.PAYROLL_SCHEMA, renames: dict[str, str] | None = None,
+                mode: str = "FAILFAST", provenance: bool = False, quarantine: bool = False) -> DataFrame:
+    """The snapshot files in ``directory`` whose names match the glob ``pattern``
+    as one frame with ``schema``'s column names and order; any number of files
+    under any mixture of header versions. No row per file reaches the driver.
+
+    ``provenance`` and ``mode`` as in ``load_snapshots``; ``quarantine`` keeps
+    lines that do not fit, see ``sources/quarantine.py``."""
+    renames = schemas.RENAMES if renames is None else renames
+    files = list_files(spark, directory, pattern, recursive)
+    if files.isEmpty():
+        raise NoSnapshotFiles(f"no files matching {pattern!r} in {directory!r}")
+
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    if recursive:
+        scan = lambda: reader.text(directory)
+    else:  # files of a folder that matches the pattern itself are left out by their path, not read
+        parent = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+        folder = files.select(F.regexp_replace("file", "/[^/]*$", "")).first()[0]
+        scan = lambda: reader.text(f"{directory.rstrip('/')}/{pattern}").where(parent == folder)
+    return _load(spark, files, scan, schema, renames, mode, provenance, quarantine=quarantine)
 
 
 def load_snapshots(spark: SparkSession, paths: list[str],
                    schema: T.StructType = schemas.PAYROLL_SCHEMA,
                    renames: dict[str, str] | None = None,
                    infer: bool = False, mode: str = "FAILFAST",
-                   probe: str = "scan", provenance: bool = False) -> DataFrame:
+                   probe: str = "each_file", provenance: bool = False) -> DataFrame:
     """All snapshot files as one frame with ``schema``'s column names and order.
+    For a list of files the caller holds; ``load_folder`` needs none.
 
     ``provenance`` adds the column ``PROVENANCE``: the file's modification time
     and path, by which a later file wins over an earlier one.
@@ -174,6 +225,10 @@ def load_snapshots(spark: SparkSession, paths: list[str],
     fails the load (``mode='FAILFAST'``) rather than turning into a null that
     the fill step would make 0. Empty fields are nulls, not errors.
 
+    ``probe='each_file'`` reads the header of every file; ``'per_folder'``, for
+    folders known to hold one schema version each, that of one file per folder,
+    and Spark checks the others while reading.
+
     ``infer=True`` reads each group with type inference and lets
     ``unionByName`` widen (int with double gives double), as the reference
     does; the default reads with the fixed ``schema``.
@@ -181,10 +236,31 @@ def load_snapshots(spark: SparkSession, paths: list[str],
     renames = schemas.RENAMES if renames is None else renames
     if not paths:
         raise NoSnapshotFiles("no snapshot files given")
-    headers = probe_headers(spark, paths, schema, renames, probe)
+    if probe not in ("each_file", "per_folder"):
+        raise ValueError(f"probe must be 'each_file' or 'per_folder', not {probe!r}")
+    if probe == "each_file" and not infer:
+        return _load(spark, list_files(spark, paths), lambda: spark.read.option("recursiveFileLookup", "true").text(paths), schema, renames, mode, provenance)
+    return _load_groups(spark, paths, schema, renames, infer, mode, probe, provenance)
+
+
+def _load_groups(spark: SparkSession, paths: list[str], schema: T.StructType, renames: dict[str, str],
+                 infer: bool, mode: str, probe: str, provenance: bool) -> DataFrame:
+    """Files by groups of equal headers, each group one CSV scan, in which Spark
+    compares every file's header with the group's."""
+    if probe == "per_folder":
+        firsts: dict[str, str] = {}
+        for p in paths:
+            firsts.setdefault(_folder(p), p)
+        probed = {p: firsts[_folder(p)] for p in paths}
+    else:
+        probed = {p: p for p in paths}
+    headers = materialize(first_lines(list_files(spark, sorted(set(probed.values())))
+                                      .withColumn("file", F.col("path"))), "file-headers")
+    versions_of(headers, schema, renames)  # fails on a strange one
+    header_of = {_plain(r.file): header_names(r.header) for r in headers.collect()}
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for p in paths:
-        groups[headers[p]].append(p)
+        groups[header_of[_plain(probed[p])]].append(p)
 
     by_name = {f.name: f for f in schema.fields}
     frames = []
@@ -204,23 +280,28 @@ def load_snapshots(spark: SparkSession, paths: list[str],
             extra = [PROVENANCE]
         df = df.toDF(*names, *extra).select(*schema.fieldNames(), *extra)
         if any(unsplittable(f) for f in files):
-            # such a file is decompressed by one task; spread its rows before
-            # any further work so that one big file does not make one long task
             df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
         frames.append(df)
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _plain(path: str) -> str:
+    """One spelling of a path: ``file:/x``, ``file:///x`` and ``/x`` are the same."""
+    return re.sub(r"^file:/+", "/", path)
+
+
 def load_master(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A master (a CSV file, or a folder of them) by column name: columns in
     any order, headers checked, a value that does not fit fails the load."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    try:
-        paths = sorted(r.path for r in reader.load(path).select("path").collect()
-                       if ".csv" in r.path.rsplit("/", 1)[1])
-    except AnalysisException as e:
-        raise NoSnapshotFiles(f"no master at {path!r}: {e}") from None
-    return load_snapshots(spark, paths, schema, renames={})
+    files = list_files(spark, path).where(F.col("path").rlike(r"\.csv[^/]*$"))
+    if files.isEmpty():
+        raise NoSnapshotFiles(f"no master at {path!r}")
+
+    def scan() -> DataFrame:
+        return (spark.read.option("recursiveFileLookup", "true").text(path)
+                .where(F.col("_metadata.file_path").rlike(r"\.csv[^/]*$")))
+
+    return _load(spark, files, scan, schema, {}, "FAILFAST", False)
 
 
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,

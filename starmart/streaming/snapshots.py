@@ -4,25 +4,24 @@ The reference re-reads every snapshot file on each daily run. Here a file
 stream over the snapshot folder tracks, in its checkpoint, which files were
 already taken; each run (``trigger(availableNow=True)``: take what is new,
 then stop) hands only the new files to ``foreachBatch``. The batch function
-reuses the drift-safe loader (headers of all files in one scan, by-name union), so a renamed
+reuses the drift-safe loader (header of each file from its first block, columns by name), so a renamed
 column in a new file is handled exactly as in batch.
 
-Exactly once: a micro-batch writes to its own ``batch_id=<n>`` folder with
-overwrite, so a batch replayed after a failure replaces its own output and
-never appends twice. Deduplication on (EmployeeID, FiscalYear) happens when
-the bronze table is read, over all batches, so a row re-sent in a later
-file is still removed by the same rule as in batch.
+Exactly once: a micro-batch is merged into the bronze table under its own
+number (``streaming/bronze.py``), so a batch replayed after a failure replaces
+its own output and never appends twice. A row re-sent in a later file is removed
+by the same rule as in batch, in the slices that the new files touch.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starmart import schemas as S
-from starmart.plans.star import dedup_snapshots
-from starmart.sources.csv import PROVENANCE, PROVENANCE_TYPE, load_snapshots
+from starmart.sources.csv import load_snapshots
+from starmart.streaming.bronze import merge_drop, read_bronze
+
+__all__ = ["ingest", "new_files_stream", "read_bronze"]
 
 
 # the binaryFile source's fixed schema (a stream needs it up front)
@@ -42,17 +41,17 @@ def new_files_stream(spark: SparkSession, directory: str, pattern: str,
 
 def ingest(spark: SparkSession, directory: str, bronze: str, checkpoint: str,
            pattern: str = "*payroll_*.csv", recursive: bool = False,
-           max_files_per_trigger: int = 1000) -> StreamingQuery:
-    """Append the rows of files not seen before to the bronze table; returns
-    the (finished) query. The list of new paths per batch is bounded by
-    ``max_files_per_trigger``; the rows themselves never pass the driver."""
+           max_files_per_trigger: int = 1000, buckets: int = 64) -> StreamingQuery:
+    """Merge the rows of files not seen before into the bronze table (of
+    ``buckets`` hash buckets a year, if it is new); returns the (finished) query.
+    The list of new paths per batch is bounded by ``max_files_per_trigger``; the
+    rows themselves never pass the driver."""
 
     def write_batch(paths: DataFrame, batch_id: int) -> None:
         new = sorted(r.path for r in paths.collect())
         if not new:
             return
-        rows = load_snapshots(spark, new, provenance=True)
-        rows.write.mode("overwrite").parquet(f"{bronze.rstrip('/')}/batch_id={batch_id}")
+        merge_drop(spark, bronze, load_snapshots(spark, new, provenance=True), batch_id, buckets)
 
     q = (new_files_stream(spark, directory, pattern, recursive, max_files_per_trigger)
          .writeStream.foreachBatch(write_batch)
@@ -61,10 +60,3 @@ def ingest(spark: SparkSession, directory: str, bronze: str, checkpoint: str,
          .start())
     q.awaitTermination()
     return q
-
-
-def read_bronze(spark: SparkSession, bronze: str, dedup: bool = True) -> DataFrame:
-    """All ingested rows (without the batch column); deduplicated by default."""
-    schema = T.StructType([*S.PAYROLL_SCHEMA.fields, T.StructField(PROVENANCE, PROVENANCE_TYPE)])
-    rows = spark.read.schema(schema).parquet(bronze).select(*schema.fieldNames())  # not the batch
-    return dedup_snapshots(rows) if dedup else rows.select(*S.PAYROLL_COLUMNS)

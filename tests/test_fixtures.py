@@ -146,7 +146,7 @@ def test_pay_beyond_decimal_10_2_fails_loudly(spark, tmp_path):
 
 def test_per_folder_probe_is_verified_file_by_file(spark, snapshot_dir):
     paths = discover_files(spark, str(snapshot_dir), "payroll_*.csv")
-    ok = load_snapshots(spark, paths, probe="scan")
+    ok = load_snapshots(spark, paths, probe="each_file")
     assert ok.count() == len(ROWS_2020) + len(ROWS_2021)
     # one folder, two headers: probing one file per folder guesses wrong for
     # the other, and the scan's header check refuses instead of misreading
@@ -163,7 +163,7 @@ def test_per_folder_probe_on_folders_with_one_header_each(spark, tmp_path):
     write(tmp_path / "y2021" / "payroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
     paths = discover_files(spark, str(tmp_path), "payroll_*.csv", recursive=True)
     a = load_snapshots(spark, paths, probe="per_folder")
-    b = load_snapshots(spark, paths, probe="scan")
+    b = load_snapshots(spark, paths, probe="each_file")
     assert sorted(a.collect()) == sorted(b.collect())
     assert a.count() == len(ROWS_2020) + 2 + len(ROWS_2021)
 

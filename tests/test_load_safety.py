@@ -3,19 +3,21 @@ stage schemas, and storage that is freed."""
 
 import glob
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 from test_fixtures import ROWS_2020, ROWS_2021, row, write
 
-from conftest import SF_SMALL
+from conftest import ROOT, SF_SMALL
 from starmart import schemas as S
 from starmart.operators import quality
 from starmart.plans import jobs, marts
 from starmart.plans import registered as R
 from starmart.plans.star import build_star, clean_payroll, dedup_snapshots
 from starmart.session import free_scratch
-from starmart.sinks import warehouse
+from starmart.sinks import versions, warehouse
 from starmart.sources import csv as src
 from starmart.streaming.snapshots import ingest, read_bronze
 
@@ -207,34 +209,93 @@ def test_a_dirty_report_stops_the_load(spark, scratch, monkeypatch):
     assert _published(spark, db) == before
 
 
-def test_a_broken_swap_leaves_the_old_version(spark, scratch, monkeypatch):
-    db = "starmart_swap"
-    cfg = _config(spark, scratch, ROWS_2020, db)
+class Killed(BaseException):
+    """Nothing in the library catches this, as nothing outlives a killed driver."""
+
+
+STEPS = ["write employee", "write agency", "write jobtitle", "write time", "write fact_table",
+         f"write {jobs.ALLOCATION_TABLE}", "manifest", "views", "drop"]
+
+
+def test_a_load_killed_at_any_step_shows_one_whole_version(spark, scratch, monkeypatch):
+    db = "starmart_kill"
+    cfg = _config(spark, scratch, ROWS_2020, db, keep_versions_for=3600)
     jobs.run_all(spark, cfg)
-    before = _published(spark, db)
-    folders = sorted(glob.glob(f"{scratch}/stage/warehouse/*/v=*"))
+    old = _published(spark, db)
+    public = sorted(spark.table(f"{db}.{marts.PUBLIC_VIEW}").collect(), key=str)
+    reader = versions.open_version(spark, cfg.warehouse_root)
+    slow = reader.all()  # a reader that started before
     write(f"{scratch}/in/payroll_2021.csv", ROWS_2021, agency_col="AgencyCode")
     jobs.extract(spark, cfg)
     jobs.transform(spark, cfg)
-    point, seen = warehouse._point, []
-
-    def broken(spark_, table, location):
-        seen.append(table)
-        if len(seen) == 3:
-            raise RuntimeError("catalog is gone")
-        point(spark_, table, location)
-
-    monkeypatch.setattr(warehouse, "_point", broken)
-    with pytest.raises(RuntimeError):
-        jobs.load(spark, cfg)
-    monkeypatch.undo()
-    assert _published(spark, db) == before
-    assert sorted(glob.glob(f"{scratch}/stage/warehouse/*/v=*")) == folders
+    publish = versions.publish_version
+    seen = []
+    for die_at in STEPS:
+        def on_step(step, die_at=die_at):
+            seen.append(step)
+            if step == die_at:
+                raise Killed
+
+        with monkeypatch.context() as m:
+            m.setattr(versions, "publish_version", lambda *a, **k: publish(*a, **k, on_step=on_step))
+            with pytest.raises(Killed):
+                jobs.load(spark, cfg)
+        now, of_views = versions.open_version(spark, cfg.warehouse_root), _published(spark, db)
+        if STEPS.index(die_at) <= STEPS.index("manifest"):
+            assert now.version == reader.version and of_views == old
+            assert sorted(spark.table(f"{db}.{marts.PUBLIC_VIEW}").collect(), key=str) == public
+        else:
+            assert now.seq > reader.seq and len(of_views["fact_table"]) > len(old["fact_table"])
+            assert of_views == {n: sorted(now.table(n).collect(), key=str) for n in S.LOAD_ORDER}
+    assert list(dict.fromkeys(seen)) == STEPS
+    assert {n: sorted(slow[n].collect(), key=str) for n in S.LOAD_ORDER} == old  # and ends well
+    with_views = f"SELECT count(*) FROM {db}.fact_table f JOIN {db}.agency a ON f.agencyid = a.agencyid"
     jobs.load(spark, cfg)
-    assert len(_published(spark, db)["fact_table"]) > len(before["fact_table"])
-    # one version of each table stays
-    assert len(glob.glob(f"{scratch}/stage/warehouse/*/v=*")) == len(folders)
+    assert spark.sql(with_views).first()[0] == len(_published(spark, db)["fact_table"])
+    # after the grace period one version of each table stays, of dead publishes nothing
+    last = versions.open_version(spark, cfg.warehouse_root).version
+    versions.drop_expired(spark, cfg.warehouse_root, keep_for=0)
+    assert {os.path.basename(p) for p in glob.glob(f"{cfg.warehouse_root}/*/version=*")} == {f"version={last}"}
     assert len(glob.glob(f"{scratch}/stage/run-*")) == 1
+    with pytest.raises(Exception):
+        slow["fact_table"].collect()
+
+
+def test_a_driver_that_is_gone_before_the_manifest(spark, scratch):
+    """A process of its own, ended without any clean-up."""
+    versions.publish_version(spark, {"nation": spark.range(3).toDF("k")}, scratch, check=False)
+    code = f"""
+import os, sys
+sys.path.insert(0, {ROOT!r})
+from starmart.session import local_session
+from starmart.sinks import versions
+spark = local_session(2, 2)
+versions.publish_version(spark, {{"nation": spark.range(9).toDF("k"), "region": spark.range(2).toDF("k")}}, {scratch!r},
+                         check=False, on_step=lambda step: os._exit(9) if step == "manifest" else None)
+"""
+    assert subprocess.run([sys.executable, "-c", code], timeout=120, capture_output=True).returncode == 9
+    assert glob.glob(f"{scratch}/region/version=*/part-*")  # written, but not published
+    now = versions.open_version(spark, scratch)
+    assert now.tables == ("nation",) and now.table("nation").count() == 3
+    with pytest.raises(versions.NoVersion):
+        now.table("region")
+
+
+def test_versions_by_name_and_views_of_one_version(spark, scratch):
+    with pytest.raises(versions.NoVersion):
+        versions.open_version(spark, scratch)
+    one = versions.publish_version(spark, {"a": spark.range(1).toDF("k"), "b": spark.range(1).toDF("k")}, scratch, check=False)
+    two = versions.publish_version(spark, {"a": spark.range(2).toDF("k"), "b": spark.range(2).toDF("k")}, scratch, check=False)
+    assert [r.version for r in versions.versions(spark, scratch).orderBy("seq").collect()] == [one.version, two.version]
+    versions.open_version(spark, scratch, one.version).as_views("pinned_")
+    assert spark.sql("SELECT count(*) FROM pinned_a JOIN pinned_b USING (k)").first()[0] == 1
+    assert versions.open_version(spark, scratch).table("a").count() == 2
+    # the view's subquery prunes the other versions' folders
+    versions.create_views(spark, "starmart_two", scratch, ["a", "b"], {})
+    view = spark.table("starmart_two.a")
+    assert view.count() == 2
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(version" in plan and "Subquery" in plan
 
 
 def test_a_renamed_agency_is_reported_and_never_multiplies(spark, scratch):
