@@ -29,11 +29,17 @@ class Shard:
     weight: float = 1.0
 
 
-def shard_tree(n_shards: int, regions: int = 2, racks: int = 3) -> list[Shard]:
-    """``n_shards`` equal shards dealt over ``regions`` x ``racks``."""
-    cells = regions * racks
-    return [Shard(i, i * regions // n_shards, (i * cells // n_shards) % racks)
-            for i in range(n_shards)]
+def shard_tree(n_shards: int, regions: int = 2, racks: int = 3, built: int = 24) -> list[Shard]:
+    """The tree of ``n_shards`` equal shards: up to ``built`` of them, the first
+    build-out, are dealt over ``regions`` x ``racks``; every further one was added
+    by ``grow``. So ``shard_tree(n + 1) == grow(shard_tree(n))`` from ``built`` on,
+    and one more shard takes rows only into itself. Below, another count is
+    another build-out, from which a table has to be moved as a whole."""
+    n, cells = min(n_shards, built), regions * racks
+    tree = [Shard(i, i * regions // n, (i * cells // n) % racks) for i in range(n)]
+    for _ in range(n_shards - n):
+        tree = grow(tree)
+    return tree
 
 
 def grow(tree: Sequence[Shard], weight: float = 1.0) -> list[Shard]:

@@ -128,6 +128,17 @@ def test_shards_against_brute_force(spark):
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
+def test_a_count_of_shards_has_one_layout(spark):
+    for n in (24, 25, 40):
+        assert shard_tree(n + 1) == grow(shard_tree(n))
+    docs = documents(spark, SF_SMALL)
+    for n in (24, 25):
+        now = {r["doc_id"]: r["grown_shard"] for r in assign_shards(docs, n).collect()}
+        assert now == {r["doc_id"]: r["shard"] for r in assign_shards(docs, n + 1).collect()}
+    # a first build-out of any size may be grown the same way
+    assert shard_tree(7, built=6) == grow(shard_tree(6, built=6))
+
+
 def test_shards_follow_weights_and_confine_movement(spark):
     ids = spark.range(6000).selectExpr("id AS doc_id", "cast(null AS string) AS text")
     tree = [Shard(0, 0, 0), Shard(1, 0, 0, 3.0), Shard(2, 0, 1, 2.0), Shard(3, 1, 0, 2.0), Shard(4, 1, 1, 0.0)]
