@@ -160,6 +160,14 @@ def _may_be_similar(similarity: float):
     return most >= F.lit(similarity / (1 + similarity) - 1e-9) * (F.col("size") + F.col("h_size"))
 
 
+def _first_shared() -> F.Column:
+    """Whether a bucket is the first that a member and a hub share. Of all buckets
+    in which two nodes meet, this one alone pairs them. Until it has, it holds them
+    both, or one of them was its first hub and has met the other."""
+    equal = F.zip_with("bands", "h_bands", lambda x, y: x == y)
+    return F.get(F.col("bands"), (F.array_position(equal, F.lit(True)) - 1).cast("int")) == F.col("bucket")
+
+
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """Components ``roots`` (node, root) after more links between nodes."""
     side = small(roots)
@@ -307,14 +315,17 @@ def _connected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         members = placed.drop("n").join(small(open_), "bucket")
         if not bounded:
             members, bounded = _bounded(compact(members, "ngram-members"), compared, similarity), True
+            members = members.join(small(compact(nodes.select("node", "bands").join(
+                small(members.select("node").distinct()), "node", "left_semi"), "ngram-open-bands")), "node")
         members = compact(members, "ngram-members")
         # members outside the bucket's main component, twice as many each round
         turn = F.row_number().over(W.partitionBy("bucket").orderBy("root", "node"))
         hubs = compact(
             members.where("root <> main").withColumn("turn", turn).where(F.col("turn") <= n_hubs).select(
                 "bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root"),
-                *[F.col(c).alias(f"h_{c}") for c in ("size", "common", "own")]), "ngram-hubs")
-        met = members.join(small(hubs), "bucket").where((F.col("root") != F.col("hub_root")) & _may_be_similar(similarity))
+                *[F.col(c).alias(f"h_{c}") for c in ("size", "common", "own", "bands")]), "ngram-hubs")
+        met = members.join(small(hubs), "bucket").where(
+            (F.col("root") != F.col("hub_root")) & _may_be_similar(similarity) & _first_shared())
         pairs = (met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
                  .join(tested, ["a", "b"], "left_anti"))
         pairs = compact(pairs, "ngram-pairs")
@@ -329,10 +340,12 @@ def _connected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return signed.select("id", "node"), links, roots, texts
 
 
-def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True,
+                  **options) -> DataFrame:
     """One row per input row: ``id_col``, ``class_id`` (smallest id of its
     class, null ids last), ``class_size`` (rows) and ``n_links`` (links of its
-    n-gram set to different ones: all pairs of its class are compared).
+    n-gram set to different ones: all pairs of its class are compared). For
+    classes alone ``count_links=False`` spares that; ``n_links`` is null then.
 
     A class is a connected component of links of ``similarity`` or more; rows
     with equal n-gram sets share all. A text of fewer than ``n`` words is one
@@ -340,7 +353,11 @@ def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     its own.
     """
     signed, _, roots, texts = _connected(docs, id_col, text_col, **options)
-    degree = compact(_degrees(roots, texts, options.get("n", 5), options.get("similarity", 0.8)), "ngram-degrees")
+    if count_links:
+        degree = compact(_degrees(roots, texts, options.get("n", 5), options.get("similarity", 0.8)), "ngram-degrees")
+    else:
+        degree = docs.sparkSession.createDataFrame([], "node binary, n_links long")
+    no_link = F.lit(0 if count_links else None).cast("long")
     nodes = (signed.where("node IS NOT NULL").groupBy("node")
              .agg(F.count(F.lit(1)).alias("n"),
                   F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))).alias("low"))
@@ -348,11 +365,11 @@ def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = compact(nodes, "ngram-nodes")
     classes = nodes.groupBy("root").agg(F.sum("n").alias("class_size"), F.min("low")["id"].alias("class_id"))
     facts = compact(nodes.select("node", "root").join(classes, "root").join(degree, "node", "left")
-                        .select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links")),
+                        .select("node", "class_id", "class_size", F.coalesce("n_links", no_link).alias("n_links")),
                         "ngram-classes")
     placed = signed.where("node IS NOT NULL").join(facts, "node").select(
         F.col("id").alias(id_col), "class_id", "class_size", "n_links")
     alone = signed.where("node IS NULL").select(
         F.col("id").alias(id_col), F.col("id").alias("class_id"),
-        F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links"))
+        F.lit(1).cast("long").alias("class_size"), no_link.alias("n_links"))
     return placed.unionByName(alone)

@@ -304,7 +304,8 @@ def last_forms(forms: DataFrame) -> DataFrame:
 
 
 def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 6,
-                      min_count: int = 5, ratio: int = 5, slip_every: int | None = None, **limits) -> DataFrame:
+                      min_count: int = 5, ratio: int = 5, slip_every: int | None = None, flush: int = 300_000,
+                      **limits) -> DataFrame:
     """One row per word (see ``count_words``): ``word``, ``form``, ``root``,
     ``n`` (occurrences), ``n_near`` (near words among all words), ``form_n``.
 
@@ -316,7 +317,8 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     if min_length < 2 or ratio <= 1:
         raise ValueError("words need two letters or more, forms a ratio above 1")
-    counted = materialize(count_words(docs, id_col, text_col, min_length, min_count, slip_every), "spelling-words")
+    counted = materialize(count_words(docs, id_col, text_col, min_length, min_count, slip_every, flush),
+                          "spelling-words")
     # the least rank is the word with the most occurrences, then the first one
     vocab = materialize(dense_key(counted.select("word", "n", (-F.col("n")).alias("less")), ["less", "word"], "rank")
                         .select("rank", "word", "n"), "spelling-vocabulary")
