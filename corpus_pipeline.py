@@ -42,7 +42,8 @@ def _only_firsts(docs: DataFrame, decisions: DataFrame, first_col: str) -> DataF
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line-first rules keep, without their failed lines."""
     name = _free_name(docs, "quality")
-    judged = judge_quality(docs, "text", result=name).where(F.col(name)["kept"])
+    # the explode keeps the filter above the rules, which thus run once a row
+    judged = judge_quality(docs, "text", result=name).withColumn(name, F.explode(F.array(name))).where(F.col(name)["kept"])
     clean, changed = F.col(name)["clean_text"], F.col(name)["clean_text"] != F.col("text")
     new = {"text": clean, "n_chars": F.when(changed, F.length(clean).cast("long")).otherwise(F.col("n_chars"))}
     return judged.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
@@ -55,7 +56,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return _only_firsts(docs, ngram_classes(docs), "class_id")
+    return _only_firsts(docs, ngram_classes(docs, count_links=False), "class_id")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
