@@ -200,6 +200,30 @@ CUST_NULL_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegme
 CUSTOMER_TYPES = [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
                   ("c_acctbal", "double"), ("c_mktsegment", "string")]
 
+CANDIDATES = """
+WITH e AS (
+  SELECT c.c_custkey AS id, concat_ws(' ', c_name, c_mktsegment, n_name) AS name
+  FROM customer c JOIN nation ON c_nationkey = n_nationkey),
+m AS (
+  SELECT c_custkey + 1000000 AS id, upper(n_name) || ', ' || lower(c_mktsegment) || ' / '
+    || CASE WHEN c_custkey % 10 <> 0 THEN split_part(c_name, '#', 2) ELSE '-' END || ' (CUST.)' AS name
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 25 <> 7),
+w AS (
+  SELECT DISTINCT side, id, CASE WHEN word = 'cust' THEN 'customer' ELSE word END AS word
+  FROM (SELECT 'l' AS side, id, unnest(regexp_extract_all(lower(name), '[a-z0-9]+')) AS word FROM e
+        UNION ALL SELECT 'r', id, unnest(regexp_extract_all(lower(name), '[a-z0-9]+')) FROM m)),
+weight AS (
+  SELECT word, CAST(floor(1000 * ln(1 + (SELECT count(*) FROM (SELECT DISTINCT side, id FROM w))::DOUBLE / count(*))) AS BIGINT) AS weight
+  FROM w GROUP BY word),
+t AS (SELECT side, id, sum(weight) AS total FROM w JOIN weight USING (word) GROUP BY side, id),
+s AS (
+  SELECT l.id AS left_id, r.id AS right_id, sum(weight) AS shared
+  FROM w l JOIN w r ON l.word = r.word AND l.side = 'l' AND r.side = 'r' JOIN weight ON l.word = weight.word
+  GROUP BY l.id, r.id)
+SELECT left_id, right_id, CAST(shared AS DOUBLE) / CAST(lt.total + rt.total - shared AS DOUBLE) AS score
+FROM s JOIN t lt ON lt.side = 'l' AND lt.id = left_id JOIN t rt ON rt.side = 'r' AND rt.id = right_id
+WHERE CAST(shared AS DOUBLE) / CAST(lt.total + rt.total - shared AS DOUBLE) >= 0.5"""
+
 FACT_WAREHOUSE = """SELECT CAST(PayrollID AS BIGINT) AS payrollid, CAST(EmployeeID AS BIGINT) AS employeeid,
   AgencyID AS agencyid, TitleCode AS titlecode, CAST(TimeID AS INTEGER) AS timeid,
   CAST(PayrollNumber AS BIGINT) AS payrollnumber, BaseSalary AS basesalary, PayBasis AS paybasis,
@@ -208,6 +232,32 @@ FACT_WAREHOUSE = """SELECT CAST(PayrollID AS BIGINT) AS payrollid, CAST(Employee
 FROM fact"""
 
 
+def _release_sql(k: int) -> str:
+    """Level after level: groups of ``k`` people or more, then what is left."""
+    levels = [("agency and title", "AgencyName", "TitleDescription"),
+              ("agency and family", "AgencyName", "split_part(TitleDescription, ' ', 1)"),
+              ("agency", "AgencyName", "'*'"), ("borough", "WorkLocationBorough", "'*'"), ("year", "'*'", "'*'")]
+    ctes, outs, left = [PAY.strip()], [], "pay"
+    for i, (name, place, title) in enumerate(levels):
+        ctes.append(f"g{i} AS (SELECT *, {place} AS place_, {title} AS title_ FROM {left})")
+        ctes.append(f"""v{i} AS (SELECT *, count(DISTINCT EmployeeID) OVER (PARTITION BY place_, title_, FiscalYear) AS people FROM g{i})""")
+        outs.append(f"""SELECT '{name}' AS level, place_ AS place, title_ AS title, CAST(FiscalYear AS VARCHAR) AS year,
+  count(DISTINCT EmployeeID) AS n_people, count(*) AS n_rows, CAST(sum(RegularGrossPaid) AS DECIMAL(20,2)) AS RegularGrossPaid
+FROM v{i} WHERE people >= {k} GROUP BY place_, title_, FiscalYear""")
+        left = f"l{i}"
+        ctes.append(f"{left} AS (SELECT * EXCLUDE (place_, title_, people) FROM v{i} WHERE people < {k})")
+    outs.append(f"SELECT 'suppressed', '*', '*', '*', count(DISTINCT EmployeeID), count(*), NULL FROM {left} HAVING count(*) > 0")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(outs)
+
+
+def _dependencies_sql() -> str:
+    """Per pair of columns: groups of the first with several values of the second."""
+    parts = [f"""SELECT '{x}' AS determinant, '{y}' AS dependent, count(*) AS n_groups, count(*) FILTER (n > 1) AS n_broken
+FROM (SELECT {x}, count(DISTINCT {y}) + count(DISTINCT CASE WHEN {y} IS NULL THEN 1 END) AS n FROM raw WHERE {x} IS NOT NULL GROUP BY {x})"""
+             for x in R.DEPENDENCY_COLUMNS for y in R.DEPENDENCY_COLUMNS if x != y]
+    return f"WITH {RAW_PAY} " + " UNION ALL ".join(parts)
+
+
 def _count(name: str, body: str) -> str:
     return f"SELECT '{name}' AS check_name, (SELECT count(*) FROM ({body})) AS violations"
 
@@ -371,6 +421,12 @@ def oracle_sql() -> dict[str, str]:
               SELECT c_custkey AS EmployeeID, min(year(o_orderdate)) <= 1994 AS early
               FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey)
             SELECT EmployeeID, CAST(row_number() OVER (ORDER BY early DESC, EmployeeID) AS BIGINT) AS EmployeeKey FROM e""",
+        "crosswalk_candidates": CANDIDATES,
+        "load_with_quarantine": """
+            SELECT CASE WHEN o_orderkey % 1000 = 1 THEN 'FiscalYear: "last year" does not fit int'
+                WHEN o_orderkey % 1000 = 2 THEN 'BaseSalary: "1e99" does not fit decimal(10,2)' ELSE 'loaded' END AS reason,
+              count(*) AS n_rows
+            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
         "sink_parquet": "SELECT * FROM nation",
         "sink_csv": "SELECT * FROM supplier",
         "sink_jdbc": "SELECT * FROM nation",
@@ -405,6 +461,10 @@ def oracle_sql() -> dict[str, str]:
               f.BaseSalary, f.RegularHours, f.RegularGrossPaid, f.OTHours, f.TotalOTPaid, f.TotalOtherPay
             FROM fact f JOIN agency_dim a USING (AgencyID) JOIN title_dim t USING (TitleCode)
               JOIN time_dim d USING (TimeID)""",
+        "functional_dependencies": _dependencies_sql(),
+        "public_release": _release_sql(R.PUBLIC_K),
+        "clustered_lookup": """SELECT * FROM orders WHERE o_custkey BETWEEN 100 AND 400
+            AND o_orderdate BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-06-30'""",
         "partition_pruned_scan": """SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year
             FROM orders WHERE year(o_orderdate) = 1996""",
     }

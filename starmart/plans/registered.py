@@ -15,14 +15,15 @@ from pyspark.sql import functions as F
 from starmart import schemas as S
 from starmart import testmap as tm
 from starmart.functions import clean
-from starmart.operators import dedup, history, joins, keys, quality
-from starmart.plans import jobs, marts
+from starmart.operators import dedup, history, joins, keys, linkage, quality
+from starmart.plans import consistency, jobs, marts, privacy
 from starmart.plans.star import (build_agency_dim, build_employee_dim, build_star, build_time_dim,
                                  build_title_dim, clean_payroll, dedup_snapshots, renamed)
 from starmart.session import materialize as materialize_table
 from starmart.session import scratch_path, scratch_scope
-from starmart.sinks import files, jdbc, versions, warehouse
+from starmart.sinks import clustered, files, jdbc, versions, warehouse
 from starmart.sources import csv as src
+from starmart.sources import quarantine
 
 
 # ---------------------------------------------------------------- payroll base
@@ -57,10 +58,11 @@ def dim_input(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame
     return payroll(spark, sf_dir, [*columns, *order])
 
 
-def write_snapshot_files(spark: SparkSession, snap: DataFrame, root: str) -> str:
-    """Snapshot rows as CSV files with a header per file; odd fiscal years use
-    the drifted header (AgencyCode for AgencyID), as the yearly files do."""
-    odd = F.col("FiscalYear") % 2 == 1
+def write_snapshot_files(spark: SparkSession, snap: DataFrame, root: str, odd: F.Column | None = None) -> str:
+    """Snapshot rows as CSV files with a header per file; odd fiscal years (or
+    rows that are ``odd``) use the drifted header (AgencyCode for AgencyID), as
+    the yearly files do."""
+    odd = F.col("FiscalYear") % 2 == 1 if odd is None else odd
     snap = materialize_table(snap, "snapshot")  # two writes read it
     files.write_csv(snap.where(~odd), f"{root}/even")
     files.write_csv(snap.where(odd).withColumnRenamed("AgencyID", "AgencyCode"), f"{root}/odd")
@@ -361,6 +363,42 @@ def surrogate_key_stable(spark, sf_dir):
     return keys.extend_key_map(employees, ["EmployeeID"], path, 1, "EmployeeKey")
 
 
+# an abbreviation in the master's names
+SAME_WORDS = {"cust": "customer"}
+
+
+def crosswalk_candidates(spark, sf_dir):
+    """Scored pairs of the payroll's employees and a master with other codes."""
+    return linkage.candidates(tm.employee_names(spark, sf_dir), tm.recoded_names(spark, sf_dir), 0.5, SAME_WORDS)
+
+
+def crosswalk_employees(spark, sf_dir):
+    """The one-to-one crosswalk from those pairs."""
+    return linkage.one_to_one(crosswalk_candidates(spark, sf_dir))
+
+
+def crosswalk_orphans(spark, sf_dir):
+    """Payroll rows without a master entry, by code and by crosswalk."""
+    rows = tm.snapshot(spark, sf_dir, ["EmployeeID", "FiscalYear"])
+    return linkage.orphan_report(rows, "EmployeeID", tm.recoded_names(spark, sf_dir), crosswalk_employees(spark, sf_dir))
+
+
+def load_with_quarantine(spark, sf_dir):
+    """Snapshot files of which some lines are broken: how many rows load, and the
+    quarantined lines by reason."""
+    root = scratch_path(spark, "broken")
+    snap = tm.snapshot(spark, sf_dir)
+    as_text = snap.select(*[F.col(c).cast("string").alias(c) for c in snap.columns])
+    number = F.col("PayrollNumber").cast("long")
+    broken = as_text.withColumns({
+        "FiscalYear": F.when(number % 1000 == 1, "last year").otherwise(F.col("FiscalYear")),
+        "BaseSalary": F.when(number % 1000 == 2, "1e99").otherwise(F.col("BaseSalary"))})
+    write_snapshot_files(spark, broken, root, odd=F.col("PayrollNumber").cast("long") % 2 == 1)
+    load = quarantine.load_with_quarantine(spark, root, "*.csv", recursive=True)
+    reasons = load.quarantine.groupBy("reason").agg(F.count("*").alias("n_rows"))
+    return reasons.unionByName(load.rows.agg(F.count("*").alias("n_rows")).select(F.lit("loaded").alias("reason"), "n_rows"))
+
+
 def star_schema_end_to_end(spark, sf_dir):
     """Raw text with defects -> CSV files with drifted headers -> discover ->
     load -> dedup -> parse/fill -> enrich with the masters -> star -> fact joined
@@ -539,6 +577,42 @@ def public_view(spark, sf_dir):
     return marts.public_view(spark, facts, build_agency_dim(pay), build_title_dim(pay), time)
 
 
+def clustered_lookup(spark, sf_dir):
+    """Orders of some customers and months, read from the files of a Z-ordered
+    table that its index names."""
+    table = clustered.write_clustered(tm.table(spark, sf_dir, "orders"), scratch_path(spark, "clustered"),
+                                      ["o_custkey", "o_orderdate"], 64)
+    return clustered.lookup(spark, table, o_custkey=(100, 400), o_orderdate=("1995-01-01", "1996-06-30"))
+
+
+# The columns between which dependencies are looked for
+DEPENDENCY_COLUMNS = ["EmployeeID", "LastName", "AgencyID", "AgencyName", "WorkLocationBorough", "TitleCode", "TitleDescription"]
+
+
+def functional_dependencies(spark, sf_dir):
+    """For each pair of columns of the raw snapshot: does the first fix the second?"""
+    raw = tm.with_defects(tm.snapshot(spark, sf_dir))
+    return consistency.dependencies(raw, DEPENDENCY_COLUMNS)
+
+
+def snapshot_drift(spark, sf_dir):
+    """Every year's columns against the year before, from mergeable sketches."""
+    raw = tm.with_defects(tm.snapshot(spark, sf_dir))
+    sketches = materialize_table(consistency.year_sketches(raw, "FiscalYear", S.MEASURES + ["BaseSalary"],
+                                                           ["EmployeeID", "AgencyID", "TitleDescription"]), "year-sketches")
+    return consistency.drift(sketches)
+
+
+PUBLIC_K = 5
+
+
+def public_release(spark, sf_dir):
+    """Pay in groups of at least ``PUBLIC_K`` employees."""
+    columns = ["EmployeeID", "AgencyName", "WorkLocationBorough", "TitleDescription", "FiscalYear", "RegularGrossPaid"]
+    pay = payroll(spark, sf_dir, columns, materialize=True)
+    return privacy.generalize(pay, "EmployeeID", privacy.payroll_levels(), PUBLIC_K, ["RegularGrossPaid"])
+
+
 PRUNE_YEAR = 1996
 
 
@@ -592,6 +666,10 @@ QUERIES = {
     "fact_employee_version": fact_employee_version,
     "employee_history_changes": employee_history_changes,
     "surrogate_key_stable": surrogate_key_stable,
+    "crosswalk_candidates": crosswalk_candidates,
+    "crosswalk_employees": crosswalk_employees,
+    "crosswalk_orphans": crosswalk_orphans,
+    "load_with_quarantine": load_with_quarantine,
     "star_schema_end_to_end": star_schema_end_to_end,
     "sink_parquet": sink_parquet,
     "sink_csv": sink_csv,
@@ -607,5 +685,9 @@ QUERIES = {
     "allocation_by_agency_year": allocation_by_agency_year,
     "allocation_year_over_year": allocation_year_over_year,
     "public_view": public_view,
+    "functional_dependencies": functional_dependencies,
+    "snapshot_drift": snapshot_drift,
+    "public_release": public_release,
     "partition_pruned_scan": partition_pruned_scan,
+    "clustered_lookup": clustered_lookup,
 }

@@ -148,3 +148,21 @@ def title_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.where(F.col("o_orderpriority") != "3-MEDIUM").select(
         F.substring("o_orderpriority", 1, 1).cast("int").alias("TitleCode"),
         F.col("o_orderpriority").alias("TitleDescription")).distinct()
+
+
+def employee_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, name) of the payroll's employees: customer, segment and nation."""
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    joined = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    return joined.select(F.col("c_custkey").alias("id"), F.concat_ws(" ", "c_name", "c_mktsegment", "n_name").alias("name"))
+
+
+def recoded_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, name) of a master with codes of its own: words in another order and
+    spelling; every tenth lacks the customer's number, every 25th is missing."""
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    joined = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).where(F.col("c_custkey") % 25 != 7)
+    number = F.when(F.col("c_custkey") % 10 != 0, F.substring_index("c_name", "#", -1)).otherwise("-")
+    return joined.select((F.col("c_custkey") + 1_000_000).alias("id"),
+                         F.concat(F.upper("n_name"), F.lit(", "), F.lower("c_mktsegment"), F.lit(" / "), number,
+                                  F.lit(" (CUST.)")).alias("name"))
