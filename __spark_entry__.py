@@ -152,11 +152,11 @@ HISTORY = f"""{PAY},
 changed AS (
   SELECT EmployeeID, LastName, FirstName, WorkLocationBorough, LeaveStatusasofJune30, FiscalYear
   FROM pay
+  WINDOW w AS (PARTITION BY EmployeeID ORDER BY FiscalYear)
   QUALIFY row_number() OVER w = 1 OR lag(LastName) OVER w IS DISTINCT FROM LastName
     OR lag(FirstName) OVER w IS DISTINCT FROM FirstName
     OR lag(WorkLocationBorough) OVER w IS DISTINCT FROM WorkLocationBorough
-    OR lag(LeaveStatusasofJune30) OVER w IS DISTINCT FROM LeaveStatusasofJune30
-  WINDOW w AS (PARTITION BY EmployeeID ORDER BY FiscalYear)),
+    OR lag(LeaveStatusasofJune30) OVER w IS DISTINCT FROM LeaveStatusasofJune30),
 history AS (
   SELECT EmployeeID, LastName, FirstName, WorkLocationBorough, LeaveStatusasofJune30,
     CAST(row_number() OVER w AS INTEGER) AS version, FiscalYear AS valid_from,

@@ -50,7 +50,8 @@ def generalize(rows: DataFrame, person: str, levels: list[Level], k: int, sums:
         by_person = here.groupBy(*groups, person).agg(F.count("*").alias("_rows"), *[F.sum(s).alias(s) for s in sums])
         counted = materialize(
             by_person.groupBy(*groups).agg(F.count("*").alias("n_people"), F.sum("_rows").alias("n_rows"),
-                                           *[F.sum(s).alias(s) for s in sums]), "privacy-groups")
+                                           *[F.sum(s).cast(by_person.schema[s].dataType).alias(s) for s in sums]),
+            "privacy-groups")
         large = F.col("n_people") >= k
         part = counted.where(large).select(F.lit(level.name).alias("level"), *[F.col(f"_g_{n}").alias(n) for n in names],
                                            "n_people", "n_rows", *sums)

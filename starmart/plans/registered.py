@@ -102,10 +102,10 @@ def incremental_ingest(spark, sf_dir):
     root = scratch_path(spark, "stream")
     snap = materialize_table(tm.snapshot(spark, sf_dir), "snapshot")
     files.write_csv(snap.where(F.col("FiscalYear") % 2 == 0), f"{root}/in/even")
-    ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", "*.csv", recursive=True)
+    ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", "*.csv", recursive=True, buckets=2)
     files.write_csv(snap.where(F.col("FiscalYear") % 2 == 1)
                     .withColumnRenamed("AgencyID", "AgencyCode"), f"{root}/in/odd")
-    ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", "*.csv", recursive=True)
+    ingest(spark, f"{root}/in", f"{root}/bronze", f"{root}/ckpt", "*.csv", recursive=True, buckets=2)
     return read_bronze(spark, f"{root}/bronze")
 
 
