@@ -1,12 +1,17 @@
 """Reversible line dedup: sharded cuckoo filters over exact reference counts.
 
 A line's key is the hash of its stripped, ASCII-lower-cased bytes. The index
-holds, per shard of the key space, a cuckoo filter of the keys present and an
-exact table of references (key, document, lines). Inserting documents asks the
-filters first: a key they do not hold is certainly new, and only possible hits
-are looked up in the exact table. Deleting documents takes their references
-out, and keys whose count falls to 0 leave the filter too, so inserts and
-deletions undo each other.
+keeps which document holds which key (references), an exact table of counts
+(key, documents, smallest id), and per shard of the key space a cuckoo filter of
+the keys that have a count. Inserting documents asks the filters first: a key they
+do not hold is certainly new, so its count is written as it is; only hits are
+looked up in the count table and in the references. Deleting documents takes
+their references out, counts the keys they held anew, and keys that nobody holds
+any more leave the filter, so inserts and deletions undo each other.
+
+All tables only grow by a generation a change: rows of counts supersede earlier
+ones of their key, deleted ids earlier references of theirs, and a shard's filter
+the one before. A change writes what it touches.
 """
 
 from __future__ import annotations
@@ -17,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm.common import SPACES, text_or_empty
+from starmart.operators.joins import checked_broadcast
 from starmart.session import materialize, scratch_path
 
 SLOTS = 4  # fingerprints per bucket
@@ -120,17 +126,26 @@ class CuckooFilter:
         """Take one copy of each hash out; only of hashes that were inserted."""
         left = hashes
         for table in reversed(self.tables):
-            missed = []
-            print_, a, b = self._places(left, len(table))
-            for k in range(len(left)):  # deletions of one bucket depend on each other
-                for bucket in (a[k], b[k]):
-                    slots = np.flatnonzero(table[bucket] == print_[k])
-                    if len(slots):
-                        table[bucket, slots[0]] = 0
-                        break
-                else:
-                    missed.append(k)
-            left = left[missed]
+            for which in (1, 2):
+                if len(left):
+                    places = self._places(left, len(table))
+                    left = left[~self._take_out(table, places[0], places[which])]
+
+    @staticmethod
+    def _take_out(table: np.ndarray, print_: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """Free one slot for each fingerprint in its bucket; which had one there."""
+        order = np.lexsort((print_, bucket))
+        place, mark = bucket[order], print_[order]
+        # those alike in bucket and fingerprint take a copy each, in turn
+        first = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (mark[1:] != mark[:-1]))))
+        turn = np.arange(len(place)) - np.repeat(first, np.diff(np.append(first, len(place))))
+        there = table[place] == mark[:, None]
+        hit = turn < there.sum(axis=1)
+        slot = np.argsort(~there, axis=1, kind="stable")[np.arange(len(place)), np.minimum(turn, SLOTS - 1)]
+        table[place[hit], slot[hit]] = 0
+        done = np.zeros(len(bucket), dtype=bool)
+        done[order[hit]] = True
+        return done
 
     def to_bytes(self) -> bytes:
         head = np.array([len(self.tables), *map(len, self.tables)], dtype=np.int64)
@@ -157,78 +172,147 @@ class LineIndex:
     """Which documents hold which lines, with inserts and deletions.
 
     ``root`` is a folder on shared storage. ``shards`` bounds a task's work:
-    one shard's distinct keys and its filter lie in one task.
+    one shard's distinct keys of a change and its filter lie in one task.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None, shards: int = 16, min_chars: int = 10):
         self.spark, self.shards, self.min_chars = spark, shards, min_chars
         self.root = root or scratch_path(spark, "line-index")
-        self.refs_at: list[str] = []
-        self.filters_at: str | None = None
+        self.generation = 0
+        # folders: references, first counts of keys, counts that supersede others, deleted ids, filters
+        self.at: dict[str, list[str]] = {k: [] for k in ("refs", "fresh", "again", "gone", "filters")}
 
     # state
 
-    def _write(self, df: DataFrame, name: str) -> str:
-        at = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
-        df.write.parquet(at)
-        return at
+    def _add(self, df: DataFrame, table: str) -> DataFrame:
+        """``df`` as the next generation of ``table``, listed at the change's end."""
+        at = f"{self.root}/{table}/{self.generation}-{uuid.uuid4().hex[:12]}"
+        df.withColumn("gen", F.lit(self.generation)).write.parquet(at)
+        self._pending.append((table, at))
+        return self.spark.read.parquet(at)
+
+    def _begin(self) -> None:
+        self.generation += 1
+        self._pending: list[tuple[str, str]] = []
+
+    def _commit(self) -> None:
+        for table, at in self._pending:
+            self.at[table].append(at)
+
+    def _table(self, table: str) -> DataFrame | None:
+        return self.spark.read.parquet(*self.at[table]) if self.at[table] else None
 
     def references(self) -> DataFrame | None:
         """(id, key, shard) of every line key and document in the index."""
-        return self.spark.read.parquet(*self.refs_at) if self.refs_at else None
+        refs, gone = self._table("refs"), self._table("gone")
+        if refs is None or gone is None:
+            return refs if refs is None else refs.select("id", "key", "shard")
+        deleted = gone.groupBy("gone_id").agg(F.max("gen").alias("gone_gen"))
+        return refs.join(checked_broadcast(deleted), F.col("id").eqNullSafe(F.col("gone_id"))
+                         & (F.col("gen") < F.col("gone_gen")), "left_anti").select("id", "key", "shard")
 
     def _filters(self) -> DataFrame:
-        if self.filters_at is None:
+        filters = self._table("filters")
+        if filters is None:
             return self.spark.createDataFrame([], "shard int, filter binary")
-        return self.spark.read.parquet(self.filters_at)
+        return filters.groupBy("shard").agg(F.max_by("filter", "gen").alias("filter"))
+
+    def counts(self, min_docs: int = 1) -> DataFrame:
+        """(key, n_docs, first_id): reference count and smallest id of the keys that
+        ``min_docs`` documents or more hold; a null id comes after all others.
+
+        First counts are read as they were written, except for keys of which a
+        later row is there. So keys that were never hit are not shuffled."""
+        fresh, again = self._table("fresh"), self._table("again")
+        columns = ["key", "n_docs", F.col("first.id").alias("first_id")]
+        enough = F.col("n_docs") >= min_docs
+        if again is None:
+            return fresh.where(enough).select(*columns)
+        last = materialize(again.groupBy("key").agg(F.max_by(F.struct("n_docs", "first"), "gen").alias("c"),
+                                                    F.max("gen").alias("last_gen")), "line-again")
+        late = last.select(F.col("key").alias("late_key"), "last_gen")
+        # the filter lets a key be new again only after its last document has gone
+        valid = fresh.where(enough).join(checked_broadcast(late), (F.col("key") == F.col("late_key"))
+                                         & (F.col("gen") < F.col("last_gen")), "left_anti")
+        return valid.select(*columns).unionByName(
+            last.select("key", "c.*").where(enough & (F.col("n_docs") > 0)).select(*columns))
 
     # lines
 
     def lines_of(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """(id, key) of each document's distinct long lines."""
-        source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+        """(id, text_hash, key) of each row's distinct long lines; the hash names
+        the row's text among those that share its id."""
+        source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).select(
+            "id", F.xxhash64("text").alias("text_hash"), "text")
         min_chars = self.min_chars
 
         def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                ids, out = [], []
+                rows, out = [], []
                 for at, text in enumerate(batch["text"]):
                     found = {line_key(line, min_chars) for line in text.split("\n")} - {None}
-                    ids.extend([at] * len(found))
+                    rows.extend([at] * len(found))
                     out.extend(found)
-                yield pd.DataFrame({"id": batch["id"].iloc[ids].array, "key": out})
+                yield pd.DataFrame({"id": batch["id"].iloc[rows].array, "text_hash": batch["text_hash"].iloc[rows].array,
+                                    "key": out})
 
-        schema = T.StructType([T.StructField("id", source.schema["id"].dataType),
+        schema = T.StructType([T.StructField("id", source.schema["id"].dataType), T.StructField("text_hash", T.LongType()),
                                T.StructField("key", T.BinaryType())])
         return source.mapInPandas(keys, schema)
 
     # changes
 
+    def _shard(self) -> Column:
+        return F.pmod(F.xxhash64("key"), F.lit(self.shards)).cast("int")
+
+    def _change_filters(self, keys: DataFrame, change) -> None:
+        """Apply ``change`` to the filters of the shards of ``keys`` (key, shard)."""
+        keys = materialize(keys, "line-changed")
+        filters = self._filters().join(checked_broadcast(keys.select("shard").distinct()), "shard", "left_semi")
+        self._add(keys.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(
+            change, "shard int, filter binary"), "filters")
+
+    @staticmethod
+    def _counted(lines: DataFrame) -> DataFrame:
+        """Counts of (id, key, shard) rows, each there once; combined map-side."""
+        return lines.groupBy("key", "shard").agg(
+            F.count(F.lit(1)).alias("n_docs"),
+            F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))).alias("first"))
+
     def insert(self, lines: DataFrame) -> None:
         """Add references (``lines_of``); ones already there count once."""
-        lines = lines.select("id", "key", F.pmod(F.xxhash64("key"), F.lit(self.shards)).cast("int").alias("shard"))
-        lines = lines.distinct()
+        self._begin()
+        lines = materialize(lines.select("id", "key", self._shard().alias("shard")).distinct(), "line-new")
         old = self.references()
-        keys = materialize(lines.select("key", "shard").distinct(), "line-keys")
-        filters = self._filters()
+        counted = materialize(self._counted(lines), "line-counted")
         if old is None:
-            new_keys = keys
+            new, refs = counted, lines
         else:
-            lines = lines.join(old.select("id", "key"), (lines["key"] == old["key"])
-                               & lines["id"].eqNullSafe(old["id"]), "left_anti")
             probed = materialize(
-                keys.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(
+                counted.select("key", "shard").groupBy("shard").cogroup(self._filters().groupBy("shard")).applyInPandas(
                     _probe, "key binary, shard int, maybe boolean"), "line-probed")
-            # a key the filter does not hold is new; a hit is looked up exactly
-            hits = probed.where("maybe").select("key", "shard")
-            known = old.select("key").distinct()
-            new_keys = probed.where("NOT maybe").select("key", "shard").unionByName(
-                hits.join(known, "key", "left_anti"))
-        added = self._write(lines, "refs")
-        self.filters_at = self._write(
-            new_keys.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(
-                _insert, "shard int, filter binary"), "filters")
-        self.refs_at.append(added)
+            # a key the filter does not hold is new, with all its references
+            new = counted.join(probed.where("NOT maybe").select("key"), "key", "left_semi")
+            hits = checked_broadcast(materialize(probed.where("maybe").select("key"), "line-hits"))
+            known = materialize(old.join(hits, "key", "left_semi").select(
+                F.col("id").alias("known_id"), F.col("key").alias("known_key")), "line-known")
+            is_known = (F.col("key") == F.col("known_key")) & F.col("id").eqNullSafe(F.col("known_id"))
+            refs = lines.join(known, is_known, "left_anti")
+            # hits are counted exactly, with what the count table has of them
+            more = self._counted(refs.join(hits, "key", "left_semi"))
+            before = self.counts().join(hits, "key", "left_semi").select(
+                F.col("key").alias("b_key"), F.col("n_docs").alias("b_docs"), F.col("first_id").alias("b_id"))
+            b_first = F.when(F.col("b_key").isNotNull(), F.struct(F.col("b_id").isNull().alias("no_id"), F.col("b_id").alias("id")))
+            self._add(more.join(before, F.col("key") == F.col("b_key"), "left").select(
+                "key", "shard", (F.col("n_docs") + F.coalesce("b_docs", F.lit(0))).alias("n_docs"),
+                F.least("first", b_first).alias("first")), "again")
+            # of the hits, those without a count were false alarms of the filter
+            missed = materialize(more.join(before, F.col("key") == F.col("b_key"), "left_anti").select("key", "shard"), "line-missed")
+        self._add(new.select("key", "shard", "n_docs", "first"), "fresh")
+        self._add(refs, "refs")
+        keys = new.select("key", "shard")
+        self._change_filters(keys if old is None else keys.unionByName(missed), _insert)
+        self._commit()
 
     def delete(self, ids: DataFrame, id_col: str = "doc_id") -> None:
         """Take documents out again: their references, and from the filters the
@@ -236,43 +320,40 @@ class LineIndex:
         old = self.references()
         if old is None:
             return
-        gone_ids = ids.select(F.col(id_col).alias("gone_id")).distinct()
+        self._begin()
+        gone = self._add(ids.select(F.col(id_col).alias("gone_id")).distinct(), "gone")
         is_gone = F.col("id").eqNullSafe(F.col("gone_id"))
-        rest = self._write(old.join(gone_ids, is_gone, "left_anti"), "refs")
-        left = self.spark.read.parquet(rest)
-        dead = (old.join(gone_ids, is_gone, "left_semi").select("key", "shard").distinct()
-                .join(left.select("key").distinct(), "key", "left_anti"))
-        self.filters_at = self._write(
-            dead.groupBy("shard").cogroup(self._filters().groupBy("shard")).applyInPandas(
-                _delete, "shard int, filter binary"), "filters")
-        self.refs_at = [rest]
+        # keys that lose a document are counted anew, from their references alone
+        touched = materialize(old.join(checked_broadcast(gone.select("gone_id")), is_gone, "left_semi")
+                              .select("key", "shard").distinct(), "line-touched")
+        side = checked_broadcast(touched.select("key"))
+        left = old.join(side, "key", "left_semi").join(checked_broadcast(gone.select("gone_id")), is_gone, "left_anti")
+        now = self._counted(left)
+        no_one = F.lit(None).cast(now.schema["first"].dataType)
+        counted = self._add(now.unionByName(
+            touched.join(left.select("key").distinct(), "key", "left_anti")
+            .select("key", "shard", F.lit(0).cast("long").alias("n_docs"), no_one.alias("first"))), "again")
+        self._change_filters(counted.where("n_docs = 0").select("key", "shard"), _delete)
+        self._commit()
 
     # answers
 
-    def counts(self) -> DataFrame:
-        """(key, n_docs, first_id): reference count and smallest id per key;
-        a null id comes after all others. Combined map-side."""
-        refs = self.references()
-        return (refs.groupBy("key")
-                .agg(F.count(F.lit(1)).alias("n_docs"),
-                     F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"))).alias("first"))
-                .select("key", "n_docs", F.col("first.id").alias("first_id")))
-
-    def dropped_keys(self, min_docs: int = 2) -> DataFrame:
-        """(id, keys): per document the keys whose lines it loses."""
-        refs = self.references()
-        repeated = materialize(self.counts().where(F.col("n_docs") >= min_docs), "line-repeated")
-        return (refs.join(repeated, "key").where(~F.col("id").eqNullSafe(F.col("first_id")))
-                .groupBy("id").agg(F.collect_list("key").alias("keys")))
-
     def clean(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              min_docs: int = 2) -> DataFrame:
+              min_docs: int = 2, lines: DataFrame | None = None) -> DataFrame:
         """One row per input row: ``id_col``, ``n_lines``, ``n_dropped`` and
-        ``kept_text``, the lines that stay joined by a line feed."""
+        ``kept_text``, the lines that stay joined by a line feed. ``lines``:
+        ``lines_of(docs)``, where the caller has it. The keys that a row loses are
+        gathered by its id and text, so no group is larger than a text."""
         min_chars = self.min_chars
-        source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-        dropped = self.dropped_keys(min_docs).withColumnRenamed("id", "dropped_id")
-        joined = source.join(dropped, F.col("id").eqNullSafe(F.col("dropped_id")), "left").select("id", "text", "keys")
+        source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).withColumn(
+            "text_hash", F.xxhash64("text"))
+        lines = self.lines_of(docs, id_col, text_col) if lines is None else lines
+        repeated = checked_broadcast(materialize(self.counts(min_docs), "line-repeated"))
+        dropped = (lines.join(repeated, "key").where(~F.col("id").eqNullSafe(F.col("first_id")))
+                   .groupBy(F.col("id").alias("dropped_id"), F.col("text_hash").alias("dropped_hash"))
+                   .agg(F.collect_set("key").alias("keys")))
+        joined = source.join(dropped, F.col("id").eqNullSafe(F.col("dropped_id"))
+                             & (F.col("text_hash") == F.col("dropped_hash")), "left").select("id", "text", "keys")
 
         def strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -329,10 +410,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     document: their lines count once and stay or go together; a null id counts
     as one document after all others. The result does not depend on batches.
     """
-    spark = docs.sparkSession
-    index = LineIndex(spark, min_chars=min_chars)
+    index = LineIndex(docs.sparkSession, min_chars=min_chars)
     found = materialize(index.lines_of(docs, id_col, text_col), "lines")
     index.shards = max(index.shards, -(-found.count() // keys_per_shard))
     for i in range(batches):
         index.insert(found.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == i))
-    return index.clean(docs, id_col, text_col, min_docs)
+    return index.clean(docs, id_col, text_col, min_docs, found)

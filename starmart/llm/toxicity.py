@@ -389,10 +389,13 @@ class Scorer:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_clean: int = 4500,
                     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-                    seed: int = 0) -> tuple[list[str], list[int]]:
+                    seed: int = 0, max_chars: int = 32_768) -> tuple[list[str], list[int]]:
     """Texts and labels of at most ``max_toxic`` + ``max_clean`` labelled rows
-    outside the held-out fifth, picked by a seeded hash of the id. Ids are
-    picked from the labels alone; only picked texts reach the driver."""
+    outside the held-out fifth, picked by a seeded hash of the id. Ids are picked
+    from the labels alone. Of rows that share a picked id one is taken (the least
+    hash of the text), and of a text longer than ``max_chars`` a part of that
+    length from a seeded place, so what reaches the driver is bounded whatever
+    the table holds. Only the sample is cut: scoring reads whole texts."""
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & (_remainder(F.col("id")) != 0))
              .groupBy("id").agg(F.max("label").alias("label")))
@@ -402,8 +405,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, m
     if not picked:
         return [], []
     table = docs.sparkSession.createDataFrame(picked, known.schema)  # bounded, so it may be broadcast
+    beyond = F.length("text") - max_chars
+    part = F.when(beyond <= 0, F.col("text")).otherwise(F.substring(
+        F.col("text"), (F.pmod(draw, F.greatest(beyond, F.lit(1))) + 1).cast("int"), F.lit(max_chars)))
+    # one row an id, chosen in the tasks before the shuffle
     rows = (docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-            .join(F.broadcast(table), "id").select("id", "text", "label").collect())
+            .join(F.broadcast(table), "id").select("id", "label", F.xxhash64("text").alias("h"), part.alias("text"))
+            .groupBy("id", "label").agg(F.min(F.struct("h", "text")).alias("one"))
+            .select("id", "one.text", "label").collect())
     rows.sort(key=lambda r: (r["id"], r["text"]))
     return [r["text"] for r in rows], [r["label"] for r in rows]
 
@@ -417,8 +426,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                    shape: Shape | None = None) -> DataFrame:
     """One row per input row: ``id_col``, ``held_out``, ``score``, ``predicted``.
 
-    Learns from at most ``max_toxic`` and ``max_clean`` labelled rows whose
-    crc32(id as text) mod 5 is not 0 and scores every text by its words alone.
+    Learns from at most ``max_toxic`` and ``max_clean`` labelled rows (one an id,
+    see ``labelled_sample``) whose crc32(id as text) mod 5 is not 0 and scores
+    every text by its words alone.
     Null and wordless texts score 0. A null id counts as the empty text. If the
     labels do not hold both classes, every text scores 0.
     """

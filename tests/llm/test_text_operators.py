@@ -17,6 +17,7 @@ from starmart.llm import pieces as pieces_module
 from starmart.llm import toxicity as tox
 from starmart.llm.common import documents
 from starmart.llm.hashing import ngram_hashes, word_hashes
+from starmart.llm import line_dedup as line_module
 from starmart.llm.line_dedup import CuckooFilter, LineIndex, line_dedup, line_key
 from starmart.llm.pieces import Encoder, PieceModel, decode_pieces, encode_pieces
 from starmart.llm.queries import op4_token_counts, op7_pieces, op10_toxicity
@@ -168,6 +169,54 @@ def test_line_index_is_reversible(spark):
     assert rows_of(undone.clean(docs)) == rows_of(line_dedup(docs))
 
 
+def test_filters_decide_the_result(spark, monkeypatch):
+    """A filter that never finds a key makes every batch's keys new."""
+    docs = documents(spark, SF_SMALL)
+    right = rows_of(line_dedup(docs))
+    monkeypatch.setattr(line_module, "_probe", lambda keys, filters: keys[["key", "shard"]].assign(maybe=False))
+    assert rows_of(line_dedup(docs)) != right
+    # one that always does only asks the exact tables more often
+    monkeypatch.setattr(line_module, "_probe", lambda keys, filters: keys[["key", "shard"]].assign(maybe=True))
+    assert rows_of(line_dedup(docs)) == right
+
+
+def test_line_index_changes_against_a_dictionary(spark):
+    """Inserts and deletions in any order, also of ids that come again."""
+    rng = random.Random(12)
+    lines = [f"a line of text number {i}" for i in range(12)]
+    held, index = {}, LineIndex(spark, shards=4)
+    for step in range(6):
+        ids = rng.sample([None, *range(9)], 4)
+        if step % 3 < 2:
+            docs = [(i, "\n".join(rng.sample(lines, 3))) for i in ids]
+            index.insert(index.lines_of(spark.createDataFrame(docs, "doc_id long, text string")))
+            for i, text in docs:
+                held.setdefault(i, set()).update(text.split("\n"))
+        else:
+            index.delete(spark.createDataFrame([(i,) for i in ids], "doc_id long"))
+            for i in ids:
+                held.pop(i, None)
+        want = sorted((line_key(x, 10), sum(x in v for v in held.values()),
+                       min((i for i in held if x in held[i]), key=lambda i: (i is None, i)))
+                      for x in lines if any(x in v for v in held.values()))
+        got = sorted((bytes(r["key"]), r["n_docs"], r["first_id"]) for r in index.counts().collect())
+        assert got == want
+        found = sum(int((t != 0).sum()) for r in index._filters().collect() for t in CuckooFilter.from_bytes(r["filter"]).tables)
+        assert found == len(want)
+
+
+def test_a_small_change_touches_its_shards_only(spark):
+    docs = documents(spark, SF_SMALL)
+    index = LineIndex(spark, shards=64)
+    index.insert(index.lines_of(docs))
+    one = spark.createDataFrame([(10**9, "a line that nobody else has written")], "doc_id long, text string")
+    index.insert(index.lines_of(one))
+    index.delete(one)
+    for table, rows in (("refs", 1), ("fresh", 1), ("gone", 1), ("again", 1)):
+        assert spark.read.parquet(index.at[table][-1]).count() == rows
+    assert [spark.read.parquet(at).count() for at in index.at["filters"]][1:] == [1, 1]
+
+
 def test_line_dedup_batches_and_key():
     assert line_key("  A Line of Text\r", 10) == line_key("a line of text", 10)
     assert line_key("À line of text", 10) != line_key("à line of text", 10)
@@ -276,3 +325,20 @@ def test_held_out_accuracy_on_shipped_rows(spark):
     rows = op10_toxicity(spark, sf).where("held_out").join(labels, "doc_id").collect()
     n = collections.Counter((r["toxic"], r["predicted"]) for r in rows)
     assert (n[0, 0] + n[1, 1]) / sum(n.values()) >= 0.9
+    assert n[1, 1] / (n[1, 0] + n[1, 1]) >= 0.6  # most toxic texts are found
+    toxic, clean = ([r["score"] for r in rows if r["toxic"] == k] for k in (1, 0))
+    above = sum((t > c) + 0.5 * (t == c) for t in toxic for c in clean)
+    assert above / (len(toxic) * len(clean)) >= 0.9  # area under the ROC curve
+
+
+def test_the_sample_is_bounded(spark):
+    """One id on a third of the rows, and a very long text."""
+    rows = [(3, f"copy {i} " * 20) for i in range(2000)] + [(i, f"text {i}") for i in range(4, 40)] + [(41, "w " * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(42)], "doc_id long, toxic int")
+    texts, marks = tox.labelled_sample(docs, labels, 10, 10, max_chars=500)
+    assert 0 < len(texts) == len(marks) <= 20 and max(map(len, texts)) <= 500
+    again = tox.labelled_sample(docs.repartition(7), labels, 10, 10, max_chars=500)
+    assert again == (texts, marks)
+    every = tox.labelled_sample(docs, labels, max_chars=500)[0]
+    assert sum(t.startswith("copy") for t in every) <= 1
