@@ -224,6 +224,20 @@ SELECT left_id, right_id, CAST(shared AS DOUBLE) / CAST(lt.total + rt.total - sh
 FROM s JOIN t lt ON lt.side = 'l' AND lt.id = left_id JOIN t rt ON rt.side = 'r' AND rt.id = right_id
 WHERE CAST(shared AS DOUBLE) / CAST(lt.total + rt.total - shared AS DOUBLE) >= 0.5"""
 
+
+def _assignment_ctes(rounds: int = 3) -> str:
+    """Rounds of pairs that are the best of both sides. SQL has no loop until
+    nothing is left; on these tables the first round leaves nothing."""
+    parts, left = [f"candidates AS ({CANDIDATES})"], "candidates"
+    best = "row_number() OVER (PARTITION BY {} ORDER BY score DESC, left_id, right_id) = 1"
+    for i in range(rounds):
+        parts.append(f"picked{i} AS (SELECT * FROM {left} QUALIFY {best.format('left_id')} AND {best.format('right_id')})")
+        parts.append(f"left{i} AS (SELECT * FROM {left} WHERE left_id NOT IN (SELECT left_id FROM picked{i})"
+                     f" AND right_id NOT IN (SELECT right_id FROM picked{i}))")
+        left = f"left{i}"
+    return ", ".join(parts) + ", walk AS (" + " UNION ALL ".join(f"SELECT * FROM picked{i}" for i in range(rounds)) + ")"
+
+
 FACT_WAREHOUSE = """SELECT CAST(PayrollID AS BIGINT) AS payrollid, CAST(EmployeeID AS BIGINT) AS employeeid,
   AgencyID AS agencyid, TitleCode AS titlecode, CAST(TimeID AS INTEGER) AS timeid,
   CAST(PayrollNumber AS BIGINT) AS payrollnumber, BaseSalary AS basesalary, PayBasis AS paybasis,
@@ -422,6 +436,12 @@ def oracle_sql() -> dict[str, str]:
               FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey)
             SELECT EmployeeID, CAST(row_number() OVER (ORDER BY early DESC, EmployeeID) AS BIGINT) AS EmployeeKey FROM e""",
         "crosswalk_candidates": CANDIDATES,
+        "crosswalk_employees": f"WITH {_assignment_ctes()} SELECT * FROM walk",
+        "crosswalk_orphans": f"""WITH {_assignment_ctes()},
+            pay AS (SELECT c_custkey AS id FROM orders JOIN customer ON o_custkey = c_custkey),
+            master AS (SELECT c_custkey + 1000000 AS id FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 25 <> 7)
+            SELECT 'code' AS matched_by, count(*) AS n_rows, count(*) FILTER (id NOT IN (SELECT id FROM master)) AS n_orphans FROM pay
+            UNION ALL SELECT 'crosswalk', count(*), count(*) FILTER (id NOT IN (SELECT left_id FROM walk)) FROM pay""",
         "load_with_quarantine": """
             SELECT CASE WHEN o_orderkey % 1000 = 1 THEN 'FiscalYear: "last year" does not fit int'
                 WHEN o_orderkey % 1000 = 2 THEN 'BaseSalary: "1e99" does not fit decimal(10,2)' ELSE 'loaded' END AS reason,

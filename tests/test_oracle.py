@@ -11,6 +11,7 @@ import __spark_entry__ as E
 from starmart.plans import registered as R
 from conftest import SF_SMALL
 
+NO_SQL = {"snapshot_drift"}  # from sketches; tests/test_consistency.py plants drift
 VIEWS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents"]
 
 
@@ -39,7 +40,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(R.QUERIES) <= set(E.queries())
-    assert set(R.QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
+    assert set(R.QUERIES) - NO_SQL <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
@@ -49,7 +50,7 @@ def test_entry_runs(spark):
                           "total_gross", "total_ot", "total_other", "total_paid"]
 
 
-@pytest.mark.parametrize("key", sorted(R.QUERIES))
+@pytest.mark.parametrize("key", sorted(set(R.QUERIES) - NO_SQL))
 def test_query_matches_oracle(spark, duck, key):
     sdf = E.queries()[key](spark, SF_SMALL)
     res = duck.execute(E.oracle_sql()[key])

@@ -90,7 +90,7 @@ def test_merged_stage_writes_few_files_per_year(spark, scratch):
         merged = jobs.extract(spark, cfg)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    years = glob.glob(f"{root}/stage/payroll_merged/FiscalYear=*")
-    files = glob.glob(f"{root}/stage/payroll_merged/FiscalYear=*/*.parquet")
+    years = glob.glob(f"{root}/stage/extract-*/payroll_merged/FiscalYear=*")
+    files = glob.glob(f"{root}/stage/extract-*/payroll_merged/FiscalYear=*/*.parquet")
     assert len(years) == merged.select("FiscalYear").distinct().count()
     assert len(files) == len(years)  # each year written by one task
