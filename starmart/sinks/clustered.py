@@ -11,6 +11,7 @@ filter would read the footer of every file.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,10 +41,10 @@ def z_value(bounds: dict[str, list], bits: int = BITS) -> Column:
         # binary search: how many cuts are not above the value
         place = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(  # noqa: B023
             F.col(column) >= F.get(cuts, at + step - 1), step).otherwise(0))  # noqa: B023
-        spread = F.aggregate(F.sequence(F.lit(0), F.lit(bits - 1)), F.lit(0).cast("long"), lambda out, i: out.bitwiseOR(  # noqa: B023
-            F.call_function("shiftleft", F.call_function("shiftright", place, i).bitwiseAND(1).cast("long"),  # noqa: B023
-                            i * len(bounds) + j)))  # noqa: B023
-        z = z.bitwiseOR(spread)
+        spread = lambda p: reduce(Column.bitwiseOR, [  # noqa: B023, E731
+            F.shiftleft(F.shiftright(p, i).bitwiseAND(1).cast("long"), i * len(bounds) + j) for i in range(bits)])  # noqa: B023
+        # the transform evaluates a place once for all of its bits
+        z = z.bitwiseOR(F.transform(F.array(place), spread)[0])
     return z
 
 

@@ -147,23 +147,21 @@ def _parsed(lines: DataFrame, headers: DataFrame, versions: list[Version], schem
     return reasoned(lines.withColumn("row", row), reason).drop("version")
 
 
-def _spread(spark: SparkSession, files: DataFrame, read: Callable[[], DataFrame]) -> DataFrame:
+def _spread(spark: SparkSession, read: Callable[[], DataFrame]) -> DataFrame:
     """The lines of ``read()``; those of files that one task must decompress are
     dealt anew, so that one big file does not make one long task."""
-    cannot_split = F.col("path").rlike(UNSPLITTABLE_PATTERN)
-    if files.where(cannot_split).isEmpty():
-        return read()
     file = F.col("file").rlike(UNSPLITTABLE_PATTERN)  # files are left out by their names, not read
     return read().where(~file).unionByName(
         read().where(file).repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _load(spark: SparkSession, files: DataFrame, scan: Callable[[], DataFrame], schema: T.StructType,
-          renames: dict[str, str], mode: str, provenance: bool, quarantine: bool = False) -> DataFrame:
+          renames: dict[str, str], mode: str, provenance: bool, of: str, quarantine: bool = False) -> DataFrame:
     """``files`` (path, file, modified), whose lines ``scan()`` reads, as one frame."""
-    headers = materialize(first_lines(files), "file-headers")
-    if headers.isEmpty():
-        raise NoSnapshotFiles("no snapshot files given")
+    n = files.agg(F.count("*").alias("files"), F.count_if(F.col("path").rlike(UNSPLITTABLE_PATTERN)).alias("packed")).first()
+    if not n.files:
+        raise NoSnapshotFiles(f"no files of {of!r}")
+    headers = materialize(first_lines(files, n.files), "file-headers")
     versions = versions_of(headers, schema, renames)
     # without a mode of its own, a field that does not fit aborts the load
     options = {"mode": "PERMISSIVE" if quarantine else mode}
@@ -176,7 +174,7 @@ def _load(spark: SparkSession, files: DataFrame, scan: Callable[[], DataFrame],
         return scan().select("value", F.col("_metadata.file_path").alias("file"),
                              F.col("_metadata.file_modification_time").alias("at"))
 
-    parsed = _parsed(_spread(spark, files, lines), headers, versions, of_lines, options)
+    parsed = _parsed(_spread(spark, lines) if n.packed else lines(), headers, versions, of_lines, options)
     extra = [F.struct("at", F.col("file").alias("path")).alias(PROVENANCE)] if provenance else []
     if quarantine:
         extra += [F.col(f"row.{CORRUPT}").alias(CORRUPT), F.col("file").alias("_file"), F.col("reason").alias("_reason")]
@@ -197,17 +195,15 @@ def load_folder(spark: SparkSession, directory: str, pattern: str, recursive: bo
     lines that do not fit, see ``sources/quarantine.py``."""
     renames = schemas.RENAMES if renames is None else renames
     files = list_files(spark, directory, pattern, recursive)
-    if files.isEmpty():
-        raise NoSnapshotFiles(f"no files matching {pattern!r} in {directory!r}")
-
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     if recursive:
         scan = lambda: reader.text(directory)
     else:  # files of a folder that matches the pattern itself are left out by their path, not read
         parent = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-        folder = files.select(F.regexp_replace("file", "/[^/]*$", "")).first()[0]
+        some = files.select(F.regexp_replace("file", "/[^/]*$", "")).first()
+        folder = some[0] if some else ""
         scan = lambda: reader.text(f"{directory.rstrip('/')}/{pattern}").where(parent == folder)
-    return _load(spark, files, scan, schema, renames, mode, provenance, quarantine=quarantine)
+    return _load(spark, files, scan, schema, renames, mode, provenance, f"{directory}/{pattern}", quarantine)
 
 
 def load_snapshots(spark: SparkSession, paths: list[str],
@@ -239,7 +235,8 @@ def load_snapshots(spark: SparkSession, paths: list[str],
     if probe not in ("each_file", "per_folder"):
         raise ValueError(f"probe must be 'each_file' or 'per_folder', not {probe!r}")
     if probe == "each_file" and not infer:
-        return _load(spark, list_files(spark, paths), lambda: spark.read.option("recursiveFileLookup", "true").text(paths), schema, renames, mode, provenance)
+        return _load(spark, list_files(spark, paths), lambda: spark.read.option("recursiveFileLookup", "true").text(paths), schema, renames, mode,
+                     provenance, f"{paths[0]}, ...")
     return _load_groups(spark, paths, schema, renames, infer, mode, probe, provenance)
 
 
@@ -254,8 +251,8 @@ def _load_groups(spark: SparkSession, paths: list[str], schema: T.StructType, re
         probed = {p: firsts[_folder(p)] for p in paths}
     else:
         probed = {p: p for p in paths}
-    headers = materialize(first_lines(list_files(spark, sorted(set(probed.values())))
-                                      .withColumn("file", F.col("path"))), "file-headers")
+    asked = sorted(set(probed.values()))
+    headers = materialize(first_lines(list_files(spark, asked).withColumn("file", F.col("path")), len(asked)), "file-headers")
     versions_of(headers, schema, renames)  # fails on a strange one
     header_of = {_plain(r.file): header_names(r.header) for r in headers.collect()}
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
@@ -294,14 +291,12 @@ def load_master(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     """A master (a CSV file, or a folder of them) by column name: columns in
     any order, headers checked, a value that does not fit fails the load."""
     files = list_files(spark, path).where(F.col("path").rlike(r"\.csv[^/]*$"))
-    if files.isEmpty():
-        raise NoSnapshotFiles(f"no master at {path!r}")
 
     def scan() -> DataFrame:
         return (spark.read.option("recursiveFileLookup", "true").text(path)
                 .where(F.col("_metadata.file_path").rlike(r"\.csv[^/]*$")))
 
-    return _load(spark, files, scan, schema, {}, "FAILFAST", False)
+    return _load(spark, files, scan, schema, {}, "FAILFAST", False, path)
 
 
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,

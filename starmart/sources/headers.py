@@ -110,8 +110,8 @@ def first_line(path: str, block: int = 1 << 14, longest: int = 1 << 20) -> str:
     return re.split(rb"\r\n|\n|\r", text, maxsplit=1)[0].decode("utf-8", "replace").lstrip("\ufeff")
 
 
-def first_lines(files: DataFrame, files_a_task: int = 200) -> DataFrame:
-    """(file, header) of each of ``files`` (path, file): its first line."""
+def first_lines(files: DataFrame, n_files: int, files_a_task: int = 200) -> DataFrame:
+    """(file, header) of each of ``n_files`` ``files`` (path, file): its first line."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
@@ -121,7 +121,7 @@ def first_lines(files: DataFrame, files_a_task: int = 200) -> DataFrame:
                     names=["file", "header"])
 
     # a row is a whole file, so the rows are dealt evenly, whatever their own size
-    tasks = max(1, min(files.count() // files_a_task + 1, 20_000))
+    tasks = max(1, min(n_files // files_a_task + 1, 20_000))
     return files.select("path", "file").repartition(tasks).mapInArrow(read, HEADER_SCHEMA)
 
 
