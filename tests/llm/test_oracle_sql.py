@@ -26,7 +26,8 @@ def _sql_rows(con, sql, columns):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    for table in ("documents", "labels", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_SMALL}/{table}.parquet')")
     df = QUERIES[name](spark, SF_SMALL)
     assert rows_of(df) == _sql_rows(con, ORACLE_SQL[name], df.columns)
 
