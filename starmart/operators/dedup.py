@@ -44,9 +44,11 @@ def dedup_by(df: DataFrame, keys: list[str], order: list[str], keep: str = "firs
         by = F.struct(*_order(order, keep))
         return df.groupBy(*keys).agg(*[pick_by(F.col(c), by).alias(c) for c in rest]).select(*df.columns)
     pick = F.min if keep == "first" else F.max
+    # the order's columns are in the struct once: rows that tie have them in common
+    held = {c: f"_o{i}" for i, c in enumerate(order)}
     picked = df.groupBy(*keys).agg(
-        pick(F.struct(*_order(order, keep), *[F.col(c) for c in rest])).alias("_s"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_s.{c}").alias(c)
+        pick(F.struct(*_order(order, keep), *[F.col(c) for c in rest if c not in held])).alias("_s"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_s.{held.get(c, c)}").alias(c)
                            for c in df.columns])
 
 

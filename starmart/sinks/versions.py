@@ -51,7 +51,8 @@ def versions(spark: SparkSession, root: str) -> DataFrame:
     try:
         return spark.read.schema(MANIFEST_SCHEMA).parquet(_path(root, MANIFEST))
     except AnalysisException:
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
+        # an empty list would be rows of Python, for which every task starts a worker
+        return spark.range(0).select(F.from_json(F.lit("{}"), MANIFEST_SCHEMA).alias("v")).select("v.*")
 
 
 @dataclass(frozen=True)

@@ -299,6 +299,9 @@ def load_master(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return _load(spark, files, scan, schema, {}, "FAILFAST", False, path)
 
 
+ROW_GROUP = 8 << 20  # bytes of a row group of a partitioned stage table: what one task reads at least
+
+
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 fmt: str = "parquet", rebalance: bool = False) -> str:
     """Hand-off table between stages; overwritten as a whole.
@@ -313,7 +316,8 @@ def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # a folder has few files while the table is small: its readers share their row groups
+        w = w.partitionBy(*partition_by).option("parquet.block.size", ROW_GROUP)
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
